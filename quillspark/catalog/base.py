@@ -11,6 +11,7 @@ from quillspark import fixed_values as fv
 from quillspark.functions.style import distinct_word_share
 from quillspark.functions.text import clean_generated
 from quillspark.operators.corpus import filter_nonempty_clean, with_clean_text
+from quillspark.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,11 +38,14 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+TEXT_TABLES = ("documents", "conversations")
+
 # --- inputs --------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

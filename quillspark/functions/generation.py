@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import partial
 from string import Formatter
 
 from pyspark.sql import Column
@@ -65,12 +66,16 @@ def _apply_groups(text: Column, row_id: Column, groups: tuple, most: int, seed:
     """Apply between two and ``most`` of the groups, in list order."""
     draws = [draw(seed, row_id, f"group{g}") * 16 + g for g in range(len(groups))]
     wanted = 2 + draw(seed, row_id, "how_many") % (most - 1)
-    last = F.element_at(F.array_sort(F.array(*draws)), wanted.cast("int"))
-    for group, mine in zip(groups, draws):
-        changed = text
+    last = F.element_at(F.sort_array(F.array(*draws)), wanted.cast("int"))
+
+    def apply(group: tuple, chosen: Column, t: Column) -> Column:
+        changed = t
         for old, new in group:
             changed = F.replace(changed, F.lit(old), F.lit(new))
-        text = F.when(mine <= last, changed).otherwise(text)
+        return F.when(chosen, changed).otherwise(t)
+
+    for group, mine in zip(groups, draws):
+        text = let(text, partial(apply, group, mine <= last))
     return text
 
 

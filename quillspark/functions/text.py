@@ -8,6 +8,7 @@ Unicode separators.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,11 +65,16 @@ def clean_generated(text: Column) -> Column:
         out = F.regexp_replace(out, "(?imdu)" + spelled, "")
     out = squash(out)
     for quote in ('"', "'"):
-        wrapped = out.startswith(quote) & out.endswith(quote)
-        out = F.when(wrapped, F.substring(out, F.lit(2), F.length(out) - 2)).otherwise(out)
+        out = let(out, partial(_unwrap, quote))
     return F.trim(out)
 
 
+def _unwrap(quote: str, text: Column) -> Column:
+    wrapped = text.startswith(quote) & text.endswith(quote)
+    inner = F.substring(text, F.lit(2), F.length(text) - 2)
+    return F.when(wrapped, inner).otherwise(text)
+
+
 def words(text: Column) -> Column:
     """Whitespace-separated words; an empty array for blank text."""
     return F.filter(F.split(squash(text), " "), lambda w: w != "")

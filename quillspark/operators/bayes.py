@@ -50,7 +50,7 @@ def fit_naive_bayes(weights: DataFrame, docs: DataFrame, alpha: float = 1.0) ->
 def nb_log_ratio_features(log_prob: DataFrame, top: int = 15) -> DataFrame:
     """The terms that speak most for either class."""
     ratio = F.col("log_human") - F.col("log_ai")
-    ranked = log_prob.select("term", ratio.alias("log_ratio"))
+    ranked = log_prob.select("term", F.round(ratio, 8).alias("log_ratio"))
     human = ranked.orderBy(F.desc("log_ratio"), "term").limit(top).withColumn("side", F.lit("human"))
     ai = ranked.orderBy("log_ratio", "term").limit(top).withColumn("side", F.lit("ai"))
     return human.unionByName(ai)

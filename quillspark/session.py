@@ -64,3 +64,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataF
     if head.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for row-wise text work when an input has too few splits.
+
+    A table of many files or row groups already has a split per task and comes
+    back untouched; a single small file would otherwise run as one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
