@@ -167,14 +167,8 @@ def _batch_summary(spark, sf):
         F.when(F.col("predicted") == 0, "Human").otherwise("AI").alias("predicted_label"),
         metrics.confidence().alias("confidence"),
     )
-    per_model = [
-        profile.batch_summary(predictions.filter(F.col("model") == name)).select(
-            F.lit(name).alias("model"), "human_texts", "ai_texts",
-            F.round("mean_confidence", 6).alias("mean_confidence"),
-        )
-        for name in b.SCORERS
-    ]
-    return per_model[0].unionByName(per_model[1]).unionByName(per_model[2])
+    summary = profile.batch_summary(predictions, ["model"])
+    return summary.withColumn("mean_confidence", F.round("mean_confidence", 6))
 
 
 @query(

@@ -1 +1,182 @@
-"""Queries."""
+"""Fitted models over the labelled documents (checked by rows, and by tests)."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from quillspark.catalog import base as b
+from quillspark.catalog.base import query, table
+from quillspark.operators import metrics
+from quillspark.operators.splits import stratified_holdout, stratified_split
+from quillspark.plans import evaluate, models, prepare
+from quillspark.plans.predict import predict_batch
+from quillspark.session import scratch_path, stored
+from quillspark.sources.models import load_best_model, load_model, save_model
+
+ID = "doc_id"
+
+
+def corpus(spark, sf):
+    """The prepared corpus, written once with its split."""
+    return stored(prepare.prepare_corpus(b.labelled(spark, sf), ID), "prepared")
+
+
+def parts(spark, sf):
+    split = corpus(spark, sf)
+    return split.filter(F.col("split") != "test"), split.filter(F.col("split") == "test")
+
+
+def _trained(name, spec, **options):
+    @query(name)
+    def run(spark, sf):
+        train, test = parts(spark, sf)
+        model = models.fit_model(spec, train, ID, **options)
+        return models.score(model, test, spec.name, ID)
+
+
+_trained("train_logistic", models.LOGISTIC)
+_trained("train_naive_bayes_ml", models.NAIVE_BAYES)
+_trained("train_random_forest", models.RANDOM_FOREST)
+_trained("train_svm", models.SVM)
+_trained("train_svm_linear", models.SVM, kernel="linear")
+_trained("train_mlp", models.MLP)
+
+
+@query("train_embedding_classifier")
+def _embedding(spark, sf):
+    return evaluate.train_embedding_classifier(table(spark, sf, "embeddings"), "vec_id", "label")
+
+
+@query(
+    "embedding_features",
+    """SELECT vec_id, len(embedding) AS size, round(list_sum(list_transform(embedding,
+       lambda x: x::DOUBLE * x::DOUBLE)), 6) AS squared_length FROM embeddings""",
+)
+def _embedding_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    back = vector_to_array("features")
+    return evaluate.embedding_features(table(spark, sf, "embeddings")).select(
+        "vec_id",
+        F.size(back).alias("size"),
+        F.round(F.aggregate(back, F.lit(0.0), lambda s, x: s + x * x), 6).alias("squared_length"),
+    )
+
+
+@query("word_vector_mean")
+def _word_vectors(spark, sf):
+    means = evaluate.word_vector_mean(b.clean_documents(spark, sf), ID, "clean_text")
+    return means.select(ID, F.posexplode("mean").alias("dimension", "value"))
+
+
+def fitted(spark, sf, specs=(models.NAIVE_BAYES, models.LOGISTIC)):
+    train, test = parts(spark, sf)
+    return {s.name: models.fit_model(s, train, ID) for s in specs}, test
+
+
+@query("score_all_models")
+def _score_all(spark, sf):
+    members, test = fitted(spark, sf)
+    return models.score_all_models(members, test, ID)
+
+
+@query("evaluate_on_test")
+def _evaluate(spark, sf):
+    members, test = fitted(spark, sf, models.TRAINING_SUITE)
+    return evaluate.evaluate_on_test(members, test, ID)
+
+
+@query("fit_eval_record")
+def _record(spark, sf):
+    train, test = parts(spark, sf)
+    record = evaluate.fit_eval_record(models.PROTOTYPE_SUITE[0], train, test, ID, pos_label=0)
+    return record.withColumn("confusion_matrix", F.to_json("confusion_matrix")).drop(
+        "train_time", "predict_time"
+    )
+
+
+@query("cross_validate")
+def _cross_validate(spark, sf):
+    return evaluate.cross_validate(models.NAIVE_BAYES, parts(spark, sf)[0], ID)
+
+
+@query("run_model_suite")
+def _suite(spark, sf):
+    train, test = parts(spark, sf)
+    suite = [replace(s, max_features=1000) for s in models.PROTOTYPE_SUITE]
+    table_ = evaluate.run_model_suite(tuple(suite), train, test, ID, folds=2)
+    return table_.withColumn("confusion_matrix", F.to_json("confusion_matrix")).drop(
+        "train_time", "predict_time"
+    )
+
+
+@query("save_load_model")
+def _save_load(spark, sf):
+    """Saved, loaded as the best by test F1, and applied."""
+    members, test = fitted(spark, sf)
+    folder = scratch_path(spark, "models")
+    for name, model in members.items():
+        save_model(model, folder, name)
+    scored = models.score_all_models(members, test, ID)
+    table_ = metrics.binary_metrics(scored, ["model"]).withColumnRenamed("f1_score", "test_f1_score")
+    name, best = load_best_model(spark, folder, table_)
+    return models.score(best, test, name, ID)
+
+
+@query("predict_batch")
+def _predict(spark, sf):
+    """Every document through the model that the labelled ones trained."""
+    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    return predict_batch(model, "Logistic_Regression", texts).drop("prediction_time")
+
+
+@query("prediction_confidence")
+def _confidence(spark, sf):
+    train, test = parts(spark, sf)
+    model = models.fit_model(models.NAIVE_BAYES, train, ID)
+    return metrics.prediction_confidence(models.score(model, test, "Naive_Bayes", ID), ID, 5)
+
+
+@query("top_features_abs")
+def _top_abs(spark, sf):
+    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
+    return models.top_features_abs(models.linear_weights(model))
+
+
+@query("top_features_signed")
+def _top_signed(spark, sf):
+    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
+    return models.top_features_signed(models.linear_weights(model), 15)
+
+
+@query("grid_search")
+def _grid(spark, sf):
+    return evaluate.grid_search(parts(spark, sf)[0], ID)
+
+
+@query("cross_domain_eval")
+def _cross_domain(spark, sf):
+    return evaluate.cross_domain_eval(models.NAIVE_BAYES, corpus(spark, sf), "lang", "en", ID)
+
+
+@query("unseen_source_eval")
+def _unseen(spark, sf):
+    return evaluate.unseen_source_eval(models.NAIVE_BAYES, corpus(spark, sf), "source", "src0", ID)
+
+
+@query("ablation")
+def _ablation(spark, sf):
+    train, test = parts(spark, sf)
+    return evaluate.ablation(train, test, ID)
+
+
+@query("ensemble_stacking")
+def _stacking(spark, sf):
+    scored = b.scored(spark, sf)
+    split = stratified_split(stored(scored.select(ID, "label").distinct(), "keys"), ID, ["label"])
+    both = stored(scored.join(split.select(ID, "split"), ID), "members")
+    val, test = (both.filter(F.col("split") == s) for s in ("val", "test"))
+    return evaluate.ensemble_stacking(val, test, list(b.SCORERS), ID)

@@ -1 +1,65 @@
-"""Queries."""
+"""Streaming jobs over files; each must equal its batch counterpart."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quillspark.catalog import base as b
+from quillspark.catalog.base import query, table
+from quillspark.catalog.metric_queries import DRIFT_SQL
+from quillspark.catalog.model_queries import ID, parts
+from quillspark.catalog.quality_queries import LIMITS, RATE_SQL, minute
+from quillspark.plans import models
+from quillspark.session import scratch_path
+from quillspark.streaming import jobs
+
+
+def arriving(spark, sf, name, files=None):
+    """A table as a stream of files."""
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
+    reader = spark.readStream.schema(schema)
+    if files:
+        return reader.option("maxFilesPerTrigger", 1).parquet(files)
+    return reader.parquet(f"{sf}/{name}*.parquet")
+
+
+@query("stream_ingest_dedupe", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
+def _ingest(spark, sf):
+    """The event log in four files by time: a user is new only once."""
+    files = scratch_path(spark, "arriving")
+    events = table(spark, sf, "events")
+    events.repartitionByRange(4, "event_id").sortWithinPartitions("event_id").write.parquet(files)
+    # file order is write order only by name, so the first id per user is taken over all batches
+    stream = arriving(spark, sf, "events", files).select("user_id", "event_id")
+    target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state")
+    return jobs.stream_ingest_dedupe(stream, target, checkpoint, "user_id", ["event_id"])
+
+
+@query("stream_rate_window", RATE_SQL)
+def _rates(spark, sf):
+    stream = arriving(spark, sf, "events").select("ts", "event_type")
+    target, checkpoint = scratch_path(spark, "rates"), scratch_path(spark, "rates-state")
+    limits = {k: n for k, (_, n) in LIMITS.items()}
+    out = jobs.stream_rate_window(stream, target, checkpoint, "ts", "event_type", limits)
+    return out.withColumn("window_start", minute())
+
+
+@query("stream_drift_monitor", DRIFT_SQL)
+def _drift(spark, sf):
+    stream = arriving(spark, sf, "events").select(
+        "event_id",
+        "ts",
+        F.col("event_type").isin("error", "purchase").cast("int").alias("label"),
+        (F.col("value") > 10).cast("int").alias("predicted"),
+    )
+    target, checkpoint = scratch_path(spark, "drift"), scratch_path(spark, "drift-state")
+    out = jobs.stream_drift_monitor(stream, target, checkpoint, "ts")
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
+@query("stream_score")
+def _score(spark, sf):
+    model = models.fit_model(models.NAIVE_BAYES, parts(spark, sf)[0], ID)
+    texts = arriving(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    target, checkpoint = scratch_path(spark, "predictions"), scratch_path(spark, "score-state")
+    return jobs.stream_score(texts, model, "Naive_Bayes", target, checkpoint).drop("prediction_time")

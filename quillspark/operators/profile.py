@@ -92,9 +92,9 @@ def length_histogram(df: DataFrame, value: str = "text_length", bins: int = HIST
     )
 
 
-def batch_summary(predictions: DataFrame) -> DataFrame:
+def batch_summary(predictions: DataFrame, by: list[str] | None = None) -> DataFrame:
     human = F.col("predicted_label") == "Human"
-    return predictions.agg(
+    return predictions.groupBy(*(by or [])).agg(
         F.count(F.when(human, F.lit(1))).alias("human_texts"),
         F.count(F.when(~human, F.lit(1))).alias("ai_texts"),
         F.avg("confidence").alias("mean_confidence"),

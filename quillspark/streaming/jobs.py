@@ -6,9 +6,11 @@ replaces its own output.  State and offsets live in the checkpoint folder.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.operators import metrics as m
@@ -29,16 +31,13 @@ def _drain(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> St
     return query
 
 
-def stored_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Everything a job has written so far; empty before its first batch."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder) or not any(
-        s.getPath().getName().startswith("batch_id=") for s in fs.listStatus(folder)
-    ):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
+def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Everything a job has written so far, with its ``batch_id``; empty before the first batch."""
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(full).option("basePath", path).parquet(f"{path}/batch_id=*")
+    except AnalysisException:  # nothing written yet
+        return spark.createDataFrame([], full)
 
 
 def stream_ingest_dedupe(
@@ -48,14 +47,13 @@ def stream_ingest_dedupe(
     spark, schema = incoming.sparkSession, incoming.schema
 
     def append_new(batch: DataFrame, batch_id: int) -> None:
-        # a replay must not see its own earlier output as already stored
-        earlier = stored_batches(spark, target, schema.add("batch_id", "int") if "batch_id" not in schema.names else schema)
-        known = earlier.filter(F.col("batch_id") < batch_id).select(key).distinct()
-        fresh = antijoin_new_ids(batch, known, key, order)
+        # a replay must not take its own earlier output for stored records
+        earlier = stored_batches(spark, target, schema).filter(F.col("batch_id") < batch_id)
+        fresh = antijoin_new_ids(batch, earlier.select(key), key, order)
         fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     _drain(incoming, append_new, checkpoint)
-    return stored_batches(spark, target, schema).select(*[f for f in schema.names if f != "batch_id"])
+    return stored_batches(spark, target, schema).drop("batch_id")
 
 
 def stream_rate_window(
@@ -90,7 +88,7 @@ def stream_score(
     """Predictions for every text that arrives."""
     predictions = predict_batch(model, name, texts)
     _drain(predictions, _overwrite_batch(target), checkpoint)
-    return stored_batches(texts.sparkSession, target, predictions.schema)
+    return stored_batches(texts.sparkSession, target, predictions.schema).drop("batch_id")
 
 
 def stream_drift_monitor(
