@@ -158,8 +158,11 @@ def _whole(spark, sf):
     )
 
 
-def feed_file(spark, sf):
-    """Documents as Atom entries."""
+PAGE_ENTRIES = 100
+
+
+def feed_pages(spark, sf):
+    """Documents as Atom feed files of a hundred entries each."""
     path = scratch_path(spark, "feed")
 
     def safe(c):
@@ -176,7 +179,20 @@ def feed_file(spark, sf):
         F.col("source"), F.lit("</name></author><author><name>"), F.col("lang"),
         F.lit('</name></author><category term="'), F.col("lang"), F.lit('"/><category term="x"/></entry>'),
     )
-    table(spark, sf, "documents").select(entry.alias("value")).write.text(path)
+    entries = table(spark, sf, "documents").select(
+        F.floor(F.col("doc_id") / PAGE_ENTRIES).alias("page"), F.lit(1).alias("at"), entry.alias("value")
+    )
+    frame = entries.select("page").distinct().select(
+        "page",
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).alias("at"), F.lit('<feed xmlns="http://www.w3.org/2005/Atom">').alias("value")),
+                F.struct(F.lit(2).alias("at"), F.lit("</feed>").alias("value")),
+            )
+        ),
+    )
+    pages = entries.unionByName(frame).repartition("page").sortWithinPartitions("page", "at")
+    pages.select("page", "value").write.partitionBy("page").text(path)
     return path
 
 
@@ -188,7 +204,7 @@ def feed_file(spark, sf):
       lang || '|x' AS categories, '2024-01-01T00:00:00Z' AS published FROM t WHERE title <> '' AND abstract <> ''""",
 )
 def _feed(spark, sf):
-    papers = readers.parse_feed_xml(spark, feed_file(spark, sf))
+    papers = readers.parse_feed_xml(spark, feed_pages(spark, sf))
     return papers.select(
         "arxiv_id", "title", "abstract", F.array_join("authors", "|").alias("authors"),
         F.array_join("categories", "|").alias("categories"), "published",

@@ -22,7 +22,15 @@ from quillspark.operators import metrics as m
 from quillspark.operators.comparison import cv_summary
 from quillspark.operators.splits import stratified_holdout, stratified_kfold
 from quillspark.plans.features import fit_features
-from quillspark.plans.models import ModelSpec, binary_label, fit_model, score, score_all_models
+from quillspark.plans.models import (
+    LOGISTIC_TOLERANCE,
+    ModelSpec,
+    binary_label,
+    fit_model,
+    packed,
+    score,
+    score_all_models,
+)
 from quillspark.session import stored
 
 
@@ -105,11 +113,13 @@ def grid_search(
     """Mean F1 of logistic regression per C over stratified folds."""
     folded = stratified_kfold(train, row_id, ["label"], folds)
     features = fit_features(folded, "clean_text", max_features)
-    vectors = features.transform(
-        folded.withColumn("label", binary_label(F.col("label")))
-    ).select("label", F.col("fold").cast("int").alias("fold"), "features").persist()
+    vectors = packed(
+        features.transform(folded.withColumn("label", binary_label(F.col("label")))).select(
+            "label", F.col("fold").cast("int").alias("fold"), "features"
+        )
+    ).persist()
     n = vectors.count() * (folds - 1) // folds
-    estimator = LogisticRegression(standardization=False, maxIter=100)
+    estimator = LogisticRegression(standardization=False, maxIter=100, tol=LOGISTIC_TOLERANCE)
     grid = ParamGridBuilder().addGrid(estimator.regParam, [1.0 / (c * n) for c in cs]).build()
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
@@ -163,7 +173,7 @@ def ablation(train: DataFrame, test: DataFrame, row_id: str = "id") -> DataFrame
             c.cast("double").alias(k) for k, c in columns.items()
         ])
 
-    known, unknown = numbers(train).persist(), numbers(test)
+    known, unknown = packed(numbers(train)).persist(), numbers(test)
     parts = []
     for gone in ("none", *FEATURE_GROUPS):
         kept = [c for c in columns if c not in FEATURE_GROUPS.get(gone, ())]

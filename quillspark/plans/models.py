@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.hashing import chance
@@ -29,6 +29,9 @@ from quillspark.plans.features import feature_names, fit_features
 from quillspark.plans.fourier import RandomFourierFeatures
 
 SEED = 42
+LOGISTIC_TOLERANCE = 1e-4
+MARGIN_TOLERANCE = 1e-3
+ROWS_PER_TASK = 5_000
 HELD_OUT_SHARE = 0.2
 
 
@@ -47,7 +50,8 @@ def fit_logistic(train: DataFrame, size: int, row_id: str, c: float = 1.0, max_i
     """L2 with strength ``1 / C`` on the summed loss, which Spark averages."""
     n = train.count()
     estimator = LogisticRegression(
-        regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter
+        regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
+        tol=LOGISTIC_TOLERANCE,
     )
     return [estimator.fit(train)]
 
@@ -108,7 +112,8 @@ def fit_svm(
     fitting = mapped.filter(~held_out)
     machine = LinearSVC(
         featuresCol="cosines" if kernel == "rbf" else "features",
-        regParam=1.0 / (c * max(fitting.count(), 1)), maxIter=max_iter, standardization=False,
+        regParam=1.0 / (c * max(fitting.count(), 1)), maxIter=max_iter, tol=MARGIN_TOLERANCE,
+        standardization=False,
         rawPredictionCol="margins", predictionCol="side",
     ).fit(fitting)
     slicer = VectorSlicer(inputCol="margins", outputCol="margin", indices=[1])
@@ -134,6 +139,16 @@ PROTOTYPE_SUITE = (
 MLP = ModelSpec("MLP", fit_mlp, max_features=2000, scale=True)
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """Fewer tasks for a small training set: iterative fitting runs a job per step.
+
+    Beyond ``ROWS_PER_TASK`` rows per input split the partitioning is left alone.
+    """
+    tasks = df.rdd.getNumPartitions()
+    wanted = df.count() // ROWS_PER_TASK + 1
+    return df.coalesce(wanted) if wanted < tasks else df
+
+
 def binary_label(label: Column) -> Column:
     return encode_label(label).cast("double")
 
@@ -145,11 +160,10 @@ def fit_model(
     features = fit_features(
         train, text, spec.max_features, spec.bigrams, spec.min_df, spec.max_df, spec.scale
     )
-    vectors = (
+    vectors = packed(
         features.transform(train.select(row_id, text, binary_label(F.col("label")).alias("label")))
         .select(row_id, "label", "features")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     size = len(feature_names(features))
     fitted = spec.fit(vectors, size, row_id, **options)
     vectors.unpersist()
@@ -182,8 +196,6 @@ def score_all_models(models: dict[str, PipelineModel], df: DataFrame, row_id: st
 
 def linear_weights(model: PipelineModel) -> DataFrame:
     """``(term, weight)`` of a fitted linear model or forest, one row per feature."""
-    from pyspark.sql import SparkSession
-
     terms = feature_names(model)
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):

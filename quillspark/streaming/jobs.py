@@ -71,7 +71,8 @@ def stream_rate_window(
     one written for a window is its current value.
     """
     counts = (
-        requests.withWatermark(ts, delay)
+        requests.withColumn(ts, F.col(ts).cast("timestamp"))
+        .withWatermark(ts, delay)
         .groupBy(F.window(ts, "1 minute").alias("w"), F.col(provider).alias("provider"))
         .agg(F.count(F.lit(1)).alias("requests"))
         .select(F.col("w.start").alias("window_start"), "provider", "requests")
@@ -97,7 +98,8 @@ def stream_drift_monitor(
 ) -> DataFrame:
     """Accuracy over time from a stream of judged predictions."""
     counts = (
-        scored.withWatermark(ts, delay)
+        scored.withColumn(ts, F.col(ts).cast("timestamp"))
+        .withWatermark(ts, delay)
         .groupBy(F.window(ts, length).alias("w"))
         .agg(*[c.alias(k) for k, c in m.outcome_counts(1).items()])
     )
