@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillspark import fixed_values as fv
 from quillspark.functions.style import distinct_word_share
 from quillspark.functions.text import clean_generated
-from quillspark.operators.corpus import filter_nonempty_clean, with_clean_text
+from quillspark.operators.corpus import clean_nonempty
 from quillspark.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,11 +63,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return filter_nonempty_clean(with_clean_text(docs)).drop("text")
+    return clean_nonempty(docs)
 
 
 def clean_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_nonempty_clean(with_clean_text(labelled(spark, sf_dir)))
+    return clean_nonempty(labelled(spark, sf_dir))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,7 +194,7 @@ def _distinct_sentences(spark, sf):
 )
 def _dedupe(spark, sf):
     kept = corpus.dedupe_keep_first(
-        b.clean_labelled(spark, sf).drop("text"), ["corpus_rank", "doc_id"]
+        b.clean_labelled(spark, sf), ["corpus_rank", "doc_id"]
     )
     return kept.select("doc_id", "label", "clean_text")
 

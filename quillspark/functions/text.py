@@ -45,11 +45,14 @@ def clean_text(
     The length is taken after whitespace is collapsed and before punctuation
     goes, so a result may be shorter than ``low``.
     """
-    flat = squash(F.coalesce(text, F.lit("")))
-    kept = squash(F.regexp_replace(flat, NOT_KEPT, " "))
-    if low is None or high is None:
-        return kept
-    return F.when(F.length(flat).between(low, high), kept).otherwise(F.lit(""))
+
+    def keep(flat: Column) -> Column:
+        kept = squash(F.regexp_replace(flat, NOT_KEPT, " "))
+        if low is None or high is None:
+            return kept
+        return F.when(F.length(flat).between(low, high), kept).otherwise(F.lit(""))
+
+    return let(squash(F.coalesce(text, F.lit(""))), keep)
 
 
 def clean_for_scoring(text: Column) -> Column:

@@ -6,7 +6,7 @@ nothing to shuffle but the per-term totals.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,42 +75,61 @@ def unigrams_and_bigrams(
     )
 
 
+def _run_starts(run: Column, same: Callable[[Column, Column], Column]) -> Column:
+    """Positions in a sorted array where a new value begins."""
+    return F.filter(
+        F.sequence(F.lit(0), F.size(run) - 1),
+        lambda i: (i == 0) | ~same(F.get(run, i), F.get(run, i - 1)),
+    )
+
+
 def term_counts(terms: Column) -> Column:
-    """``array<struct<term, n, first>>``: each distinct term, its count and first position."""
-    placed = F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("at")))
-    empty = F.array().cast("array<struct<term:string,n:int,first:int>>")
+    """``array<struct<term, n>>``: each distinct term and its count."""
+    empty = F.array().cast("array<struct<term:string,n:int>>")
 
-    def run_lengths(run: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(run) - 1),
-            lambda i: (i == 0) | (F.get(run, i)["term"] != F.get(run, i - 1)["term"]),
-        )
+    def measured(run: Column) -> Column:
         return let(
-            starts,
-            lambda b: F.transform(
-                b,
-                lambda start, k: F.struct(
-                    F.get(run, start)["term"].alias("term"),
-                    (F.coalesce(F.get(b, k + 1), F.size(run)) - start).alias("n"),
-                    F.get(run, start)["at"].alias("first"),
+            _run_starts(run, lambda a, b: a == b),
+            lambda starts: F.transform(
+                starts,
+                lambda at, k: F.struct(
+                    F.get(run, at).alias("term"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(run)) - at).alias("n"),
                 ),
             ),
         )
 
     return let(
-        F.sort_array(placed),
-        lambda run: F.when(F.size(run) > 0, run_lengths(run)).otherwise(empty),
+        F.sort_array(terms), lambda run: F.when(F.size(run) > 0, measured(run)).otherwise(empty)
     )
 
 
-def _top_terms(candidates: Column, top: int) -> Column:
-    ranked = F.sort_array(
-        F.transform(
-            term_counts(candidates),
-            lambda c: F.struct((-c["n"]).alias("less"), c["first"].alias("first"), c["term"].alias("term")),
+def _ranked_terms(terms: Column) -> Column:
+    """Distinct terms by falling count, equal counts by first position."""
+    placed = F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("at")))
+    empty = F.array().cast("array<struct<less:int,first:int,term:string>>")
+
+    def measured(run: Column) -> Column:
+        return let(
+            _run_starts(run, lambda a, b: a["term"] == b["term"]),
+            lambda starts: F.transform(
+                starts,
+                lambda at, k: F.struct(
+                    (at - F.coalesce(F.get(starts, k + 1), F.size(run))).alias("less"),
+                    F.get(run, at)["at"].alias("first"),
+                    F.get(run, at)["term"].alias("term"),
+                ),
+            ),
         )
+
+    counted = let(
+        F.sort_array(placed), lambda run: F.when(F.size(run) > 0, measured(run)).otherwise(empty)
     )
-    return F.transform(F.slice(ranked, 1, top), lambda c: c["term"])
+    return F.sort_array(counted)
+
+
+def _top_terms(candidates: Column, top: int) -> Column:
+    return F.transform(F.slice(_ranked_terms(candidates), 1, top), lambda c: c["term"])
 
 
 def keywords(

@@ -86,7 +86,7 @@ def bigram_lm_score(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """
     tokens = tokenize(F.col(text))
     counted = docs.select(
-        doc, F.inline(let(tokens, lambda t: term_counts(F.concat(t, bigrams(t))))).alias("term", "n", "at")
+        doc, F.inline(let(tokens, lambda t: term_counts(F.concat(t, bigrams(t)))))
     )
     model = stored(
         counted.groupBy("term").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("n")), "bigrams"

@@ -90,6 +90,17 @@ def with_clean_text(df: DataFrame) -> DataFrame:
     return df.withColumn("clean_text", clean_text(F.col("text")))
 
 
+def clean_nonempty(df: DataFrame) -> DataFrame:
+    """``clean_text`` in place of ``text``, without the rows that clean to nothing.
+
+    A filter on a computed column would be pushed below the projection and clean
+    every text twice; a generator that yields zero or one text cleans it once.
+    """
+    kept = F.filter(F.array(clean_text(F.col("text"))), lambda t: t != "")
+    others = [c for c in df.columns if c != "text"]
+    return df.select(*others, F.explode(kept).alias("clean_text"))
+
+
 def with_text_stats(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {

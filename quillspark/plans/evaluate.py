@@ -235,12 +235,12 @@ def train_embedding_classifier(df: DataFrame, row_id: str, label: str) -> DataFr
 
 
 def word_vector_mean(
-    docs: DataFrame, row_id: str, text: str, size: int = 32, min_count: int = 5
+    docs: DataFrame, row_id: str, text: str, size: int = 32, min_count: int = 5, tasks: int = 4
 ) -> DataFrame:
     """The mean of a text's word vectors, learnt from the corpus itself."""
     tokens = docs.select(row_id, tokenize(F.col(text)).alias("tokens"))
     model = Word2Vec(
-        vectorSize=size, minCount=min_count, seed=42, inputCol="tokens", outputCol="mean", numPartitions=4
+        vectorSize=size, minCount=min_count, seed=42, inputCol="tokens", outputCol="mean", numPartitions=tasks
     ).fit(tokens)
     return model.transform(tokens).select(row_id, vector_to_array("mean").alias("mean"))
 

@@ -31,7 +31,7 @@ from quillspark.plans.fourier import RandomFourierFeatures
 SEED = 42
 LOGISTIC_TOLERANCE = 1e-4
 MARGIN_TOLERANCE = 1e-3
-ROWS_PER_TASK = 5_000
+ROWS_PER_TASK = 1_000
 HELD_OUT_SHARE = 0.2
 
 

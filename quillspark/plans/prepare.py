@@ -6,20 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import squash, strip_urls_emails, word_count
-from quillspark.operators.corpus import (
-    dedupe_keep_first,
-    filter_nonempty_clean,
-    with_clean_text,
-    with_text_stats,
-)
+from quillspark.operators.corpus import clean_nonempty, dedupe_keep_first, with_text_stats
 from quillspark.operators.splits import stratified_split
 from quillspark.session import stored
 
 
 def clean_corpus(corpus: DataFrame, row_id: str = "id") -> DataFrame:
     """Clean, drop empty texts, drop repeats (the earlier corpus wins), measure."""
-    cleaned = filter_nonempty_clean(with_clean_text(corpus))
-    return with_text_stats(dedupe_keep_first(cleaned, ["corpus_rank", row_id]))
+    return with_text_stats(dedupe_keep_first(clean_nonempty(corpus), ["corpus_rank", row_id]))
 
 
 def prepare_corpus(

@@ -85,7 +85,8 @@ def test_tokens_and_ngrams(value):
 
 def test_term_counts(value):
     rows = value("bb aa bb cc aa bb", tokens.term_counts(tokens.tokenize(T)))
-    assert {(r["term"], r["n"], r["first"]) for r in rows} == {("aa", 2, 1), ("bb", 3, 0), ("cc", 1, 3)}
+    assert [(r["term"], r["n"]) for r in rows] == [("aa", 2), ("bb", 3), ("cc", 1)]
+    assert value("", tokens.term_counts(tokens.tokenize(T))) == []
 
 
 def python_keywords(t, top, stop, pattern, least):
