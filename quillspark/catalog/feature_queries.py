@@ -134,10 +134,10 @@ def _ngram_frequencies(spark, sf):
 @query(
     "char_ngrams",
     f"""WITH {b.CLEAN_DOCS}, g AS (SELECT clean_text, unnest(range(1, length(clean_text) - 1)) AS i FROM clean_docs)
-    SELECT substr(clean_text, i, 3) AS gram, count(*) AS n FROM g GROUP BY gram ORDER BY n DESC, gram LIMIT 500""",
+    SELECT substr(clean_text, i, 3) AS gram, count(*) AS n FROM g GROUP BY gram""",
 )
 def _char_ngrams(spark, sf):
-    return vocabulary.char_ngram_counts(b.clean_documents(spark, sf), "clean_text", 3, 500)
+    return vocabulary.char_ngram_counts(b.clean_documents(spark, sf), "clean_text", 3)
 
 
 @query(

@@ -112,9 +112,19 @@ def _suite(spark, sf):
     )
 
 
-@query("save_load_model")
-def _save_load(spark, sf):
-    """Saved, loaded as the best by test F1, and applied."""
+@query("save_model")
+def _save(spark, sf):
+    """Saved, read back by name, and applied."""
+    members, test = fitted(spark, sf, (models.NAIVE_BAYES,))
+    folder = scratch_path(spark, "models")
+    for name, model in members.items():
+        save_model(model, folder, name)
+    return models.score(load_model(folder, "Naive_Bayes"), test, "Naive_Bayes", ID)
+
+
+@query("load_model")
+def _load(spark, sf):
+    """The best of the saved models by test F1, applied."""
     members, test = fitted(spark, sf)
     folder = scratch_path(spark, "models")
     for name, model in members.items():

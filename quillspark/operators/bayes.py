@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import let
 from quillspark.functions.tokens import bigrams, term_counts, tokenize
 from quillspark.operators.joins import hot_key_join
-from quillspark.session import stored
+from quillspark.session import broadcast_if_small, stored
 
 CLASSES = ("human", "ai")
 
@@ -61,7 +61,7 @@ def score_naive_bayes(
 ) -> DataFrame:
     """Probability of ``ai`` for every document, those without known terms included."""
     evidence = (
-        weights.join(F.broadcast(log_prob), "term")
+        weights.join(broadcast_if_small(log_prob), "term")
         .groupBy(doc)
         .agg(*[F.sum(F.col("weight") * F.col(f"log_{c}")).alias(f"e_{c}") for c in CLASSES])
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark import fixed_values as fv
 from quillspark.functions.text import clean_text, record_text, strip, word_count
 from quillspark.operators.joins import hot_key_join
+from quillspark.operators.running import in_ranges
 
 CORPUS_RANK = {"human": 0, "ai": 1}
 
@@ -117,6 +119,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     key that holds a third of the table still sends one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return kept.select(*keys, "_row.*").select(*df.columns)
 
@@ -145,8 +149,31 @@ def pair_original_generated(originals: DataFrame, generated: DataFrame, key: str
 
 
 def cap_total(df: DataFrame, order: list[str], most: int = fv.TARGET_TOTAL) -> DataFrame:
-    """Stop at a target size: the first ``most`` rows by ``order``."""
-    return df.orderBy(*order).limit(most)
+    """Stop at a target size: the first ``most`` rows by ``order``, which must be unique.
+
+    Only the order columns are sorted, in ranges; the row at which to stop is
+    looked up in the one range that holds it, and the table is then filtered in
+    place instead of sending every task's first ``most`` rows to a single one.
+    """
+    columns = [F.col(c) for c in order]
+    ranged = in_ranges(df.select(*order), columns)
+    before = 0
+    # one row per range: bounded by the number of shuffle partitions
+    for part in ranged.groupBy("_range").count().orderBy("_range").toLocalIterator():
+        if before + part["count"] >= most:
+            break
+        before += part["count"]
+    else:
+        return df
+    place = F.row_number().over(W.partitionBy("_range").orderBy(*columns))
+    last = (
+        ranged.filter(F.col("_range") == part["_range"])
+        .withColumn("_place", place)
+        .filter(F.col("_place") == most - before)
+        .first()
+    )
+    stop = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+    return df.filter(F.struct(*columns) <= stop)
 
 
 def cleaning_report(df: DataFrame) -> DataFrame:

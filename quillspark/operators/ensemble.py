@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.session import broadcast_if_small
+
 
 def ensemble_vote(scored: DataFrame, row_id: str, threshold: float = 0.5) -> DataFrame:
     """Majority of the members; a tie goes to ai, as a mean of exactly one half does."""
@@ -17,8 +19,8 @@ def ensemble_average(scored: DataFrame, row_id: str) -> DataFrame:
 
 
 def ensemble_weighted(scored: DataFrame, weights: DataFrame, row_id: str) -> DataFrame:
-    """Members weighted by validation accuracy (one row per model, broadcast)."""
-    joined = scored.join(F.broadcast(weights.select("model", "accuracy")), "model")
+    """Members weighted by validation accuracy, one row per model."""
+    joined = scored.join(broadcast_if_small(weights.select("model", "accuracy")), "model")
     mean = F.sum(F.col("score") * F.col("accuracy")) / F.sum("accuracy")
     return _combined(joined.groupBy(row_id, "label").agg(mean.alias("score")))
 

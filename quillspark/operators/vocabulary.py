@@ -1,8 +1,8 @@
 """Terms, vocabularies and TF-IDF as long tables ``(doc, term, weight)``.
 
 A document's counts come out of its own row, so a corpus pass shuffles only
-per-term partial totals.  Vocabularies are cut to ``max_features`` rows, which
-bounds what the later joins broadcast.
+per-term partial totals.  A vocabulary is cut to ``max_features`` rows; joins
+with it count it before they broadcast it.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from quillspark.functions.tokens import (
     tokenize,
     unigrams_and_bigrams,
 )
+from quillspark.session import broadcast_if_small
 
 
 def document_terms(
@@ -56,19 +57,33 @@ def vocabulary(
     min_df: int = 1,
     max_df: float = 1.0,
 ) -> DataFrame:
-    """The most frequent terms within the document-frequency limits, ties by term."""
+    """The most frequent terms within the document-frequency limits, ties by term.
+
+    Most terms are rare.  A histogram of counts by order of magnitude first says
+    which magnitudes can hold the winners, so the final top-k sees little more
+    than ``max_features`` rows instead of that many from every task.
+    """
     limit = F.lit(max_df) * (F.lit(n_docs) if isinstance(n_docs, int) else n_docs)
-    kept = frequencies
+    kept = frequencies.withColumn("_magnitude", F.length(F.bin("corpus_count")))
     if min_df > 1:
         kept = kept.filter(F.col("doc_freq") >= min_df)
     if max_df < 1.0:
         kept = kept.filter(F.col("doc_freq") <= limit)
-    return kept.orderBy(F.desc("corpus_count"), "term").limit(max_features)
+    # at most 64 rows
+    magnitudes = kept.groupBy("_magnitude").agg(F.count(F.lit(1)).alias("_terms"))
+    reached = F.sum("_terms").over(W.orderBy(F.desc("_magnitude")))
+    floor = (
+        magnitudes.withColumn("_reached", reached)
+        .filter(F.col("_reached") >= max_features)
+        .agg(F.coalesce(F.max("_magnitude"), F.lit(0)).alias("floor"))
+    )
+    likely = kept.filter(F.col("_magnitude") >= floor.scalar()).drop("_magnitude")
+    return likely.orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
 
 def vocab_lookup(terms: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Keep the terms of a fitted vocabulary (at most ``max_features`` rows, broadcast)."""
-    return terms.join(F.broadcast(vocab.select("term")), "term")
+    """Keep the terms of a fitted vocabulary."""
+    return terms.join(broadcast_if_small(vocab.select("term")), "term")
 
 
 def idf(doc_freq: Column, n_docs: Column) -> Column:
@@ -80,7 +95,7 @@ def tfidf(terms: DataFrame, vocab: DataFrame, n_docs: Column | int, doc: str) ->
     """``(doc, term, weight)`` with unit-length rows."""
     total = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     weights = vocab.select("term", idf(F.col("doc_freq"), total).alias("idf"))
-    raw = terms.join(F.broadcast(weights), "term").withColumn("raw", F.col("n") * F.col("idf"))
+    raw = terms.join(broadcast_if_small(weights), "term").withColumn("raw", F.col("n") * F.col("idf"))
     # a window holds the terms of one text, never more than its words
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(doc)))
     return raw.withColumn("weight", F.col("raw") / norm).drop("raw", "idf", "n")
@@ -98,7 +113,7 @@ def fit_scale(weights: DataFrame, n_docs: Column | int) -> DataFrame:
 
 def scale_sparse(weights: DataFrame, scale: DataFrame) -> DataFrame:
     """Divide by the fitted deviation without centring, so absent terms stay absent."""
-    joined = weights.join(F.broadcast(scale), "term")
+    joined = weights.join(broadcast_if_small(scale), "term")
     return joined.withColumn("scaled", F.col("weight") / F.col("scale")).drop("scale")
 
 
@@ -117,13 +132,12 @@ def ngram_frequencies(docs: DataFrame, text: str, top: int, sizes: Sequence[int]
     return top_per_group(counted, "size", top)
 
 
-def char_ngram_counts(docs: DataFrame, text: str, size: int, top: int) -> DataFrame:
-    counted = (
+def char_ngram_counts(docs: DataFrame, text: str, size: int) -> DataFrame:
+    return (
         docs.select(F.explode(char_ngrams(F.col(text), size)).alias("gram"))
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return counted.orderBy(F.desc("n"), "gram").limit(top)
 
 
 def top_per_group(counted: DataFrame, group: str, top: int) -> DataFrame:

@@ -224,3 +224,30 @@ def test_bigram_model(spark):
     assert got == {
         1: pytest.approx((2 * cost["ab"] + cost["ba"]) / 3, abs=1e-6), 2: pytest.approx(cost["ac"], abs=1e-6)
     }
+
+
+@pytest.mark.parametrize("most", [1, 7, 100, 101])
+def test_cap_equals_ordered_limit(spark, most):
+    df = spark.range(100).select((F.col("id") % 9).alias("a"), F.col("id").alias("b"), F.lit("x").alias("t"))
+    mine = corpus.cap_total(df, ["a", "b"], most)
+    assert rows(mine) == rows(df.orderBy("a", "b").limit(most))
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 50])
+def test_vocabulary_equals_plain_top_k(spark, size):
+    freq = spark.range(40).select(
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"),
+        (F.col("id") % 6 + 1).alias("corpus_count"), F.lit(1).cast("bigint").alias("doc_freq"),
+    )
+    plain = freq.orderBy(F.desc("corpus_count"), "term").limit(size)
+    assert rows(vocabulary.vocabulary(freq, 40, size)) == rows(plain)
+
+
+def test_larger_tables_are_not_broadcast(spark):
+    from quillspark.session import broadcast_if_small
+
+    small = broadcast_if_small(spark.range(10), 10)
+    large = spark.range(11)
+    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
+    assert broadcast_if_small(large, 10) is large
+    assert rows(small) == [(i,) for i in range(10)]
