@@ -192,6 +192,23 @@ def _rates(spark, sf):
     return out.withColumn("window_start", minute())
 
 
+DAILY = {"click": 60, "view": 70, "purchase": 80, "signup": 65, "error": 75}
+DAILY_SQL = "(VALUES " + ", ".join(f"('{k}', {n})" for k, n in DAILY.items()) + ") t(provider, allowed)"
+
+
+@query(
+    "daily_limit_usage",
+    f"""SELECT w AS window_start, provider, requests, allowed::BIGINT AS allowed, requests > allowed AS over_limit
+    FROM (SELECT strftime(ts, '%Y-%m-%d') AS w, event_type, count(*) AS requests FROM events GROUP BY ALL)
+    JOIN {DAILY_SQL} ON event_type = provider""",
+)
+def _daily(spark, sf):
+    """The same window report per day, against daily limits."""
+    events = table(spark, sf, "events").select("ts", "event_type")
+    out = usage.rate_window_usage(events, "ts", "event_type", DAILY, "1 day")
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
 @query(
     "provider_by_priority",
     f"""WITH m AS (SELECT {MINUTE} AS w, event_type, count(*) AS n FROM events GROUP BY ALL),

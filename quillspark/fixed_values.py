@@ -38,6 +38,14 @@ PROVIDER_LIMITS = {
     "cohere": (4, 15),
     "huggingface": (5, 20),
 }
+# provider -> requests per day
+PROVIDER_DAILY_LIMITS = {
+    "groq": 14400,
+    "firework": 1000,
+    "openrouter": 200,
+    "cohere": 1000,
+    "huggingface": 1000,
+}
 PROVIDER_TARGETS = {"groq": 0.70, "firework": 0.20, "openrouter": 0.10}
 SHARE_TOLERANCE = 0.05
 REBALANCE_THRESHOLD = 0.10

@@ -23,8 +23,12 @@ EMAIL = r"[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times inside lambda functions."""
-    return F.transform(F.array(value), body)[0]
+    """Evaluate ``value`` once and use it many times inside lambda functions.
+
+    An aggregate over an empty array starts from ``value`` and finishes with
+    ``body``; unlike ``transform`` it does not copy the result.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
 
 
 def strip(text: Column) -> Column:

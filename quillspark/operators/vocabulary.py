@@ -22,7 +22,7 @@ from quillspark.functions.tokens import (
     tokenize,
     unigrams_and_bigrams,
 )
-from quillspark.session import broadcast_if_small
+from quillspark.session import broadcast_if_small, stored
 
 
 def document_terms(
@@ -59,25 +59,25 @@ def vocabulary(
 ) -> DataFrame:
     """The most frequent terms within the document-frequency limits, ties by term.
 
-    Most terms are rare.  A histogram of counts by order of magnitude first says
-    which magnitudes can hold the winners, so the final top-k sees little more
-    than ``max_features`` rows instead of that many from every task.
+    Most terms are rare.  The admissible ones are written once; a histogram of
+    their counts by order of magnitude says which magnitudes can hold the
+    winners, and the final top-k sees little more than ``max_features`` rows
+    instead of that many from every task.
     """
     limit = F.lit(max_df) * (F.lit(n_docs) if isinstance(n_docs, int) else n_docs)
-    kept = frequencies.withColumn("_magnitude", F.length(F.bin("corpus_count")))
+    kept = frequencies
     if min_df > 1:
         kept = kept.filter(F.col("doc_freq") >= min_df)
     if max_df < 1.0:
         kept = kept.filter(F.col("doc_freq") <= limit)
+    kept = stored(kept, "terms")
+    magnitude = F.length(F.bin("corpus_count"))
     # at most 64 rows
-    magnitudes = kept.groupBy("_magnitude").agg(F.count(F.lit(1)).alias("_terms"))
-    reached = F.sum("_terms").over(W.orderBy(F.desc("_magnitude")))
-    floor = (
-        magnitudes.withColumn("_reached", reached)
-        .filter(F.col("_reached") >= max_features)
-        .agg(F.coalesce(F.max("_magnitude"), F.lit(0)).alias("floor"))
-    )
-    likely = kept.filter(F.col("_magnitude") >= floor.scalar()).drop("_magnitude")
+    histogram = kept.groupBy(magnitude.alias("m")).agg(F.count(F.lit(1)).alias("terms"))
+    reached = F.sum("terms").over(W.orderBy(F.desc("m")))
+    floor = histogram.withColumn("reached", reached).filter(F.col("reached") >= max_features)
+    lowest = floor.agg(F.coalesce(F.max("m"), F.lit(0)).alias("m")).scalar()
+    likely = kept.filter(magnitude >= lowest)
     return likely.orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
 
