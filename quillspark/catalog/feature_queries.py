@@ -64,12 +64,18 @@ def _freq(spark, sf):
     f"WITH {DOCS}, {terms_sql('docs')}, {FREQ}, {vocab_sql(3000, 'docs', 2, 0.95)} SELECT * FROM vocab",
 )
 def _vocabulary(spark, sf):
-    return fitted_vocabulary(documents(spark, sf))
+    docs = documents(spark, sf)
+    return fitted_vocabulary(doc_terms(docs), docs.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+def counted_terms(docs, keep=(), bigrams=True):
+    """Terms per document, written once because two steps read them, and the corpus size."""
+    terms = stored(doc_terms(docs, keep, bigrams), "counts")
+    return terms, docs.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def fitted_vocabulary(docs):
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return vocabulary.vocabulary(vocabulary.term_doc_freq(doc_terms(docs)), n_docs, 3000, 2, 0.95)
+def fitted_vocabulary(terms, n_docs):
+    return vocabulary.vocabulary(vocabulary.term_doc_freq(terms), n_docs, 3000, 2, 0.95)
 
 
 @query(
@@ -78,15 +84,14 @@ def fitted_vocabulary(docs):
     SELECT doc_id, t.term, n FROM terms t JOIN vocab v ON t.term = v.term""",
 )
 def _lookup(spark, sf):
-    docs = documents(spark, sf)
-    return vocabulary.vocab_lookup(doc_terms(docs), fitted_vocabulary(docs)).select("doc_id", "term", "n")
+    terms, n_docs = counted_terms(documents(spark, sf))
+    return vocabulary.vocab_lookup(terms, fitted_vocabulary(terms, n_docs)).select("doc_id", "term", "n")
 
 
 def weights(spark, sf):
-    docs = documents(spark, sf)
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    vocab = stored(fitted_vocabulary(docs), "vocabulary")
-    return vocabulary.tfidf(doc_terms(docs), vocab, n_docs, "doc_id"), n_docs
+    terms, n_docs = counted_terms(documents(spark, sf))
+    vocab = fitted_vocabulary(terms, n_docs)
+    return vocabulary.tfidf(terms, vocab, n_docs, "doc_id"), n_docs
 
 
 @query(
@@ -194,8 +199,7 @@ def bayes_parts(spark, sf):
     split = stratified_holdout(stored(docs, "clean"), "doc_id", ["label"])
     split = stored(split, "holdout")
     train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
-    n_docs = train.agg(F.count(F.lit(1)).alias("n")).scalar()
-    terms = doc_terms(train, ("label",), False)
+    terms, n_docs = counted_terms(train, ("label",), False)
     vocab = stored(vocabulary.vocabulary(vocabulary.term_doc_freq(terms), n_docs, 10_000), "vocabulary")
     weights_ = vocabulary.tfidf(terms, vocab, n_docs, "doc_id")
     log_prob, priors = bayes.fit_naive_bayes(weights_, train)

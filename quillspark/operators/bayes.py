@@ -80,13 +80,13 @@ def score_naive_bayes(
 def bigram_lm_score(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """Mean negative log probability of each text's word pairs, add-one smoothed.
 
-    The model is the corpus itself: one table of word and pair counts, written
-    once.  Pairs that occur nearly everywhere are joined by broadcast, the long
+    The model is the corpus itself: one table of word and pair counts.  Pairs that occur nearly everywhere are joined by broadcast, the long
     tail by shuffle.
     """
     tokens = tokenize(F.col(text))
-    counted = docs.select(
-        doc, F.inline(let(tokens, lambda t: term_counts(F.concat(t, bigrams(t)))))
+    # counting words costs far more than writing the counts: do it once
+    counted = stored(
+        docs.select(doc, F.inline(let(tokens, lambda t: term_counts(F.concat(t, bigrams(t)))))), "counts"
     )
     model = stored(
         counted.groupBy("term").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("n")), "bigrams"
