@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import let, occurrences, sentences, strip, word_count, words
+from quillspark.functions.text import (
+    NOT_SPACE,
+    let,
+    occurrences,
+    sentences,
+    word_count,
+    words,
+)
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -21,7 +28,7 @@ def distinct_word_share(text: Column) -> Column:
 def linguistic_features(text: Column) -> dict[str, Column]:
     """Eight features; empty text scores zero throughout."""
     length = F.length(text)
-    pieces = F.filter(F.split(text, r"\."), lambda s: strip(s) != "")
+    pieces = F.filter(F.split(text, r"\."), lambda s: s.rlike(NOT_SPACE))
     marks = F.regexp_count(text, F.lit("[!?]"))
     capitals = F.regexp_count(text, F.lit(r"\p{Lu}"))
     common = occurrences(text, "the") + occurrences(text, "and") + occurrences(text, "of")

@@ -17,6 +17,7 @@ from quillspark import fixed_values as fv
 
 WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+NOT_SPACE = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 NOT_KEPT = r"[^\p{L}\p{N}_ .,;:!?\-()]"
 URL = r"(?:https?://|www\.)[^\s\x{85}\p{Z}]+"
 EMAIL = r"[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
@@ -84,12 +85,11 @@ def _unwrap(quote: str, text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Whitespace-separated words; an empty array for blank text."""
-    return F.filter(F.split(squash(text), " "), lambda w: w != "")
+    return F.regexp_extract_all(text, F.lit(NOT_SPACE + "+"), F.lit(0))
 
 
 def word_count(text: Column) -> Column:
-    flat = squash(text)
-    return F.when(flat == "", F.lit(0)).otherwise(F.size(F.split(flat, " ")))
+    return F.regexp_count(text, F.lit(NOT_SPACE + "+"))
 
 
 def sentences(text: Column) -> Column:
