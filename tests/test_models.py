@@ -97,6 +97,13 @@ def test_cross_validation_and_records(texts):
     assert sum(map(sum, row["confusion_matrix"])) == 30
 
 
+def test_grid_search_ranks_every_candidate(texts):
+    grid = {**evaluate.LOGISTIC_GRID, "small forest": evaluate._forest(5, 3)}
+    got = {r["candidate"]: r["mean_f1"] for r in evaluate.grid_search(texts, "id", grid, 2, 50).collect()}
+    assert set(got) == set(grid) and got["C=1.0"] > 0.9
+    assert len(evaluate.FOREST_GRID) == 9
+
+
 def test_top_features_point_the_right_way(texts):
     model = models.fit_model(models.LOGISTIC, texts, "id")
     signed = models.top_features_signed(models.linear_weights(model), 3).collect()
