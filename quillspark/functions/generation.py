@@ -64,19 +64,28 @@ def length_ratio(generated: Column, original: Column) -> Column:
 
 def _apply_groups(text: Column, row_id: Column, groups: tuple, most: int, seed: int) -> Column:
     """Apply between two and ``most`` of the groups, in list order."""
-    draws = [draw(seed, row_id, f"group{g}") * 16 + g for g in range(len(groups))]
-    wanted = 2 + draw(seed, row_id, "how_many") % (most - 1)
-    last = F.element_at(F.sort_array(F.array(*draws)), wanted.cast("int"))
+    draws = F.array(*[draw(seed, row_id, f"group{g}") * 16 + g for g in range(len(groups))])
+    wanted = (2 + draw(seed, row_id, "how_many") % (most - 1)).cast("int")
+    chosen = let(
+        draws,
+        lambda d: let(
+            F.element_at(F.sort_array(d), wanted), lambda last: F.transform(d, lambda x: x <= last)
+        ),
+    )
 
-    def apply(group: tuple, chosen: Column, t: Column) -> Column:
+    def apply(group: tuple, flag: Column, t: Column) -> Column:
         changed = t
         for old, new in group:
             changed = F.replace(changed, F.lit(old), F.lit(new))
-        return F.when(chosen, changed).otherwise(t)
+        return F.when(flag, changed).otherwise(t)
 
-    for group, mine in zip(groups, draws):
-        text = let(text, partial(apply, group, mine <= last))
-    return text
+    def apply_all(flags: Column) -> Column:
+        out = text
+        for g, group in enumerate(groups):
+            out = let(out, partial(apply, group, F.get(flags, F.lit(g))))
+        return out
+
+    return let(chosen, apply_all)
 
 
 def synthetic_rewrite_basic(text: Column, row_id: Column, seed: int = 42) -> Column:
@@ -105,26 +114,16 @@ def synthetic_rewrite_full(text: Column, row_id: Column, seed: int = 42) -> Colu
             ". ",
         ),
     )
-    shortened = let(
-        F.struct(swapped.alias("t"), words(swapped).alias("w")),
-        lambda x: F.when(
-            chance(seed, row_id, "cut", fv.TRUNCATE_SHARE),
-            F.concat(
-                F.array_join(
-                    F.slice(
-                        x["w"],
-                        F.lit(1),
-                        F.greatest(
-                            F.size(x["w"]) - 10, F.floor(F.size(x["w"]) * F.lit(0.9)).cast("int")
-                        ),
-                    ),
-                    " ",
-                ),
-                F.lit("..."),
-            ),
-        ).otherwise(x["t"]),
+    def shorten(w: Column) -> Column:
+        kept = F.greatest(F.size(w) - 10, F.floor(F.size(w) * F.lit(0.9)).cast("int"))
+        return F.concat(F.array_join(F.slice(w, F.lit(1), kept), " "), F.lit("..."))
+
+    return let(
+        swapped,
+        lambda t: F.when(
+            chance(seed, row_id, "cut", fv.TRUNCATE_SHARE), let(words(t), shorten)
+        ).otherwise(t),
     )
-    return shortened
 
 
 def mixed_document(human: Column, generated: Column) -> Column:
