@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quillspark.llm import token_files
+from quillspark.llm import packing, token_files
 from quillspark.llm.common import table
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seekable token files of all documents, written and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -19,7 +23,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_token_files,)}
+    return {f.__name__: f for f in (op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
