@@ -7,10 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import packing, token_files
+from quillspark.llm import language_id, packing, token_files
 from quillspark.llm.common import table
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    found = language_id.identify_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -23,7 +29,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op6_language_id, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
