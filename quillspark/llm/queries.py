@@ -6,11 +6,46 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillspark.llm import language_id, packing, token_files
+from quillspark.llm import decontaminate, language_id, packing, token_files
 from quillspark.llm.common import table
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        decontaminate.item_digest("item_ids").alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(13, len(w)) AS size, w[i:i + least(13, len(w)) - 1] AS g
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM win),
+grams AS (SELECT doc_id, size, i, w[i:i + size - 1] AS g
+          FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, i, grams.size AS size, item_id FROM grams JOIN win USING (size, g)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     found = language_id.identify_languages(table(spark, sf_dir, "documents"))
@@ -29,8 +64,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_language_id, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op4_decontamination, op6_language_id, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": OP4_SQL}
