@@ -9,80 +9,106 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 _ADJACENT = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_STOPS = ".,;:!?"
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def chunks(text: str) -> list[str]:
-    """Cut a text at each single space that stands between two visible characters."""
+    """Cut a text before each single space that stands between two visible characters."""
     if not text:
         return []
-    if _ADJACENT.search(text) or text[0].isspace() or text[-1].isspace():
-        return _SAFE_SPACE.split(text)
-    return text.split(" ")
+    if "\0" in text or text[0].isspace() or text[-1].isspace() or _ADJACENT.search(text):
+        first, *others = _SAFE_SPACE.split(text)
+        return [first, *(" " + c for c in others)]
+    return text.replace(" ", "\0 ").split("\0")
 
 
 class ChunkEncoder:
-    """Ids of texts through one tokenizer file; remembers at most ``max_chunks`` chunks."""
+    """Ids of texts through one tokenizer file; remembers at most ``max_chunks`` chunks, the often used ones longest."""
 
-    def __init__(self, path: str, max_chunks: int = 300_000):
+    def __init__(self, path: str, max_chunks: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.max_chunks = max_chunks
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.starts = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _trim(self) -> None:
+        """Forget chunks used once, or more if half of the room would stay taken."""
+        least = max(2, int(np.partition(self.uses, -(self.max_chunks // 2))[-(self.max_chunks // 2)]) + 1) if len(
+            self.uses
+        ) > self.max_chunks // 2 else 2
+        keep = self.uses >= least
+        place = np.cumsum(keep) - 1
+        self.known = {c: int(place[k]) for c, k in self.known.items() if keep[k]}
+        ids, at = self._ids(np.flatnonzero(keep))
+        self.flat, self.starts, self.lengths = ids, at[:-1], np.diff(at)
+        self.uses = self.uses[keep] // 2
+
+    def _ids(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known chunks one after another, and where each begins (with a last end)."""
+        lengths = self.lengths[which]
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        place = np.repeat(self.starts[which] - at[:-1], lengths) + np.arange(at[-1])
+        return self.flat[place], at
+
+    def _add(self, new: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = len(self.known)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.flat = np.concatenate([self.flat, ids])
+        self.known.update(zip(new, range(first, first + len(new))))
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > self.max_chunks:
-            self._forget()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        first, lengths = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
-        total = int(lengths.sum())
-        while len(self.starts) < first + len(new):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        while len(self.flat) < self.used + total:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.starts[first : first + len(new)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first : first + len(new)] = lengths
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.used += total
-        self.known.update(zip(new, range(first, first + len(new))))
+        parts = {}
+        for chunk in new:  # a split stands between a letter and a full stop or the like in either vocabulary
+            core = chunk.rstrip(_STOPS)
+            if len(core) < len(chunk) and core and core[-1].isalpha() and core[-1] < "\u0250":
+                parts[chunk] = (core, chunk[len(core) :])
+        asked = dict.fromkeys(c for c in new if c not in parts)
+        asked.update(dict.fromkeys(c for pair in parts.values() for c in pair))
+        asked = [c for c in asked if c not in self.known]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(asked, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths)
+        both = np.array([self.known[c] for pair in parts.values() for c in pair], np.int64)
+        ids, at = self._ids(both)
+        self._add(list(parts), ids, np.diff(at[::2]))
 
     def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text starts (with a last end)."""
-        cut = [chunks(t or "") for t in texts]
-        # all but a text's first chunk follow a space, and some vocabularies merge it with the chunk
-        pieces = [c if i == 0 else " " + c for own in cut for i, c in enumerate(own)]
-        distinct = set(pieces)
-        new = [p for p in distinct if p not in self.known]
-        if new and len(self.known) + len(new) > self.max_chunks:
-            self._forget()
-            new = list(distinct)
-        if new:
-            self._learn(new)
-        which = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        lengths = self.lengths[which]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(self.starts[which] - (ends - lengths), lengths) + np.arange(total)
-        ids = self.flat[at]
-        edges = np.concatenate([[0], np.cumsum([len(own) for own in cut])]).astype(np.int64)
-        offsets = np.concatenate([[0], ends])[edges]
+        pieces: list[str] = []
+        counts = []
+        for text in texts:
+            own = chunks(text or "")
+            pieces += own
+            counts.append(len(own))
+        which = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(which < 0)
+        if len(missing):
+            new = dict.fromkeys(pieces[i] for i in missing)
+            if len(self.known) + 2 * len(new) > self.max_chunks and self.known:
+                self._trim()
+                new = dict.fromkeys(c for c in pieces if c not in self.known)
+                missing = np.arange(len(pieces))
+            self._learn(list(new))
+            which[missing] = np.fromiter((self.known[pieces[i]] for i in missing), np.int64, len(missing))
+        self.uses += np.bincount(which, minlength=len(self.uses))
+        ids, at = self._ids(which)
+        offsets = at[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
         if end_id is not None:
             ids = np.insert(ids, offsets[1:], end_id)
             offsets = offsets + np.arange(len(offsets))
