@@ -63,13 +63,13 @@ def text_bytes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray,
     return whole[offsets[0] : offsets[-1]], (offsets - offsets[0]).astype(np.int64)
 
 
-def slices(batch: pa.RecordBatch, max_bytes: int, column: str = "text"):
-    """Cut a batch into runs of rows with about ``max_bytes`` of text each."""
+def slices(batch: pa.RecordBatch, max_bytes: int, column: str = "text", max_rows: int = 1 << 16):
+    """Cut a batch into runs of rows with about ``max_bytes`` of text, and ``max_rows`` at most, each."""
     _, offsets = text_bytes(batch, column)
     start = 0
     while start < batch.num_rows:
         stop = int(np.searchsorted(offsets, offsets[start] + max_bytes, "left"))
-        stop = max(start + 1, min(stop, batch.num_rows))
+        stop = max(start + 1, min(stop, batch.num_rows, start + max_rows))
         yield batch.slice(start, stop - start)
         start = stop
 

@@ -8,10 +8,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, language_id, packing, token_files
+from quillspark.llm import decontaminate, jaccard_join, language_id, packing, token_files
 from quillspark.llm.common import table
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles are similar by 0.75 or more."""
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i:i + least(5, len(w)) - 1] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+                            FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) l
+          JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * l.c >= 75 * (p.n + q.n - l.c)),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(c) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)"""
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -64,8 +84,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontamination, op6_language_id, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op2_jaccard_join, op4_decontamination, op6_language_id, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL}

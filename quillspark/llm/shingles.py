@@ -21,15 +21,15 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = 5) -> tuple
     edges = np.searchsorted(starts, offsets)
     counts = np.diff(edges)
     rolled = np.zeros(len(hashes), np.uint64)
-    for j in range(words):
+    for j in range(min(words, len(hashes))):
         rolled[: len(hashes) - j] = rolled[: len(hashes) - j] * _STEP + hashes[j:]
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(hashes)) - edges[:-1][owner]
     whole = place <= counts[owner] - words
     for d in np.flatnonzero((counts > 0) & (counts < words)):
-        value = np.uint64(counts[d])
-        for h in hashes[edges[d] : edges[d + 1]]:
-            value = value * _STEP + h
+        value = int(counts[d])
+        for h in hashes[edges[d] : edges[d + 1]].tolist():
+            value = (value * int(_STEP) + h) % 2**64
         rolled[edges[d]], whole[edges[d]] = value, True
     rolled, owner = mix(rolled[whole]), owner[whole]
     order = np.lexsort((rolled, owner))
