@@ -218,7 +218,7 @@ def _signature_blobs(blocks: DataFrame, parts: int) -> DataFrame:
 GROUPS = "hot boolean, a long, b long, freq long, band int, slack long"
 
 
-def _shared_signatures(key, table):
+def _shared_signatures(key, table, hot_size):
     """Pairs under signatures with few sets; members of hot signatures with frequency, band and slack."""
     sig, handle, band, slack = (np.concatenate(c) for c in zip(*map(_unpack, table.column("blob").to_pylist())))
     order = np.lexsort((handle, sig))
@@ -226,14 +226,14 @@ def _shared_signatures(key, table):
     first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     size = np.diff(np.concatenate([first, [len(sig)]]))
     a, b = [], []
-    for n in range(2, HOT + 1):
+    for n in range(2, hot_size + 1):
         members = handle[first[size == n][:, None] + np.arange(n)]
         i, j = np.triu_indices(n, 1)
         a.append(members[:, i].ravel())
         b.append(members[:, j].ravel())
     pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1) if a else np.zeros((2, 0), np.int64)
     pairs = pairs[:, pairs[0] != pairs[1]]
-    hot = np.flatnonzero(size > HOT)
+    hot = np.flatnonzero(size > hot_size)
     rows = np.repeat(first[hot] - np.concatenate([[0], np.cumsum(size[hot])[:-1]]), size[hot]) + np.arange(size[hot].sum())
     name = mix(sig[rows] + (np.uint64(key[0].as_py()) << np.uint64(44))).astype(np.int64)
     none, freq = np.zeros(pairs.shape[1], np.int64), np.repeat(size[hot], size[hot])
@@ -324,7 +324,7 @@ def _links(pairs: DataFrame, blocks: DataFrame, threshold_percent: int) -> DataF
     return joined.mapInArrow(verify, "a long, b long")
 
 
-def link_documents(docs: DataFrame, threshold_percent: int = 75, parts: int | None = None) -> DataFrame:
+def link_documents(docs: DataFrame, threshold_percent: int = 75, parts: int | None = None, hot_size: int = HOT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document; linked sets are similar by the threshold.
 
     The segment numbers above hold for 75 %; a higher threshold only filters the same candidates.
@@ -347,9 +347,9 @@ def link_documents(docs: DataFrame, threshold_percent: int = 75, parts: int | No
             F.collect_list(F.col("handle").bitwiseAND(0xFFFF).cast("int")).alias("copies")
         )
         dealt = _signature_blobs(blocks.join(by_block, "block", "left"), parts)
-        groups = scratch.store(dealt.groupBy("part").applyInArrow(_shared_signatures, GROUPS), "groups")
+        groups = scratch.store(dealt.groupBy("part").applyInArrow(lambda k, t: _shared_signatures(k, t, hot_size), GROUPS), "groups")
         hot = scratch.store(_allocate(groups.filter("hot")), "hot")
-        few, many = hot.filter(F.col("size") <= HOT), hot.filter(F.col("size") > HOT)
+        few, many = hot.filter(F.col("size") <= hot_size), hot.filter(F.col("size") > hot_size)
         other = few.select("sig", F.col("handle").alias("b"))
         near = few.select("sig", F.col("handle").alias("a")).join(other, "sig").filter("a < b").select("a", "b")
         star = many.filter("handle <> first").select(F.col("first").alias("a"), F.col("handle").alias("b"))

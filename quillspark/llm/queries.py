@@ -8,10 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, jaccard_join, language_id, packing, token_files
+from quillspark.llm import decontaminate, jaccard_join, language_id, packing, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents without passages of 100 bytes that start earlier."""
+
+    def digests(found: DataFrame) -> DataFrame:
+        return found.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            "n_bytes",
+            "n_removed",
+            F.size("spans").cast("long").alias("n_spans"),
+            F.sha2("kept", 256).alias("kept_sha256"),
+        )
+
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digests)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 5-word shingles are similar by 0.75 or more."""
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
@@ -84,7 +99,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op4_decontamination, op6_language_id, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op4_decontamination, op6_language_id, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:

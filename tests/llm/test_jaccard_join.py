@@ -58,12 +58,11 @@ def corpus(seed, groups=6, copies=30):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_components_equal_all_pairs(spark, seed, monkeypatch):
-    if seed == 3:
-        monkeypatch.setattr(jj, "HOT", 2)  # nearly every signature takes the way of the hot ones
+def test_components_equal_all_pairs(spark, seed):
     rows = corpus(seed)
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, handle int").repartition(3)
-    got = jj.link_documents(docs, parts=7).collect()
+    hot = 2 if seed == 3 else jj.HOT  # nearly every signature takes the way of the hot ones
+    got = jj.link_documents(docs, parts=7, hot_size=hot).collect()
     assert sorted(map(tuple, got)) == sorted(brute(rows))
 
 
