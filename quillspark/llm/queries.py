@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, jaccard_join, language_id, packing, suffix_dedup, token_files
+from quillspark.llm import decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
@@ -81,12 +81,39 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def op5_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector against all others."""
+    return knn_join.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+      FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5"""
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     found = language_id.identify_languages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of equal row counts along a Hilbert curve."""
+    return hilbert.shard_rows(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -99,8 +126,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op4_decontamination, op6_language_id, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL}
