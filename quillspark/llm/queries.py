@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, suffix_dedup, token_files
+from quillspark.llm import decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
@@ -114,6 +114,11 @@ def op7_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from three quarters of the labels."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -126,7 +131,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
