@@ -7,11 +7,11 @@ its text by a join on the block number.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quillspark.llm.common import slices
 
@@ -45,5 +45,34 @@ def block_rows(payload: bytes) -> pa.RecordBatch:
         return next(iter(reader))
 
 
-def block_of(handle):
-    return F.shiftright(handle, PLACE_BITS)
+def pack_columns(**columns: np.ndarray) -> bytes:
+    """Columns as bytes, the lowest byte of all values first; zero bytes vanish in the compression."""
+    n = len(next(iter(columns.values())))
+    planes = [np.ascontiguousarray(c.astype("<i8" if c.dtype != np.uint64 else "<u8")).view(np.uint8).reshape(n, 8).T.tobytes() for c in columns.values()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack_columns(blobs: list[bytes], kinds: str) -> list[np.ndarray]:
+    """The columns of all blobs; a ``u`` is unsigned, an ``i`` signed."""
+    columns = [[] for _ in kinds]
+    for blob in blobs:
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+        n = len(raw) // (8 * len(kinds))
+        for k, kind in enumerate(kinds):
+            plane = raw[8 * n * k : 8 * n * (k + 1)].reshape(8, n).T
+            columns[k].append(np.ascontiguousarray(plane).view(f"<{kind}8").ravel())
+    return [np.concatenate(c) if c else np.zeros(0, f"<{kind}8") for c, kind in zip(columns, kinds)]
+
+
+def dealt(part: np.ndarray, kind: str, **columns: np.ndarray):
+    """Rows (kind, key, blob), one for each value of ``part``."""
+    order = np.argsort(part, kind="stable")
+    keys, first = np.unique(part[order], return_index=True)
+    edges = np.append(first, len(part))
+    for low in range(0, len(keys), 256):
+        some = range(low, min(low + 256, len(keys)))
+        blobs = [pack_columns(**{n: c[order[edges[i] : edges[i + 1]]] for n, c in columns.items()}) for i in some]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([kind] * len(blobs)), pa.array(keys[list(some)].astype(np.int64)), pa.array(blobs, pa.binary())],
+            names=["kind", "key", "blob"],
+        )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
+from quillspark.llm import context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
@@ -47,6 +47,11 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(c) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)"""
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and base log10 probabilities of all documents, learned from four fifths of them."""
+    return context_tree.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -131,7 +136,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files)}
 
 
 def oracles() -> dict[str, str]:
