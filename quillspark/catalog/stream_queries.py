@@ -14,48 +14,52 @@ from quillspark.session import scratch_path
 from quillspark.streaming import jobs
 
 
-def arriving(spark, sf, name, files=None):
+def arriving(spark, sf, name):
     """A table as a stream of files."""
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema)
-    if files:
-        return reader.option("maxFilesPerTrigger", 1).parquet(files)
-    return reader.parquet(f"{sf}/{name}*.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}*.parquet")
 
 
-@query("stream_ingest_dedupe", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
-def _ingest(spark, sf):
-    """The event log arriving in four files: a user is new only once."""
+def in_parts(spark, sf, job, parts=4):
+    """The event log arriving in four appends, in order; ``job`` drains the stream after each."""
     files = scratch_path(spark, "arriving")
     events = table(spark, sf, "events")
-    last = events.agg(F.max("event_id")).first()[0]
-    for part in range(4):
-        mine = F.floor(F.col("event_id") * 4 / (last + 1)) == part
-        events.filter(mine).coalesce(1).write.mode("append").parquet(files)
-    stream = arriving(spark, sf, "events", files).select("user_id", "event_id")
+    last = events.select(F.max("event_id")).scalar()
+    place = F.floor(F.col("event_id") * parts / (last + 1))
+    for part in range(parts):
+        events.filter(place == part).write.mode("append").parquet(files)
+        out = job(spark.readStream.schema(events.schema).parquet(files))
+    return out
+
+
+@query("stream_ingest_dedupe", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
+def _ingest(spark, sf):
+    """A user is new only once, over four micro-batches."""
     target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state")
-    return jobs.stream_ingest_dedupe(stream, target, checkpoint, "user_id", ["event_id"])
+    return in_parts(spark, sf, lambda stream: jobs.stream_ingest_dedupe(
+        stream.select("user_id", "event_id"), target, checkpoint, "user_id", ["event_id"]))
 
 
 @query("stream_rate_window", RATE_SQL)
 def _rates(spark, sf):
-    stream = arriving(spark, sf, "events").select("ts", "event_type")
+    """Four micro-batches with their own counts of the same minutes."""
     target, checkpoint = scratch_path(spark, "rates"), scratch_path(spark, "rates-state")
     limits = {k: n for k, (_, n) in LIMITS.items()}
-    out = jobs.stream_rate_window(stream, target, checkpoint, "ts", "event_type", limits)
+    out = in_parts(spark, sf, lambda stream: jobs.stream_rate_window(
+        stream.select("ts", "event_type"), target, checkpoint, "ts", "event_type", limits))
     return out.withColumn("window_start", minute())
 
 
 @query("stream_drift_monitor", DRIFT_SQL)
 def _drift(spark, sf):
-    stream = arriving(spark, sf, "events").select(
+    target, checkpoint = scratch_path(spark, "drift"), scratch_path(spark, "drift-state")
+    judged = (
         "event_id",
         "ts",
         F.col("event_type").isin("error", "purchase").cast("int").alias("label"),
         (F.col("value") > 10).cast("int").alias("predicted"),
     )
-    target, checkpoint = scratch_path(spark, "drift"), scratch_path(spark, "drift-state")
-    out = jobs.stream_drift_monitor(stream, target, checkpoint, "ts")
+    out = in_parts(spark, sf, lambda stream: jobs.stream_drift_monitor(stream.select(*judged), target, checkpoint, "ts"))
     return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 

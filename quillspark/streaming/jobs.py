@@ -1,12 +1,15 @@
 """Streaming jobs.  Each drains what is available and equals its batch counterpart.
 
-Sinks write one directory per micro-batch with overwrite, so a replayed batch
-replaces its own output.  State and offsets live in the checkpoint folder.
+Sinks write one directory per run and micro-batch, with overwrite.  A run is the life of one checkpoint folder and
+its id is kept there, so a replayed batch replaces its own output and a new checkpoint on an old target adds to it.
+Windowed counts are written as partial counts per micro-batch and added up when read: a row that arrives late is
+one more partial, whatever its time, and no state has to be bounded by dropping it.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +21,12 @@ from quillspark.operators.corpus import antijoin_new_ids
 from quillspark.operators.usage import with_limit
 from quillspark.plans.predict import predict_batch
 
+ID_BUCKETS = 64
+
 
-def _drain(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> StreamingQuery:
+def _drain(stream: DataFrame, sink, checkpoint: str) -> StreamingQuery:
     query = (
-        stream.writeStream.outputMode(mode)
+        stream.writeStream.outputMode("append")
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -31,56 +36,79 @@ def _drain(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> St
     return query
 
 
+def _listed(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches; access errors are raised, not taken for an empty target."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that a checkpoint folder belongs to, made up the first time."""
+    folder = f"{checkpoint}/run"
+    if not _listed(spark, f"{folder}/_SUCCESS"):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "run string").write.mode("overwrite").json(folder)
+    return spark.read.schema("run string").json(folder).first()["run"]
+
+
 def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Everything a job has written so far, with its ``batch_id``; empty before the first batch."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    try:
-        return spark.read.schema(full).option("basePath", path).parquet(f"{path}/batch_id=*")
-    except AnalysisException:  # nothing written yet
+    """Everything that jobs have written so far, with ``run_id`` and ``batch_id``; empty before the first batch."""
+    marks = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+    full = T.StructType([*schema.fields, *marks])
+    pattern = f"{path}/run_id=*/batch_id=*"
+    if not _listed(spark, pattern):
         return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(pattern)
+
+
+def _write_batch(target: str, run: str, partition: str | None = None):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.mode("overwrite")
+        (writer.partitionBy(partition) if partition else writer).parquet(f"{target}/run_id={run}/batch_id={batch_id}")
+
+    return write
 
 
 def stream_ingest_dedupe(
-    incoming: DataFrame, target: str, checkpoint: str, key: str, order: list[str]
+    incoming: DataFrame, target: str, checkpoint: str, key: str, order: list[str], buckets: int = ID_BUCKETS
 ) -> DataFrame:
-    """Append only records whose id is new, across batches and within one."""
-    spark, schema = incoming.sparkSession, incoming.schema
+    """Append only records whose id is new: within a batch, across batches, and across runs.
+
+    Records lie in buckets of the id's digest; a batch reads the ids of its own buckets only.
+    """
+    spark, run = incoming.sparkSession, run_id(incoming.sparkSession, checkpoint)
+    schema = T.StructType([*incoming.schema.fields, T.StructField("id_bucket", T.IntegerType())])
+    write = _write_batch(target, run, "id_bucket")
 
     def append_new(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("id_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        present = [r["id_bucket"] for r in batch.select("id_bucket").distinct().collect()]  # at most ``buckets``
         # a replay must not take its own earlier output for stored records
-        earlier = stored_batches(spark, target, schema).filter(F.col("batch_id") < batch_id)
-        fresh = antijoin_new_ids(batch, earlier.select(key), key, order)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        own = (F.col("run_id") == run) & (F.col("batch_id") == batch_id)
+        earlier = stored_batches(spark, target, schema).filter(~own & F.col("id_bucket").isin(present))
+        write(antijoin_new_ids(batch, earlier.select(key), key, order), batch_id)
+        batch.unpersist()
 
     _drain(incoming, append_new, checkpoint)
-    return stored_batches(spark, target, schema).drop("batch_id")
+    return stored_batches(spark, target, schema).select(*incoming.columns)
 
 
 def stream_rate_window(
-    requests: DataFrame,
-    target: str,
-    checkpoint: str,
-    ts: str,
-    provider: str,
-    limits: dict[str, int],
-    delay: str = "10 minutes",
+    requests: DataFrame, target: str, checkpoint: str, ts: str, provider: str, limits: dict[str, int]
 ) -> DataFrame:
-    """Requests per provider and minute; the watermark bounds how many minutes stay in state.
+    """Requests per provider and minute, as partial counts per micro-batch."""
+    window = F.window(F.col(ts).cast("timestamp"), "1 minute")["start"].alias("window_start")
+    keys = [window, F.col(provider).alias("provider")]
+    write = _write_batch(target, run_id(requests.sparkSession, checkpoint))
 
-    Each batch writes the windows it changed.  Counts only grow, so the largest
-    one written for a window is its current value.
-    """
-    counts = (
-        requests.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 minute").alias("w"), F.col(provider).alias("provider"))
-        .agg(F.count(F.lit(1)).alias("requests"))
-        .select(F.col("w.start").alias("window_start"), "provider", "requests")
-    )
-    _drain(counts, _overwrite_batch(target), checkpoint, "update")
-    written = stored_batches(requests.sparkSession, target, counts.schema)
-    latest = written.groupBy("window_start", "provider").agg(F.max("requests").alias("requests"))
-    return with_limit(latest, limits)
+    def count(batch: DataFrame, batch_id: int) -> None:
+        write(batch.filter(F.col(ts).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("requests")), batch_id)
+
+    _drain(requests, count, checkpoint)
+    schema = T.StructType.fromDDL("window_start timestamp, provider string, requests long")
+    written = stored_batches(requests.sparkSession, target, schema)
+    total = written.groupBy("window_start", "provider").agg(F.sum("requests").alias("requests"))
+    return with_limit(total, limits)
 
 
 def stream_score(
@@ -88,30 +116,23 @@ def stream_score(
 ) -> DataFrame:
     """Predictions for every text that arrives."""
     predictions = predict_batch(model, name, texts)
-    _drain(predictions, _overwrite_batch(target), checkpoint)
-    return stored_batches(texts.sparkSession, target, predictions.schema).drop("batch_id")
+    _drain(predictions, _write_batch(target, run_id(texts.sparkSession, checkpoint)), checkpoint)
+    return stored_batches(texts.sparkSession, target, predictions.schema).drop("run_id", "batch_id")
 
 
 def stream_drift_monitor(
-    scored: DataFrame, target: str, checkpoint: str, ts: str, length: str = "1 day",
-    delay: str = "1 hour",
+    scored: DataFrame, target: str, checkpoint: str, ts: str, length: str = "1 day"
 ) -> DataFrame:
-    """Accuracy over time from a stream of judged predictions."""
-    counts = (
-        scored.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(F.window(ts, length).alias("w"))
-        .agg(*[c.alias(k) for k, c in m.outcome_counts(1).items()])
-    )
-    _drain(counts, _overwrite_batch(target), checkpoint, "update")
-    written = stored_batches(scored.sparkSession, target, counts.schema)
-    cells = ("tp", "fp", "fn", "tn")
-    latest = written.groupBy("w").agg(*[F.max(c).alias(c) for c in cells])
-    return m.drift_report(latest)
-
-
-def _overwrite_batch(target: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-
-    return write
+    """Accuracy over time from a stream of judged predictions, as partial counts per micro-batch."""
+    window = F.window(F.col(ts).cast("timestamp"), length).alias("w")
+    cells = m.outcome_counts(1)
+    write = _write_batch(target, run_id(scored.sparkSession, checkpoint))
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.filter(F.col(ts).isNotNull()).groupBy(window).agg(*[c.alias(k) for k, c in cells.items()])
+        write(counted, batch_id)
+
+    _drain(scored, count, checkpoint)
+    schema = T.StructType.fromDDL("w struct<start:timestamp,end:timestamp>, " + ", ".join(f"{k} long" for k in cells))
+    written = stored_batches(scored.sparkSession, target, schema)
+    return m.drift_report(written.groupBy("w").agg(*[F.sum(c).alias(c) for c in cells]))
