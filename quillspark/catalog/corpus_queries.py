@@ -73,8 +73,8 @@ _filter_query(
 )
 _filter_query(
     "filter_length_band",
-    f"length({b.squash('text')}) BETWEEN 50 AND 5000 AND {b.clean('text')} <> ''",
-    lambda df: corpus.filter_nonempty_clean(corpus.with_clean_text(df)),
+    f"length({b.squash('text')}) BETWEEN 50 AND 5000",
+    corpus.filter_length_band,
 )
 _filter_query(
     "filter_nonempty_clean",
@@ -190,13 +190,12 @@ def _distinct_sentences(spark, sf):
 
 @query(
     "dedupe_keep_first",
-    f"WITH {b.PREPARED} SELECT doc_id, label, clean_text FROM prepared",
+    f"""WITH {b.CLEAN_DOCS} SELECT doc_id, lang, clean_text FROM (SELECT *, row_number() OVER (PARTITION BY clean_text
+        ORDER BY doc_id) AS rn FROM clean_docs) WHERE rn = 1""",
 )
 def _dedupe(spark, sf):
-    kept = corpus.dedupe_keep_first(
-        b.clean_labelled(spark, sf), ["corpus_rank", "doc_id"]
-    )
-    return kept.select("doc_id", "label", "clean_text")
+    kept = corpus.dedupe_keep_first(b.clean_documents(spark, sf), ["doc_id"])
+    return kept.select("doc_id", "lang", "clean_text")
 
 
 @query(
@@ -354,13 +353,13 @@ def _class_shares(spark, sf):
 
 @query(
     "cleaning_report",
-    f"""WITH {b.LABELLED}, c AS (SELECT {b.clean('text')} AS c FROM labelled)
+    f"""WITH c AS (SELECT {b.clean('text')} AS c FROM documents)
     SELECT count(*) AS original_texts, count(*) FILTER (c <> '') AS nonempty_texts,
       count(*) FILTER (c <> '') - count(DISTINCT c) FILTER (c <> '') AS duplicates_removed,
       count(DISTINCT c) FILTER (c <> '') AS final_texts FROM c""",
 )
 def _cleaning_report(spark, sf):
-    return corpus.cleaning_report(b.labelled(spark, sf))
+    return corpus.cleaning_report(table(spark, sf, "documents"))
 
 
 @query(

@@ -9,6 +9,7 @@ from quillspark.catalog import base as b
 from quillspark.catalog.base import query
 from quillspark.operators import bayes, vocabulary
 from quillspark.operators.splits import stratified_holdout
+from quillspark.plans.features import tfidf_table
 from quillspark.session import stored
 
 KEPT = f"list_filter({b.tokens('clean_text')}, lambda t: t NOT IN ({b.quoted(fv.ENGLISH_STOP_WORDS)}))"
@@ -89,9 +90,9 @@ def _lookup(spark, sf):
 
 
 def weights(spark, sf):
-    terms, n_docs = counted_terms(documents(spark, sf))
-    vocab = fitted_vocabulary(terms, n_docs)
-    return vocabulary.tfidf(terms, vocab, n_docs, "doc_id"), n_docs
+    docs = documents(spark, sf)
+    n_docs = docs.count()
+    return tfidf_table(docs, "doc_id", "clean_text", fitted_vocabulary(doc_terms(docs), n_docs), n_docs), n_docs
 
 
 @query(
@@ -199,9 +200,10 @@ def bayes_parts(spark, sf):
     split = stratified_holdout(stored(docs, "clean"), "doc_id", ["label"])
     split = stored(split, "holdout")
     train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
-    terms, n_docs = counted_terms(train, ("label",), False)
-    vocab = stored(vocabulary.vocabulary(vocabulary.term_doc_freq(terms), n_docs, 10_000), "vocabulary")
-    weights_ = vocabulary.tfidf(terms, vocab, n_docs, "doc_id")
+    n_docs = train.count()
+    frequencies = vocabulary.term_doc_freq(doc_terms(train, ("label",), False))
+    vocab = stored(vocabulary.vocabulary(frequencies, n_docs, 10_000), "vocabulary")
+    weights_ = tfidf_table(train, "doc_id", "clean_text", vocab, n_docs, False, ("label",))
     log_prob, priors = bayes.fit_naive_bayes(weights_, train)
     return test, vocab, n_docs, stored(log_prob, "bayes"), priors
 
@@ -232,7 +234,7 @@ def _nb_features(spark, sf):
 )
 def _train_bayes(spark, sf):
     test, vocab, n_docs, log_prob, priors = bayes_parts(spark, sf)
-    weights_ = vocabulary.tfidf(doc_terms(test, (), False), vocab, n_docs, "doc_id")
+    weights_ = tfidf_table(test, "doc_id", "clean_text", vocab, n_docs, False)
     scored = bayes.score_naive_bayes(weights_, test.select("doc_id", "label"), log_prob, priors, "doc_id")
     return scored.select(
         "doc_id", (F.col("label") == "ai").cast("bigint").alias("label"), F.round("score", 6).alias("score")

@@ -173,16 +173,16 @@ def _batch_summary(spark, sf):
 
 @query(
     "fairness_rates",
-    f"""WITH {b.SCORED}, g AS (SELECT lang, grouping(lang) AS top, count(*) AS texts,
+    f"""WITH {b.SCORED}, g AS (SELECT model, lang, grouping(lang) AS top, count(*) AS texts,
       count(*) FILTER (label = 1 AND predicted = 1) AS tp, count(*) FILTER (label = 0 AND predicted = 1) AS fp,
       count(*) FILTER (label = 1 AND predicted = 0) AS fn, count(*) FILTER (label = 0 AND predicted = 0) AS tn
-      FROM scored WHERE model = 'variety' GROUP BY ROLLUP (lang))
-    SELECT CASE WHEN top = 1 THEN 'all' ELSE lang END AS "group", texts,
+      FROM scored GROUP BY model, ROLLUP (lang))
+    SELECT model, CASE WHEN top = 1 THEN 'all' ELSE lang END AS "group", texts,
       round({ratio('fp', 'fp + tn')}, 6) AS false_positive_rate,
       round({ratio('fn', 'fn + tp')}, 6) AS false_negative_rate FROM g""",
 )
 def _fairness(spark, sf):
-    return metrics.fairness_rates(b.scored(spark, sf).filter(F.col("model") == "variety"), "lang")
+    return metrics.fairness_rates(b.scored(spark, sf), "lang", ("model",))
 
 
 @query(

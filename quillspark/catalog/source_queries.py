@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillspark.catalog import base as b
@@ -39,21 +40,22 @@ def _read_corpus(spark, sf):
 
 @query(
     "read_jsonl_tolerant",
-    """SELECT 'good' AS kind, count(*) AS lines FROM documents WHERE doc_id % 7 <> 0
-       UNION ALL SELECT 'rejected', count(*) FROM documents WHERE doc_id % 7 = 0""",
+    """WITH l AS (SELECT doc_id, text, source, to_json({'text': text, 'label': 'human', 'source': source})::VARCHAR AS line
+                  FROM documents)
+       SELECT 'good' AS kind, text, 'human' AS label, source, NULL AS line FROM l WHERE doc_id % 7 <> 0
+       UNION ALL SELECT 'rejected', NULL, NULL, NULL, line[:length(line) // 2] FROM l WHERE doc_id % 7 = 0""",
 )
 def _tolerant(spark, sf):
     """Every seventh line is cut in half before reading."""
     path = scratch_path(spark, "broken")
     line = F.to_json(F.struct("text", F.lit("human").alias("label"), "source"))
-    half = F.substring(line, F.lit(1), (F.length(line) / 2).cast("int"))
+    half = F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))
     table(spark, sf, "documents").select(
         F.when(F.col("doc_id") % 7 == 0, half).otherwise(line).alias("value")
     ).write.text(path)
     good, rejected = readers.read_jsonl_tolerant(spark, path)
-    return good.agg(F.lit("good").alias("kind"), F.count("text").alias("lines")).unionByName(
-        rejected.agg(F.lit("rejected").alias("kind"), F.count("line").alias("lines"))
-    )
+    fields = good.select(F.lit("good").alias("kind"), "text", "label", "source")
+    return fields.unionByName(rejected.select(F.lit("rejected").alias("kind"), "line"), allowMissingColumns=True)
 
 
 def written_splits(spark, sf):
@@ -96,16 +98,23 @@ def _append(spark, sf):
 
 @query(
     "write_run_stats",
-    f"""WITH {b.CLEAN_LABELLED}, {SPLIT} SELECT count(*) AS total_texts,
-      count(*) FILTER (label = 'human') AS human_texts, count(*) FILTER (label = 'ai') AS ai_texts FROM split_rows""",
+    f"""WITH {b.PREPARED}, {b.split_sql('prepared', 'doc_id', 'label', 0.2, 0.2)} SELECT count(*) AS total_texts,
+      count(*) FILTER (split = 'train') AS train_size, count(*) FILTER (split = 'val') AS val_size,
+      count(*) FILTER (split = 'test') AS test_size,
+      count(*) FILTER (label = 'human') AS human_texts, count(*) FILTER (label = 'ai') AS ai_texts,
+      round(avg(text_length), 6) AS avg_text_length, round(avg(word_count), 6) AS avg_word_count,
+      true AS dated FROM split_rows""",
 )
 def _run_stats(spark, sf):
+    """All statistics of the prepared corpus, after the round trip."""
     path = scratch_path(spark, "stats")
-    rows = b.clean_labelled(spark, sf).withColumns(
-        {"text_length": F.length("clean_text"), "word_count": F.lit(0), "split": F.lit("train")}
+    writers.write_run_stats(profile.corpus_stats(prepare.prepare_corpus(b.labelled(spark, sf), "doc_id")), path)
+    counts = ("total_texts", "train_size", "val_size", "test_size", "human_texts", "ai_texts")
+    averages = ("avg_text_length", "avg_word_count")
+    fields = ", ".join([*(f"{c} long" for c in counts), *(f"{c} double" for c in averages), "preprocessing_date timestamp"])
+    return spark.read.schema(fields).json(path).select(
+        *counts, *(F.round(c, 6).alias(c) for c in averages), F.col("preprocessing_date").isNotNull().alias("dated")
     )
-    writers.write_run_stats(profile.corpus_stats(rows), path)
-    return spark.read.schema("total_texts long, human_texts long, ai_texts long").json(path)
 
 
 @query(
@@ -140,25 +149,33 @@ def _lines(spark, sf):
     flat = squash(F.col("text"))
     blank = F.when(F.col("doc_id") % 2 == 0, F.lit("\n   ")).otherwise(F.lit(""))
     lines = table(spark, sf, "documents").select("doc_id", F.concat(flat, blank).alias("value"))
-    lines.coalesce(1).sortWithinPartitions("doc_id").select("value").write.text(path)
+    # files in id order, as many as there are ranges
+    lines.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
     return readers.read_text_lines(spark, path)
 
 
-@query("read_whole_text", "SELECT lang, count(*) AS lines FROM documents GROUP BY lang")
+@query("read_whole_text", "SELECT doc_id, text FROM documents")
 def _whole(spark, sf):
-    """One file per language; each comes back as a single text."""
+    """Files of up to 500 documents each come back as single texts, which are taken apart again."""
     path = scratch_path(spark, "whole")
-    table(spark, sf, "documents").select(
-        "lang", F.concat_ws(" ", "lang", F.lit("document"), F.col("doc_id").cast("string")).alias("value")
-    ).repartition("lang").write.partitionBy("lang").text(path)
-    texts = readers.read_whole_text(spark, f"{path}/*")
-    return texts.select(
-        F.split_part("text", F.lit(" "), F.lit(1)).alias("lang"),
-        F.regexp_count("text", F.lit("\n")).alias("lines"),
+    marked = F.concat(F.lit("\x1e"), F.col("doc_id").cast("string"), F.lit("\x1f"), "text", F.lit("\x1e"))
+    table(spark, sf, "documents").select(marked.alias("value")).write.option("maxRecordsPerFile", 500).text(path)
+    entry = F.explode(F.regexp_extract_all("text", F.lit("\x1e([0-9]+\x1f[^\x1e]*)\x1e"), F.lit(1))).alias("entry")
+    entries = readers.read_whole_text(spark, path).select(entry)
+    at = F.instr("entry", "\x1f")
+    return entries.select(
+        F.expr("substr(entry, 1, instr(entry, '\x1f') - 1)").cast("long").alias("doc_id"),
+        F.col("entry").substr(at + 1, F.length("entry")).alias("text"),
     )
 
 
-PAGE_ENTRIES = 100
+
+
+def as_feed(batches):
+    """A partition's entries as one feed, so that a written file is one page."""
+    yield pa.RecordBatch.from_pydict({"value": ['<feed xmlns="http://www.w3.org/2005/Atom">']})
+    yield from batches
+    yield pa.RecordBatch.from_pydict({"value": ["</feed>"]})
 
 
 def feed_pages(spark, sf):
@@ -179,20 +196,8 @@ def feed_pages(spark, sf):
         F.col("source"), F.lit("</name></author><author><name>"), F.col("lang"),
         F.lit('</name></author><category term="'), F.col("lang"), F.lit('"/><category term="x"/></entry>'),
     )
-    entries = table(spark, sf, "documents").select(
-        F.floor(F.col("doc_id") / PAGE_ENTRIES).alias("page"), F.lit(1).alias("at"), entry.alias("value")
-    )
-    frame = entries.select("page").distinct().select(
-        "page",
-        F.inline(
-            F.array(
-                F.struct(F.lit(0).alias("at"), F.lit('<feed xmlns="http://www.w3.org/2005/Atom">').alias("value")),
-                F.struct(F.lit(2).alias("at"), F.lit("</feed>").alias("value")),
-            )
-        ),
-    )
-    pages = entries.unionByName(frame).repartition("page").sortWithinPartitions("page", "at")
-    pages.select("page", "value").write.partitionBy("page").text(path)
+    entries = table(spark, sf, "documents").select(entry.alias("value"))
+    entries.mapInArrow(as_feed, "value string").write.text(path)
     return path
 
 

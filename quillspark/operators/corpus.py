@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark import fixed_values as fv
-from quillspark.functions.text import clean_text, record_text, strip, word_count
+from quillspark.functions.text import clean_text, record_text, squash, strip, word_count
 from quillspark.operators.joins import hot_key_join
 from quillspark.operators.running import in_ranges
 
@@ -84,6 +84,11 @@ def filter_scorable(df: DataFrame, least: int = fv.MIN_SCORABLE_CHARS) -> DataFr
     return df.filter(F.length("clean_text") >= least)
 
 
+def filter_length_band(df: DataFrame, low: int = fv.CLEAN_MIN_CHARS, high: int = fv.CLEAN_MAX_CHARS) -> DataFrame:
+    """Texts whose length, white space collapsed but marks still in, lies in the band."""
+    return df.filter(F.length(squash(F.col("text"))).between(low, high))
+
+
 def filter_nonempty_clean(df: DataFrame) -> DataFrame:
     return df.filter(F.col("clean_text") != "")
 
@@ -125,14 +130,24 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return kept.select(*keys, "_row.*").select(*df.columns)
 
 
+def text_digest(text: str = "clean_text") -> Column:
+    """Stands for a text as a key: 256 bits and the length, whatever the text's size."""
+    return F.struct(F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias("sha"), F.length(text).alias("chars"))
+
+
 def dedupe_keep_first(df: DataFrame, order: list[str], text: str = "clean_text") -> DataFrame:
-    """Drop repeated texts, keeping the first.
+    """Drop repeated texts, keeping the first by ``order``, which must be unique and not null.
 
-    The text itself is the key, so the result is exact; its hash leads so that
-    sorting and comparing long keys stays cheap.
+    Only digests and order columns are grouped and shuffled.  Texts that have a copy are few beside all: their later
+    rows are looked up by digest and taken out by ``order``, so a text moves at most once, or not at all
+    if the rows to drop are few enough to be broadcast.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(text))
-    return first_per_key(hashed, ["_hash", text], order).drop("_hash")
+    narrow = df.select(text_digest(text).alias("_digest"), *order)
+    place = F.struct(*order)
+    groups = narrow.groupBy("_digest").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeated = groups.filter(F.col("_n") > 1).drop("_n")
+    later = narrow.join(repeated, "_digest").filter(place != F.col("_first")).select(*order)
+    return df.join(later, order, "left_anti").select(*df.columns)
 
 
 def antijoin_new_ids(
@@ -176,15 +191,18 @@ def cap_total(df: DataFrame, order: list[str], most: int = fv.TARGET_TOTAL) -> D
     return df.filter(F.struct(*columns) <= stop)
 
 
+def _digest_of(text: Column) -> Column:
+    return F.struct(F.sha2(text.cast("binary"), 256).alias("sha"), F.length(text).alias("chars"))
+
+
 def cleaning_report(df: DataFrame) -> DataFrame:
     """How many texts came in, survived cleaning, and repeated.
 
-    Copies collapse map-side before the totals are taken.
+    Copies collapse map-side before the totals are taken, and only digests are shuffled.
     """
-    per_text = (
-        with_clean_text(df).groupBy(F.xxhash64("clean_text").alias("_hash"), "clean_text").count()
-    )
-    kept = F.col("clean_text") != ""
+    digest = F.explode(F.transform(F.array(clean_text(F.col("text"))), _digest_of)).alias("_digest")
+    per_text = df.select(digest).groupBy("_digest").count()
+    kept = F.col("_digest.chars") > 0
     return per_text.agg(
         F.sum("count").alias("original_texts"),
         F.sum(F.when(kept, F.col("count")).otherwise(0)).alias("nonempty_texts"),

@@ -228,13 +228,14 @@ def prediction_confidence(scored: DataFrame, row_id: str, most: int = 5) -> Data
     )
 
 
-def fairness_rates(scored: DataFrame, group: str) -> DataFrame:
-    """False positive and negative rates per group and over ``all``."""
-    counts = scored.rollup(group).agg(
+def fairness_rates(scored: DataFrame, group: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """False positive and negative rates per group and over ``all``, for each ``by`` (a model, say)."""
+    counts = scored.rollup(*by, group).agg(
         F.grouping_id().alias("_level"), *[c.alias(k) for k, c in outcome_counts(1).items()]
     )
     tp, fp, fn, tn = map(F.col, ("tp", "fp", "fn", "tn"))
-    return counts.select(
+    return counts.filter(F.col("_level") <= 1).select(
+        *by,
         F.when(F.col("_level") == 1, F.lit("all")).otherwise(F.col(group)).alias("group"),
         (tp + fp + fn + tn).alias("texts"),
         F.round(share(fp, fp + tn), 6).alias("false_positive_rate"),

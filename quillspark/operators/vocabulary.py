@@ -1,4 +1,4 @@
-"""Terms, vocabularies and TF-IDF as long tables ``(doc, term, weight)``.
+"""Terms and vocabularies as long tables; TF-IDF weights are made in ``plans.features``.
 
 A document's counts come out of its own row, so a corpus pass shuffles only
 per-term partial totals.  A vocabulary is cut to ``max_features`` rows; joins
@@ -91,16 +91,6 @@ def idf(doc_freq: Column, n_docs: Column) -> Column:
     return F.log((1 + n_docs) / (1 + doc_freq)) + 1
 
 
-def tfidf(terms: DataFrame, vocab: DataFrame, n_docs: Column | int, doc: str) -> DataFrame:
-    """``(doc, term, weight)`` with unit-length rows."""
-    total = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    weights = vocab.select("term", idf(F.col("doc_freq"), total).alias("idf"))
-    raw = terms.join(broadcast_if_small(weights), "term").withColumn("raw", F.col("n") * F.col("idf"))
-    # a window holds the terms of one text, never more than its words
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(doc)))
-    return raw.withColumn("weight", F.col("raw") / norm).drop("raw", "idf", "n")
-
-
 def fit_scale(weights: DataFrame, n_docs: Column | int) -> DataFrame:
     """Population deviation per term over all documents, absent ones included."""
     total = F.lit(n_docs) if isinstance(n_docs, int) else n_docs

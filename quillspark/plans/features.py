@@ -70,6 +70,26 @@ def tfidf_stages(terms: list[str], doc_freq: list[int], n_docs: int, output: str
     ]
 
 
+def tfidf_table(
+    docs: DataFrame, doc: str, text: str, vocab: DataFrame, n_docs: int, bigrams: bool = True, keep: tuple = ()
+) -> DataFrame:
+    """``(doc, *keep, term, weight)`` with unit-length rows, without a shuffle.
+
+    A document's terms are counted, weighted and normalised in its own row, against a vocabulary that
+    ``max_features`` bounds; only then does the row become one per term.
+    """
+    rows = vocab.select("term", "doc_freq").orderBy("term").toArrow().to_pydict()
+    empty = docs.select(doc, *keep, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
+    if not rows["term"]:
+        return empty
+    stages = [*term_stages(text, bigrams), *tfidf_stages(rows["term"], rows["doc_freq"], n_docs, "_vector")]
+    vectors = PipelineModel(stages).transform(docs.select(doc, *keep, text))
+    raw = F.unwrap_udt(F.col("_vector"))
+    pairs = F.explode(F.arrays_zip(raw["indices"].alias("at"), raw["values"].alias("weight"))).alias("p")
+    term = F.element_at(F.lit(rows["term"]), F.col("p.at") + 1)
+    return vectors.select(doc, *keep, pairs).select(doc, *keep, term.alias("term"), F.col("p.weight").alias("weight"))
+
+
 def fit_features(
     train: DataFrame,
     text: str = "clean_text",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import id_after_abs, last_segment, strip
 from quillspark.operators.corpus import normalise_rows
+from quillspark.session import broadcast_if_small
 
 HUMAN_SCHEMA = """
     text string, source string, id string,
@@ -58,25 +59,20 @@ def read_processed_splits(spark: SparkSession, path: str) -> DataFrame:
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(text_id, text)``: non-blank lines numbered from zero in file order.
 
-    Lines are numbered within their file split; each split adds the number of
-    lines in the splits before it, so no task sees more than one split.
+    Blank lines go first; the others of a file split then have consecutive ids.  A line's number is its distance from
+    its split's first id, plus the lines in the splits before, so texts stay where they are read and only one
+    row per split moves.
     """
     lines = spark.read.text(path).select(
-        "_metadata.file_path",
-        "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("_at"),
-        strip(F.col("value")).alias("text"),
+        "_metadata.file_path", "_metadata.file_block_start", strip(F.col("value")).alias("text")
     )
-    lines = lines.filter(F.col("text") != "")
+    lines = lines.filter(F.col("text") != "").withColumn("_at", F.monotonically_increasing_id())
     split = ["file_path", "file_block_start"]
-    # one row per file split
-    before = F.sum("_lines").over(W.orderBy(*split)) - F.col("_lines")
-    offsets = (
-        lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines")).withColumn("_before", before)
-    )
-    place = F.row_number().over(W.partitionBy(*split).orderBy("_at")) - 1
-    return lines.withColumn("_place", place).join(offsets, split).select(
-        (F.col("_before") + F.col("_place")).alias("text_id"), "text"
+    counts = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"), F.min("_at").alias("_first"))
+    before = F.sum("_lines").over(W.orderBy(*split)) - F.col("_lines")  # one row per file split
+    offsets = counts.select(*split, (before - F.col("_first")).alias("_shift"))
+    return lines.join(broadcast_if_small(offsets), split).select(
+        (F.col("_at") + F.col("_shift")).alias("text_id"), "text"
     )
 
 
@@ -114,6 +110,19 @@ def parse_feed_xml(spark: SparkSession, path: str, keep_archive: bool = True) ->
     return papers.filter((F.col("title") != "") & (F.col("abstract") != ""))
 
 
+def malformed_feed_entries(spark: SparkSession, path: str) -> DataFrame:
+    """The entries that ``parse_feed_xml`` cannot read, as they stand."""
+    return (
+        spark.read.format("xml")
+        .schema(FEED_SCHEMA + ", _bad string")
+        .option("rowTag", "entry")
+        .option("columnNameOfCorruptRecord", "_bad")
+        .load(path)
+        .filter(F.col("_bad").isNotNull())
+        .select(F.col("_bad").alias("entry"))
+    )
+
+
 def read_processed_ids(spark: SparkSession, path: str, kind: str = "checkpoint") -> DataFrame:
     """Distinct ids from a checkpoint file (one per line) or from a stored corpus."""
     if kind == "checkpoint":

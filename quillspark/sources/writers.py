@@ -23,8 +23,9 @@ def append_records(df: DataFrame, path: str) -> None:
 
 
 def write_run_stats(stats: DataFrame, path: str) -> None:
-    """A one-row table as one JSON object; ``coalesce`` adds no shuffle."""
-    stats.coalesce(1).write.json(path)
+    """A one-row table as one JSON object with the time of writing; ``coalesce`` adds no shuffle."""
+    dated = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("preprocessing_date")
+    stats.select(dated, "*").coalesce(1).write.json(path)
 
 
 def write_metrics(metrics: DataFrame, path: str, digits: int = 4) -> None:

@@ -40,7 +40,7 @@ def test_ml_features_equal_the_long_table(texts, scale):
     n = texts.count()
     terms = vocabulary.document_terms(texts, "id", "clean_text")
     vocab = vocabulary.vocabulary(vocabulary.term_doc_freq(terms), n, 40, 2, 0.95)
-    long = vocabulary.tfidf(terms, vocab, n, "id")
+    long = features.tfidf_table(texts, "id", "clean_text", vocab, n)
     if scale:
         long = vocabulary.scale_sparse(long, vocabulary.fit_scale(long, n)).withColumn("weight", F.col("scaled"))
     table = {(r["id"], r["term"]): r["weight"] for r in long.collect()}
