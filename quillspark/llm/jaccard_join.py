@@ -34,8 +34,8 @@ from quillspark.llm.common import Scratch, mix, shuffle_partitions, slices, text
 from quillspark.llm.components import components
 from quillspark.llm.shingles import shingle_sets
 
-BLOCK_BYTES = 4 << 20
-FLUSH = 3_000_000  # signatures that a task gathers before it deals them out
+BLOCK_BYTES = 2 << 20
+FLUSH = 1_000_000  # signatures that a task gathers before it deals them out
 HOT = 16
 _SALT = np.uint64(0xA0761D6478BD642F)
 _BANDS = [1]
