@@ -1,6 +1,6 @@
 """Documents as compressed blocks with numbered places, for work that returns to texts several times.
 
-A block holds up to 4 MB of texts (or one longer text) and the columns asked for, as one compressed Arrow batch.  Blocks
+A block holds up to 2 MB of texts (or one longer text) and the columns asked for, as one compressed Arrow batch.  Blocks
 are written once; later steps name a document by its handle (block number and place) and get back to
 its text by a join on the block number.
 """
@@ -18,7 +18,7 @@ from quillspark.llm.common import slices
 PLACE_BITS = 16
 
 
-def as_blocks(docs: DataFrame, columns: list[str], max_bytes: int = 4 << 20) -> DataFrame:
+def as_blocks(docs: DataFrame, columns: list[str], max_bytes: int = 2 << 20) -> DataFrame:
     """``block, payload`` rows; number them for good by writing them down."""
 
     def build(batches):

@@ -36,9 +36,9 @@ from quillspark.llm.common import BYTE_CODES, LOWER, Scratch, mix, prefix_hashes
 
 DEPTH = 5
 END = 0xFF
-BLOCK_BYTES = 8 << 20
-SLICE_BYTES = 1 << 20
-FLUSH = 2_000_000
+BLOCK_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
+FLUSH = 1_000_000
 CHUNK_NODES = 6_000_000
 KNOWN_COSTS = 3_000_000
 _ROWS = "kind string, key long, blob binary"
