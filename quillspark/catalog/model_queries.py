@@ -1,21 +1,29 @@
-"""Fitted models over the labelled documents (checked by rows, and by tests)."""
+"""Fitted models over the labelled documents, beside SQL.
 
-from __future__ import annotations
+Multinomial naive Bayes has a closed form, so its queries are compared score by score.  An iterative fit has
+none; its queries return what SQL can state of any sound fit (which rows, whose labels, probabilities that agree with
+the predictions, measures within their limits), and ``tests/test_models.py`` looks at what the models learn.
+"""
 
-from dataclasses import replace
+from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from quillspark import fixed_values as fv
 from quillspark.catalog import base as b
 from quillspark.catalog.base import query, table
+from quillspark.catalog.feature_queries import FREQ, KEPT, terms_sql, tfidf_sql, vocab_sql
+from quillspark.catalog.metric_queries import rates
 from quillspark.operators import metrics
-from quillspark.operators.splits import stratified_holdout, stratified_split
+from quillspark.operators.splits import stratified_split
 from quillspark.plans import evaluate, models, prepare
 from quillspark.plans.predict import predict_batch
 from quillspark.session import scratch_path, stored
 from quillspark.sources.models import load_best_model, load_model, save_model
 
 ID = "doc_id"
+SUITE_NAMES = [s.name for s in models.TRAINING_SUITE]
 
 
 def corpus(spark, sf):
@@ -28,25 +36,101 @@ def parts(spark, sf):
     return split.filter(F.col("split") != "test"), split.filter(F.col("split") == "test")
 
 
+def fitted(spark, sf, specs=(models.NAIVE_BAYES, models.LOGISTIC)):
+    train, test = parts(spark, sf)
+    return {s.name: models.fit_model(s, train, ID) for s in specs}, test
+
+
+# --- SQL: rows, and naive Bayes in closed form ---------------------------------------
+
+PREPARED = f"{b.PREPARED}, {b.split_sql('prepared', 'doc_id', 'label', 0.2, 0.2)}"
+TEST = f"{PREPARED}, test AS (SELECT *, (label = 'ai')::BIGINT AS y FROM split_rows WHERE split = 'test')"
+
+
+def bayes_sql(train: str, test: str) -> str:
+    """``scored (test rows, y, p)``: p is the probability of ``ai``, as Spark smooths priors and terms."""
+    return f"""train AS ({train}), test AS ({test}),
+{terms_sql('train', False)}, {FREQ}, {vocab_sql(10000, 'train')}, {tfidf_sql('train')},
+per AS (SELECT term, sum(CASE WHEN label = 'human' THEN weight ELSE 0 END) AS wh,
+               sum(CASE WHEN label = 'ai' THEN weight ELSE 0 END) AS wa FROM weights GROUP BY term),
+model AS (SELECT term, ln((wh + 1) / ((SELECT sum(wh) FROM per) + (SELECT count(*) FROM per))) AS lh,
+                 ln((wa + 1) / ((SELECT sum(wa) FROM per) + (SELECT count(*) FROM per))) AS la FROM per),
+prior AS (SELECT ln((count(*) FILTER (label = 'human') + 1) / (count(*) + 2.0::DOUBLE)) AS ph,
+                 ln((count(*) FILTER (label = 'ai') + 1) / (count(*) + 2.0::DOUBLE)) AS pa FROM train),
+tk AS (SELECT doc_id, unnest({KEPT}) AS term FROM test), tt AS (SELECT doc_id, term, count(*) AS n FROM tk GROUP BY ALL),
+tr AS (SELECT t.doc_id, t.term, t.n * (ln((1 + (SELECT count(*) FROM train))::DOUBLE / (1 + v.doc_freq)) + 1) AS r
+       FROM tt t JOIN vocab v ON t.term = v.term),
+tw AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM tr),
+e AS (SELECT doc_id, sum(w * lh) AS eh, sum(w * la) AS ea FROM tw JOIN model USING (term) GROUP BY doc_id),
+scored AS (SELECT t.*, 1 / (1 + exp(-(coalesce(ea, 0) + pa - coalesce(eh, 0) - ph))) AS p
+           FROM test t LEFT JOIN e ON t.doc_id = e.doc_id, prior)"""
+
+
+IN_TRAIN = "SELECT * FROM split_rows WHERE split <> 'test'"
+IN_TEST = "SELECT *, (label = 'ai')::BIGINT AS y FROM split_rows WHERE split = 'test'"
+BAYES = f"{PREPARED}, {bayes_sql(IN_TRAIN, IN_TEST)}"
+BAYES_ROWS = f"""WITH {BAYES} SELECT 'Naive_Bayes' AS model, doc_id, y AS label, (p > 0.5)::BIGINT AS predicted,
+    round(p, 6) AS score FROM scored"""
+OUTCOMES = """count(*) FILTER (y = 1 AND p > 0.5) AS tp, count(*) FILTER (y = 0 AND p > 0.5) AS fp,
+    count(*) FILTER (y = 1 AND p <= 0.5) AS fn, count(*) FILTER (y = 0 AND p <= 0.5) AS tn"""
+
+
+def rounded(scored):
+    return scored.withColumn("score", F.round("score", 6))
+
+
+def sound(scored, row_id=ID):
+    """Each row with its label, and whether score and prediction agree."""
+    agrees = (F.col("predicted") == (F.col("score") > 0.5).cast("int")) & F.col("score").between(0, 1)
+    return scored.select("model", row_id, "label", agrees.alias("sound"))
+
+
+def in_limits(table_, *keys):
+    """Whether all measures of a row lie between 0 and 1."""
+    measures = [c for c, t in table_.dtypes if t == "double" and c not in ("train_time", "predict_time")]
+    inside = [F.coalesce(F.col(c).between(0, 1), F.lit(False)) for c in measures]
+    return table_.select(*keys, F.forall(F.array(*inside), lambda x: x).alias("sound"))
+
+
+def rows_sql(names):
+    return " UNION ALL ".join(f"SELECT '{n}' AS model, doc_id, y AS label, true AS sound FROM test" for n in names)
+
+
+# --- training ------------------------------------------------------------------------
+
+
 def _trained(name, spec, **options):
-    @query(name)
+    @query(name, f"WITH {TEST} {rows_sql([spec.name])}")
     def run(spark, sf):
         train, test = parts(spark, sf)
         model = models.fit_model(spec, train, ID, **options)
-        return models.score(model, test, spec.name, ID)
+        return sound(models.score(model, test, spec.name, ID))
 
 
 _trained("train_logistic", models.LOGISTIC)
-_trained("train_naive_bayes_ml", models.NAIVE_BAYES)
 _trained("train_random_forest", models.RANDOM_FOREST)
 _trained("train_svm", models.SVM)
 _trained("train_svm_linear", models.SVM, kernel="linear")
 _trained("train_mlp", models.MLP)
 
 
-@query("train_embedding_classifier")
+@query("train_naive_bayes_ml", BAYES_ROWS)
+def _bayes(spark, sf):
+    members, test = fitted(spark, sf, (models.NAIVE_BAYES,))
+    return rounded(models.score_all_models(members, test, ID))
+
+
+@query(
+    "train_embedding_classifier",
+    f"""WITH {b.split_sql('embeddings', 'vec_id', 'label', 0.2, 0.0)}
+    SELECT vec_id, label::BIGINT AS label, true AS sound FROM split_rows WHERE split = 'test'""",
+)
 def _embedding(spark, sf):
-    return evaluate.train_embedding_classifier(table(spark, sf, "embeddings"), "vec_id", "label")
+    vectors = table(spark, sf, "embeddings")
+    classes = vectors.agg(F.max("label") + 1).scalar()
+    scored = evaluate.train_embedding_classifier(vectors, "vec_id", "label")
+    fine = F.col("predicted").between(0, classes - 1) & (F.col("confidence") * classes >= 1 - 1e-9) & (F.col("confidence") <= 1)
+    return scored.select("vec_id", "label", fine.alias("sound"))
 
 
 @query(
@@ -55,8 +139,6 @@ def _embedding(spark, sf):
        lambda x: x::DOUBLE * x::DOUBLE)), 6) AS squared_length FROM embeddings""",
 )
 def _embedding_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
     back = vector_to_array("features")
     return evaluate.embedding_features(table(spark, sf, "embeddings")).select(
         "vec_id",
@@ -65,64 +147,157 @@ def _embedding_features(spark, sf):
     )
 
 
-@query("word_vector_mean")
+@query(
+    "word_vector_mean",
+    f"WITH {b.CLEAN_DOCS} SELECT doc_id, unnest(range(32)) AS dimension, true AS finite FROM clean_docs",
+)
 def _word_vectors(spark, sf):
     means = evaluate.word_vector_mean(b.clean_documents(spark, sf), ID, "clean_text")
-    return means.select(ID, F.posexplode("mean").alias("dimension", "value"))
+    value = means.select(ID, F.posexplode("mean").alias("dimension", "value"))
+    return value.select(ID, "dimension", (~F.isnan("value") & (F.abs("value") < 1e6)).alias("finite"))
 
 
-def fitted(spark, sf, specs=(models.NAIVE_BAYES, models.LOGISTIC)):
-    train, test = parts(spark, sf)
-    return {s.name: models.fit_model(s, train, ID) for s in specs}, test
+# --- evaluation ----------------------------------------------------------------------
 
 
-@query("score_all_models")
+@query("score_all_models", f"WITH {TEST} {rows_sql(SUITE_NAMES)}")
 def _score_all(spark, sf):
-    members, test = fitted(spark, sf)
-    return models.score_all_models(members, test, ID)
+    members, test = fitted(spark, sf, models.TRAINING_SUITE)
+    return sound(models.score_all_models(members, test, ID))
 
 
-@query("evaluate_on_test")
+@query("evaluate_on_test", " UNION ALL ".join(f"SELECT '{n}' AS model, true AS sound" for n in SUITE_NAMES))
 def _evaluate(spark, sf):
     members, test = fitted(spark, sf, models.TRAINING_SUITE)
-    return evaluate.evaluate_on_test(members, test, ID)
+    return in_limits(evaluate.evaluate_on_test(members, test, ID), "model")
+
+
+def recorded(records):
+    """Test rows per class from a record's confusion matrix, and whether its measures are in their limits."""
+    cells = F.col("confusion_matrix")
+    by_class = records.select(
+        "model", (cells[0][0] + cells[0][1]).alias("human_texts"), (cells[1][0] + cells[1][1]).alias("ai_texts")
+    )
+    return by_class.join(in_limits(records, "model"), "model")
 
 
-@query("fit_eval_record")
+def records_sql(names):
+    return f"WITH {TEST} " + " UNION ALL ".join(
+        f"""SELECT '{n}' AS model, count(*) FILTER (y = 0) AS human_texts, count(*) FILTER (y = 1) AS ai_texts,
+            true AS sound FROM test"""
+        for n in names
+    )
+
+
+@query("fit_eval_record", records_sql([models.PROTOTYPE_SUITE[0].name]))
 def _record(spark, sf):
     train, test = parts(spark, sf)
-    record = evaluate.fit_eval_record(models.PROTOTYPE_SUITE[0], train, test, ID, pos_label=0)
-    return record.withColumn("confusion_matrix", F.to_json("confusion_matrix")).drop(
-        "train_time", "predict_time"
-    )
+    return recorded(evaluate.fit_eval_record(models.PROTOTYPE_SUITE[0], train, test, ID, pos_label=0))
+
+
+@query("run_model_suite", records_sql([s.name for s in models.PROTOTYPE_SUITE]))
+def _suite(spark, sf):
+    train, test = parts(spark, sf)
+    return recorded(evaluate.run_model_suite(models.PROTOTYPE_SUITE, train, test, ID))
 
 
-@query("cross_validate")
+FOLD = " + ".join(f"(rk > round(n * {j} / 5.0::DOUBLE))::BIGINT" for j in range(1, 5))
+FOLDED = f"""{PREPARED}, known AS (SELECT * EXCLUDE (rk, n, split) FROM split_rows WHERE split <> 'test'),
+folded AS (SELECT * EXCLUDE (rk, n), {FOLD} AS fold FROM (SELECT *,
+  row_number() OVER (PARTITION BY label ORDER BY {b.order_key('doc_id')}, doc_id) AS rk,
+  count(*) OVER (PARTITION BY label) AS n FROM known))"""
+
+
+def _fold_sql(k: int) -> str:
+    test = f"SELECT *, (label = 'ai')::BIGINT AS y FROM folded WHERE fold = {k}"
+    return f"""SELECT * FROM (WITH {bayes_sql(f'SELECT * FROM folded WHERE fold <> {k}', test)}
+    SELECT 'Naive_Bayes' AS model, {k}::BIGINT AS fold, round(avg((y = (p > 0.5)::BIGINT)::BIGINT), 6) AS accuracy FROM scored)"""
+
+
+@query("cross_validate", f"WITH {FOLDED} " + " UNION ALL ".join(map(_fold_sql, range(5))))
 def _cross_validate(spark, sf):
     return evaluate.cross_validate(models.NAIVE_BAYES, parts(spark, sf)[0], ID)
 
 
-@query("run_model_suite")
-def _suite(spark, sf):
+@query(
+    "cross_domain_eval",
+    f"""WITH {b.PREPARED}, {b.split_sql('prepared', 'doc_id', 'label, lang', 0.2, 0.0)},
+    {bayes_sql("SELECT * FROM split_rows WHERE lang = 'en' AND split = 'train'",
+               "SELECT *, (label = 'ai')::BIGINT AS y FROM split_rows WHERE split = 'test'")},
+    c AS (SELECT lang, {OUTCOMES} FROM scored GROUP BY lang), r AS (SELECT lang, {rates()} FROM c),
+    d AS (SELECT *, round((SELECT accuracy FROM r WHERE lang = 'en') - accuracy, 6) AS drop FROM r)
+    SELECT *, CASE WHEN drop < {fv.ROBUST_DROP} THEN 'robust' WHEN drop > {fv.OVERFIT_DROP} THEN 'overfit'
+      ELSE 'between' END AS verdict FROM d""",
+)
+def _cross_domain(spark, sf):
+    return evaluate.cross_domain_eval(models.NAIVE_BAYES, corpus(spark, sf), "lang", "en", ID)
+
+
+@query(
+    "unseen_source_eval",
+    f"""WITH {b.PREPARED}, {bayes_sql("SELECT * FROM prepared WHERE source <> 'src0'",
+      "SELECT *, (label = 'ai')::BIGINT AS y FROM prepared WHERE source = 'src0'")},
+    c AS (SELECT source, {OUTCOMES} FROM scored GROUP BY source)
+    SELECT 'Naive_Bayes' AS model, source, {rates()} FROM c""",
+)
+def _unseen(spark, sf):
+    return evaluate.unseen_source_eval(models.NAIVE_BAYES, corpus(spark, sf), "source", "src0", ID)
+
+
+@query("grid_search", " UNION ALL ".join(f"SELECT '{c}' AS candidate, true AS sound" for c in evaluate.LOGISTIC_GRID))
+def _grid(spark, sf):
+    return in_limits(evaluate.grid_search(parts(spark, sf)[0], ID), "candidate")
+
+
+@query("ablation", " UNION ALL ".join(f"SELECT '{g}' AS left_out, true AS sound" for g in ("none", *evaluate.FEATURE_GROUPS)))
+def _ablation(spark, sf):
     train, test = parts(spark, sf)
-    suite = [replace(s, max_features=1000) for s in models.PROTOTYPE_SUITE]
-    table_ = evaluate.run_model_suite(tuple(suite), train, test, ID, folds=2)
-    return table_.withColumn("confusion_matrix", F.to_json("confusion_matrix")).drop(
-        "train_time", "predict_time"
-    )
+    return in_limits(evaluate.ablation(train, test, ID), "left_out")
+
+
+@query(
+    "ensemble_stacking",
+    f"""WITH {b.CLEAN_LABELLED}, ids AS (SELECT doc_id, (label = 'ai')::BIGINT AS label FROM clean_labelled),
+    {b.split_sql('ids', 'doc_id', 'label', 0.2, 0.2)}
+    SELECT 'stacked' AS model, doc_id, label, true AS sound FROM split_rows WHERE split = 'test'""",
+)
+def _stacking(spark, sf):
+    scored = b.scored(spark, sf)
+    split = stratified_split(stored(scored.select(ID, "label").distinct(), "keys"), ID, ["label"])
+    both = stored(scored.join(split.select(ID, "split"), ID), "members")
+    val, test = (both.filter(F.col("split") == s) for s in ("val", "test"))
+    return sound(evaluate.ensemble_stacking(val, test, list(b.SCORERS), ID).withColumn("model", F.lit("stacked")))
+
 
+# --- end to end: the best of the fitted models, judged and used ---------------------------------------
 
-@query("save_model")
+
+@query(
+    "evaluate_best_model",
+    f"""WITH {BAYES}, c AS (SELECT {OUTCOMES} FROM scored)
+    SELECT 'Naive_Bayes' AS model, {rates()}, tn, fp, fn, tp FROM c""",
+)
+def _best(spark, sf):
+    """The closed-form member alone, so that SQL can follow: best by F1, its measures and confusion cells."""
+    members, test = fitted(spark, sf, (models.NAIVE_BAYES,))
+    report = evaluate.evaluate_best_model(members, test, ID)
+    return report["measures"].join(report["cells"], "model")
+
+
+# --- saved models and prediction -----------------------------------------------------------
+
+
+@query("save_model", BAYES_ROWS)
 def _save(spark, sf):
     """Saved, read back by name, and applied."""
     members, test = fitted(spark, sf, (models.NAIVE_BAYES,))
     folder = scratch_path(spark, "models")
     for name, model in members.items():
         save_model(model, folder, name)
-    return models.score(load_model(folder, "Naive_Bayes"), test, "Naive_Bayes", ID)
+    return rounded(models.score(load_model(folder, "Naive_Bayes"), test, "Naive_Bayes", ID))
 
 
-@query("load_model")
+@query("load_model", f"WITH {TEST} SELECT doc_id, y AS label, true AS sound FROM test")
 def _load(spark, sf):
     """The best of the saved models by test F1, applied."""
     members, test = fitted(spark, sf)
@@ -132,61 +307,89 @@ def _load(spark, sf):
     scored = models.score_all_models(members, test, ID)
     table_ = metrics.binary_metrics(scored, ["model"]).withColumnRenamed("f1_score", "test_f1_score")
     name, best = load_best_model(spark, folder, table_)
-    return models.score(best, test, name, ID)
+    return sound(models.score(best, test, name, ID)).drop("model")
 
 
-@query("predict_batch")
+FLAT = b.squash(rf"regexp_replace({b.squash('text')}, '[^\p{{L}}\p{{N}}_ .,;:!?()\-]', ' ', 'g')")
+ASKED = f"SELECT doc_id, {FLAT} AS clean_text FROM documents WHERE length({FLAT}) >= {fv.MIN_SCORABLE_CHARS}"
+
+
+@query(
+    "predict_batch",
+    f"""WITH asked AS ({ASKED}) SELECT doc_id AS text_id, 'Logistic_Regression' AS model_used,
+    length(clean_text) AS text_length, true AS sound FROM asked""",
+)
 def _predict(spark, sf):
     """Every document through the model that the labelled ones trained."""
     model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text")
-    return predict_batch(model, "Logistic_Regression", texts).drop("prediction_time")
+    out = predict_batch(model, "Logistic_Regression", texts)
+    human, ai = F.col("human_probability"), F.col("ai_probability")
+    fine = (
+        (F.abs(human + ai - 1) < 1e-9)
+        & (F.col("confidence") == F.greatest(human, ai))
+        & (F.col("predicted_label") == F.when(ai > human, "AI").otherwise("Human"))
+        & F.col("prediction_time").isNotNull()
+    )
+    return out.select("text_id", "model_used", "text_length", fine.alias("sound"))
 
 
-@query("prediction_confidence")
-def _confidence(spark, sf):
-    train, test = parts(spark, sf)
-    model = models.fit_model(models.NAIVE_BAYES, train, ID)
-    return metrics.prediction_confidence(models.score(model, test, "Naive_Bayes", ID), ID, 5)
+PREDICTIONS = """CASE WHEN p > 0.5 THEN 'AI' ELSE 'Human' END AS predicted_label, round(greatest(p, 1 - p), 6) AS confidence,
+    round(1 - p, 6) AS human_probability, round(p, 6) AS ai_probability, 'Naive_Bayes' AS model_used,
+    length(clean_text) AS text_length"""
+PREDICTED_SQL = f"WITH {PREPARED}, {bayes_sql(IN_TRAIN, ASKED)} SELECT doc_id AS text_id, {PREDICTIONS} FROM scored"
 
 
-@query("top_features_abs")
-def _top_abs(spark, sf):
-    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
-    return models.top_features_abs(models.linear_weights(model))
+def rounded_predictions(out):
+    digits = ("confidence", "human_probability", "ai_probability")
+    return out.drop("prediction_time").withColumns({c: F.round(c, 6) for c in digits})
 
 
-@query("top_features_signed")
-def _top_signed(spark, sf):
-    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
-    return models.top_features_signed(models.linear_weights(model), 15)
+@query("predict_best", PREDICTED_SQL)
+def _predict_best(spark, sf):
+    """The best saved model (of the one that has a closed form) over every document."""
+    members, test = fitted(spark, sf, (models.NAIVE_BAYES,))
+    folder = scratch_path(spark, "models")
+    for name, model in members.items():
+        save_model(model, folder, name)
+    measured = evaluate.evaluate_best_model(members, test, ID)["measures"].withColumnRenamed("f1_score", "test_f1_score")
+    name, best = load_best_model(spark, folder, measured)
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    return rounded_predictions(predict_batch(best, name, texts))
 
 
-@query("grid_search")
-def _grid(spark, sf):
-    return evaluate.grid_search(parts(spark, sf)[0], ID)
+@query(
+    "prediction_confidence",
+    f"""WITH {BAYES} SELECT doc_id, (p > 0.5)::BIGINT AS predicted, round(1 - p, 6) AS human_probability,
+    round(p, 6) AS ai_probability, round(greatest(p, 1 - p), 6) AS confidence FROM scored ORDER BY doc_id LIMIT 5""",
+)
+def _confidence(spark, sf):
+    members, test = fitted(spark, sf, (models.NAIVE_BAYES,))
+    out = metrics.prediction_confidence(models.score_all_models(members, test, ID), ID, 5)
+    return out.withColumns({c: F.round(c, 6) for c in ("human_probability", "ai_probability", "confidence")})
 
 
-@query("cross_domain_eval")
-def _cross_domain(spark, sf):
-    return evaluate.cross_domain_eval(models.NAIVE_BAYES, corpus(spark, sf), "lang", "en", ID)
+def _placed(rows, value, *keys):
+    """Places in descending order of a value, and whether it is a number."""
+    from pyspark.sql import Window as W
 
-
-@query("unseen_source_eval")
-def _unseen(spark, sf):
-    return evaluate.unseen_source_eval(models.NAIVE_BAYES, corpus(spark, sf), "source", "src0", ID)
+    over = W.partitionBy(*keys).orderBy(F.desc(value), "term")  # as many rows as the top has
+    return rows.select(*keys, F.row_number().over(over).alias("place"), (F.col(value) >= 0).alias("sound"))
 
 
-@query("ablation")
-def _ablation(spark, sf):
-    train, test = parts(spark, sf)
-    return evaluate.ablation(train, test, ID)
+@query("top_features_abs", "SELECT unnest(range(1, 21)) AS place, true AS sound")
+def _top_abs(spark, sf):
+    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
+    return _placed(models.top_features_abs(models.linear_weights(model)), "importance")
 
 
-@query("ensemble_stacking")
-def _stacking(spark, sf):
-    scored = b.scored(spark, sf)
-    split = stratified_split(stored(scored.select(ID, "label").distinct(), "keys"), ID, ["label"])
-    both = stored(scored.join(split.select(ID, "split"), ID), "members")
-    val, test = (both.filter(F.col("split") == s) for s in ("val", "test"))
-    return evaluate.ensemble_stacking(val, test, list(b.SCORERS), ID)
+@query(
+    "top_features_signed",
+    "SELECT side, place, true AS sound FROM (VALUES ('ai'), ('human')) s(side), (SELECT unnest(range(1, 16)) AS place)",
+)
+def _top_signed(spark, sf):
+    """The strongest terms of either class; with any signal the signs tell the sides apart."""
+    model = models.fit_model(models.LOGISTIC, parts(spark, sf)[0], ID)
+    top = models.top_features_signed(models.linear_weights(model), 15)
+    towards = F.when(F.col("side") == "ai", F.col("weight")).otherwise(-F.col("weight"))
+    return _placed(top.withColumn("towards", towards), "towards", "side")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillspark.catalog import base as b
 from quillspark.catalog.base import query, table
 from quillspark.catalog.metric_queries import DRIFT_SQL
-from quillspark.catalog.model_queries import ID, parts
+from quillspark.catalog.model_queries import ID, PREDICTED_SQL, parts, rounded_predictions
 from quillspark.catalog.quality_queries import LIMITS, RATE_SQL, minute
 from quillspark.plans import models
 from quillspark.session import scratch_path
@@ -63,9 +63,9 @@ def _drift(spark, sf):
     return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
-@query("stream_score")
+@query("stream_score", PREDICTED_SQL)
 def _score(spark, sf):
     model = models.fit_model(models.NAIVE_BAYES, parts(spark, sf)[0], ID)
     texts = arriving(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text")
     target, checkpoint = scratch_path(spark, "predictions"), scratch_path(spark, "score-state")
-    return jobs.stream_score(texts, model, "Naive_Bayes", target, checkpoint).drop("prediction_time")
+    return rounded_predictions(jobs.stream_score(texts, model, "Naive_Bayes", target, checkpoint))

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark import fixed_values as fv
-from quillspark.functions.labels import encode_label
 from quillspark.functions.style import linguistic_features, style_features
 from quillspark.functions.tokens import tokenize
 from quillspark.operators import metrics as m
@@ -92,6 +91,29 @@ def evaluate_on_test(
     return metrics_with_auc(scored, ["model"])
 
 
+def evaluate_best_model(
+    models: dict[str, PipelineModel], test: DataFrame, row_id: str = "id", examples: int = 10
+) -> dict[str, DataFrame]:
+    """The best fitted model by test F1, judged on its own scores.
+
+    ``measures``, confusion ``cells``, ROC and precision-recall curves, an error summary and its first errors.
+    """
+    scored = stored(score_all_models(models, test, row_id), "scored")
+    measures = m.binary_metrics(scored, ["model"])
+    best = measures.orderBy(F.desc("f1_score"), "model").limit(1)
+    own = scored.join(best.select("model"), "model")
+    return {
+        "measures": best,
+        "cells": own.groupBy("model").agg(*[c.alias(k) for k, c in m.outcome_counts(1).items()]),
+        "roc": m.roc_curve(own, ["model"]),
+        "precision_recall": m.pr_curve(own, ["model"]),
+        "errors": m.error_summary(own, ["model"]),
+        "examples": m.error_examples(
+            m.misclassified_rows(own.select(row_id, "label"), own.drop("label"), row_id), ["model"], row_id, examples
+        ),
+    }
+
+
 def run_model_suite(
     specs: tuple[ModelSpec, ...], train: DataFrame, test: DataFrame, row_id: str = "id",
     pos_label: int = 0, folds: int = 5,
@@ -267,15 +289,13 @@ def train_embedding_classifier(df: DataFrame, row_id: str, label: str) -> DataFr
 
 
 def word_vector_mean(
-    docs: DataFrame, row_id: str, text: str, size: int = 32, min_count: int = 5, tasks: int = 4
+    docs: DataFrame, row_id: str, text: str, size: int = 32, min_count: int = 5, tasks: int | None = None
 ) -> DataFrame:
-    """The mean of a text's word vectors, learnt from the corpus itself."""
-    tokens = docs.select(row_id, tokenize(F.col(text)).alias("tokens"))
+    """The mean of a text's word vectors, learnt from the corpus itself, in as many tasks as it has splits."""
+    tokens = stored(docs.select(row_id, tokenize(F.col(text)).alias("tokens")), "tokens")
+    tasks = tasks or tokens.rdd.getNumPartitions()  # of a plain scan: nothing runs for it
     model = Word2Vec(
         vectorSize=size, minCount=min_count, seed=42, inputCol="tokens", outputCol="mean", numPartitions=tasks
     ).fit(tokens)
     return model.transform(tokens).select(row_id, vector_to_array("mean").alias("mean"))
 
-
-def truth(df: DataFrame, row_id: str) -> DataFrame:
-    return df.select(row_id, encode_label(F.col("label")).alias("label"))

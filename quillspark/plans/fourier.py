@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+PROJECTED_ROWS = 256  # rows multiplied at once; their dense form is the largest array
+
+
 @lru_cache(maxsize=4)
 def directions(seed: int, size: int, count: int, gamma: float) -> tuple[np.ndarray, np.ndarray]:
     """The projection is a function of its seed, so workers draw it instead of receiving it."""
@@ -49,11 +52,17 @@ class RandomFourierFeatures(
         @F.pandas_udf("array<double>")
         def project(indices: pd.Series, values: pd.Series) -> pd.Series:
             weights, shift = directions(seed, size, count, gamma)
-            out = []
-            for at, x in zip(indices, values):
-                rows = weights if at is None else weights[np.asarray(at, dtype=np.int64)]
-                out.append(np.sqrt(2 / count) * np.cos(np.asarray(x) @ rows + shift))
-            return pd.Series(out)
+            out = np.zeros((len(values), count))
+            for low in range(0, len(values), PROJECTED_ROWS):
+                some = slice(low, low + PROJECTED_ROWS)
+                at = [np.arange(size) if i is None else i for i in indices[some]]
+                lengths = np.array([len(i) for i in at], np.int64)
+                row = np.repeat(np.arange(len(at)), lengths)
+                dense = np.zeros((len(at), size))
+                if len(row):
+                    dense[row, np.concatenate(at).astype(np.int64)] = np.concatenate(list(values[some]))
+                out[some] = np.sqrt(2 / count) * np.cos(dense @ weights + shift)
+            return pd.Series(list(out))
 
         raw = F.unwrap_udt(F.col(self.getInputCol()))
         return dataset.withColumn(

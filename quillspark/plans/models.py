@@ -62,8 +62,9 @@ def fit_naive_bayes(train: DataFrame, size: int, row_id: str, alpha: float = 1.0
 
 
 def fit_random_forest(
-    train: DataFrame, size: int, row_id: str, trees: int = 100, depth: int = 20
+    train: DataFrame, size: int, row_id: str, trees: int = 100, depth: int = 30
 ):
+    """Thirty levels are the most that Spark allows."""
     return [RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED).fit(train)]
 
 
