@@ -182,6 +182,24 @@ def _select(spark, sf):
     return vocabulary.mutual_information(doc_terms(docs, ("label",), False), docs.select("label"), 200)
 
 
+@query(
+    "select_features_anova",
+    f"""WITH {b.CLEAN_LABELLED}, {terms_sql('clean_labelled', False)}, {FREQ}, {vocab_sql(10000, 'clean_labelled')},
+    {tfidf_sql('clean_labelled')}, c AS (SELECT label, count(*) AS size FROM clean_labelled GROUP BY label),
+    s AS (SELECT term, label, sum(weight) AS s, sum(weight * weight) AS q FROM weights GROUP BY ALL),
+    t AS (SELECT term, sum(s) AS s, sum(q) AS q, sum(s * s / size) AS m FROM s JOIN c USING (label) GROUP BY term),
+    n AS (SELECT sum(size) AS n, count(*) AS k FROM c),
+    f AS (SELECT term, round((greatest(m - s * s / n, 0) / (k - 1)) / nullif(greatest(q - m, 0) / (n - k), 0), 6) AS f FROM t, n)
+    SELECT term, f FROM f WHERE f IS NOT NULL ORDER BY f DESC, term LIMIT 200""",
+)
+def _anova(spark, sf):
+    docs = stored(b.clean_labelled(spark, sf).select("doc_id", "label", "clean_text"), "clean")
+    n_docs = docs.count()
+    vocab = vocabulary.vocabulary(vocabulary.term_doc_freq(doc_terms(docs, (), False)), n_docs, 10_000)
+    weights_ = tfidf_table(docs, "doc_id", "clean_text", vocab, n_docs, False, ("label",))
+    return vocabulary.anova_f(weights_, docs.select("label"), 200)
+
+
 # --- naive Bayes -----------------------------------------------------------------------
 
 NB = f"""{b.CLEAN_LABELLED}, {b.split_sql('clean_labelled', 'doc_id', 'label', 0.2, 0.0)},

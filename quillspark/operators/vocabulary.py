@@ -136,6 +136,30 @@ def top_per_group(counted: DataFrame, group: str, top: int) -> DataFrame:
     return counted.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= top)
 
 
+def anova_f(weights: DataFrame, labels: DataFrame, top: int) -> DataFrame:
+    """Terms by the F statistic of their weights between the classes, absent terms counting as zero.
+
+    ``weights`` is ``(label, term, weight)``; ``labels`` one row per document.  Classes are few: their sizes and sums
+    are one row per class, and per term and class.
+    """
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    totals = sizes.agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("k"))
+    n, k = totals.select("n").scalar(), totals.select("k").scalar()
+    w = F.col("weight")
+    sums = weights.groupBy("term", "label").agg(F.sum(w).alias("s"), F.sum(w * w).alias("q"))
+    per_term = sums.join(F.broadcast(sizes), "label").groupBy("term").agg(
+        F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("size")).alias("of_means")
+    )
+    between = F.greatest(F.col("of_means") - F.col("s") * F.col("s") / n, F.lit(0.0)) / (k - 1)
+    within = F.greatest(F.col("q") - F.col("of_means"), F.lit(0.0)) / (n - k)
+    return (
+        per_term.select("term", F.round(between / within, 6).alias("f"))
+        .filter(F.col("f").isNotNull())
+        .orderBy(F.desc("f"), "term")
+        .limit(top)
+    )
+
+
 def mutual_information(terms: DataFrame, labels: DataFrame, top: int) -> DataFrame:
     """Terms by mutual information of their presence with the class.
 

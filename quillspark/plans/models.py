@@ -23,8 +23,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions.hashing import chance
 from quillspark.functions.labels import encode_label
+from quillspark.operators.splits import stratified_holdout
 from quillspark.plans.features import feature_names, fit_features
 from quillspark.plans.fourier import RandomFourierFeatures
 
@@ -98,9 +98,10 @@ def fit_svm(
     """Large-margin classifier with Platt probabilities.
 
     The RBF kernel is approximated by random Fourier features.  Margins are
-    calibrated on rows the machine was not fitted on.
+    calibrated on rows the machine was not fitted on, both classes in proportion.
     """
-    held_out = chance(SEED, F.col(row_id), "platt", HELD_OUT_SHARE)
+    train = stratified_holdout(train, row_id, ["label"], HELD_OUT_SHARE)
+    held_out = F.col("split") == "test"
     stages = []
     if kernel == "rbf":
         stages.append(
