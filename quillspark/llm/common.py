@@ -16,20 +16,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 class Scratch:
     """Tables in the shared folder that live as long as the ``with`` block.
 
-    ``keep`` checkpoints a (narrow) result so that it outlives the block.
+    ``keep`` checkpoints a (narrow) result so that it outlives the block.  Jobs inside of the block hand texts and blobs
+    to Python in small batches, so that a worker's memory does not follow the rows' sizes.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
+        self.before = {k: spark.conf.get(k) for k in SMALL_BATCHES}
 
     def __enter__(self) -> Scratch:
+        for key, value in SMALL_BATCHES.items():
+            self.spark.conf.set(key, value)
         return self
 
     def __exit__(self, *_) -> None:
+        for key, value in self.before.items():
+            self.spark.conf.set(key, value)
         drop_scratch(self.spark, self.folder)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:

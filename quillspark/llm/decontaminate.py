@@ -32,7 +32,7 @@ from quillspark.llm.common import BYTE_CODES, LOWER, Scratch, mix, prefix_hashes
 
 WINDOW = 13
 SAMPLE = 8
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 CHUNK_BYTES = 16 << 20
 SLOTS_LOG2 = 18
 NOT_WORD = np.zeros(256, bool)

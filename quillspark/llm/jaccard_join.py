@@ -35,7 +35,7 @@ from quillspark.llm.components import components
 from quillspark.llm.shingles import shingle_sets
 
 BLOCK_BYTES = 2 << 20
-FLUSH = 1_000_000  # signatures that a task gathers before it deals them out
+FLUSH = 600_000  # signatures that a task gathers before it deals them out
 HOT = 16
 _SALT = np.uint64(0xA0761D6478BD642F)
 _BANDS = [1]
@@ -231,8 +231,12 @@ def _shared_signatures(key, table, hot_size):
         i, j = np.triu_indices(n, 1)
         a.append(members[:, i].ravel())
         b.append(members[:, j].ravel())
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1) if a else np.zeros((2, 0), np.int64)
-    pairs = pairs[:, pairs[0] != pairs[1]]
+    a, b = np.concatenate(a), np.concatenate(b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = a != b
+    new[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    pairs = np.stack([a[new], b[new]])
     hot = np.flatnonzero(size > hot_size)
     rows = np.repeat(first[hot] - np.concatenate([[0], np.cumsum(size[hot])[:-1]]), size[hot]) + np.arange(size[hot].sum())
     name = mix(sig[rows] + (np.uint64(key[0].as_py()) << np.uint64(44))).astype(np.int64)

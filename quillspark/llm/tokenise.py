@@ -32,7 +32,7 @@ def chunks(text: str) -> list[str]:
 class ChunkEncoder:
     """Ids of texts through one tokenizer file; remembers at most ``max_chunks`` chunks, the often used ones longest."""
 
-    def __init__(self, path: str, max_chunks: int = 700_000):
+    def __init__(self, path: str, max_chunks: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
