@@ -46,26 +46,39 @@ class ModelSpec:
     scale: bool = False
 
 
+def _weights(train: DataFrame) -> dict[str, str]:
+    return {"weightCol": "weight"} if "weight" in train.columns else {}
+
+
+def with_balanced_weights(train: DataFrame) -> DataFrame:
+    """Adds ``weight``, which gives both classes the same total; the weights sum to the number of rows."""
+    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}  # a row per class
+    n, weight = sum(counts.values()), F.lit(1.0)
+    for label, count in counts.items():
+        weight = F.when(F.col("label") == label, F.lit(n / (len(counts) * count))).otherwise(weight)
+    return train.withColumn("weight", weight)
+
+
 def fit_logistic(train: DataFrame, size: int, row_id: str, c: float = 1.0, max_iter: int = 1000):
     """L2 with strength ``1 / C`` on the summed loss, which Spark averages."""
     n = train.count()
     estimator = LogisticRegression(
         regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
-        tol=LOGISTIC_TOLERANCE,
+        tol=LOGISTIC_TOLERANCE, **_weights(train),
     )
     return [estimator.fit(train)]
 
 
 def fit_naive_bayes(train: DataFrame, size: int, row_id: str, alpha: float = 1.0):
     """Multinomial; Spark also smooths the class priors."""
-    return [NaiveBayes(modelType="multinomial", smoothing=alpha).fit(train)]
+    return [NaiveBayes(modelType="multinomial", smoothing=alpha, **_weights(train)).fit(train)]
 
 
 def fit_random_forest(
     train: DataFrame, size: int, row_id: str, trees: int = 100, depth: int = 30
 ):
     """Thirty levels are the most that Spark allows."""
-    return [RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED).fit(train)]
+    return [RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, **_weights(train)).fit(train)]
 
 
 def fit_mlp(
@@ -116,11 +129,11 @@ def fit_svm(
         featuresCol="cosines" if kernel == "rbf" else "features",
         regParam=1.0 / (c * max(fitting.count(), 1)), maxIter=max_iter, tol=MARGIN_TOLERANCE,
         standardization=False,
-        rawPredictionCol="margins", predictionCol="side",
+        rawPredictionCol="margins", predictionCol="side", **_weights(train),
     ).fit(fitting)
     slicer = VectorSlicer(inputCol="margins", outputCol="margin", indices=[1])
     judged = PipelineModel([machine, slicer]).transform(mapped.filter(held_out))
-    platt = LogisticRegression(featuresCol="margin").fit(judged)
+    platt = LogisticRegression(featuresCol="margin", **_weights(train)).fit(judged)
     mapped.unpersist()
     return [*stages, machine, slicer, platt]
 
@@ -156,9 +169,13 @@ def binary_label(label: Column) -> Column:
 
 
 def fit_model(
-    spec: ModelSpec, train: DataFrame, row_id: str = "id", text: str = "clean_text", **options
+    spec: ModelSpec, train: DataFrame, row_id: str = "id", text: str = "clean_text", balanced: bool = False, **options
 ) -> PipelineModel:
-    """Features first, cached once, then the classifier on top."""
+    """Features first, cached once, then the classifier on top.
+
+    ``balanced`` weighs rows so that a small class counts as much as a large one (not for the MLP, which takes
+    no weights).
+    """
     features = fit_features(
         train, text, spec.max_features, spec.bigrams, spec.min_df, spec.max_df, spec.scale
     )
@@ -167,7 +184,7 @@ def fit_model(
         .select(row_id, "label", "features")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     size = len(feature_names(features))
-    fitted = spec.fit(vectors, size, row_id, **options)
+    fitted = spec.fit(with_balanced_weights(vectors) if balanced else vectors, size, row_id, **options)
     vectors.unpersist()
     return PipelineModel([*features.stages, *fitted])
 

@@ -127,6 +127,19 @@ def test_saved_models_load_and_fall_back(spark, texts, tmp_path):
     assert load_model(str(tmp_path), "SVM").stages
 
 
+@pytest.mark.parametrize("spec", [models.LOGISTIC, models.NAIVE_BAYES, models.SVM])
+def test_balanced_weights_find_more_of_a_small_class(spark, spec):
+    rows = [(i, "alpha beta shared" if i % 3 else "gamma shared", "human") for i in range(90)]
+    rows += [(100 + i, "gamma shared" if i % 2 else "delta shared", "ai") for i in range(10)]
+    data = spark.createDataFrame(rows, "id int, clean_text string, label string").cache()
+    found = {
+        balanced: models.score(models.fit_model(spec, data, "id", balanced=balanced), data, spec.name)
+        .filter("label = 1").agg(F.avg("score")).first()[0]
+        for balanced in (False, True)
+    }
+    assert found[True] >= found[False]
+
+
 def test_stream_score_equals_batch(spark, texts, tmp_path):
     model = models.fit_model(models.NAIVE_BAYES, texts, "id")
     raw = texts.select(F.col("id").alias("text_id"), F.col("clean_text").alias("text"))
