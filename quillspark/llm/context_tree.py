@@ -192,7 +192,7 @@ def _subtrees(key, table, depth):
         weight, weighted = weigh(zeros, ones, longer)
         kinds.append("nodes")
         depths.append(size)
-        blobs.append(pack_columns(key=keys, one=_bits_of((ones + 0.5) / (zeros + ones + 1)), weight=_bits_of(weight)))
+        blobs.append(pack_columns(key=keys, value=_paired((ones + 0.5) / (zeros + ones + 1), weight)))
         sizes.append(len(keys))
         keys, zeros, ones, longer = _merge(shorten(keys, size - 1), zeros, ones, weighted)
     kinds.append("root")
@@ -210,6 +210,11 @@ def _subtrees(key, table, depth):
     )
 
 
+def _paired(one: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Two single-precision numbers as one 64-bit column."""
+    return np.ascontiguousarray(np.stack([one, weight], axis=1).astype(np.float32)).view(np.uint64).ravel()
+
+
 def _bits_of(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.float64).view(np.int64)
 
@@ -250,9 +255,11 @@ def _tree(nodes: DataFrame, top: list[tuple], group: list[int], depth: int) -> N
     of_depth, blobs = found.column("depth").to_pylist(), found.column("blob").to_pylist()
     levels = list(top)
     for size in range(2, depth + 1):
-        keys, one, weight = unpack_columns([b for d, b in zip(of_depth, blobs) if d == size], "uii")
+        keys, values = unpack_columns([b for d, b in zip(of_depth, blobs) if d == size], "uu")
         order = np.argsort(keys, kind="stable")
-        levels.append((keys[order], _float_of(one)[order].astype(np.float32), _float_of(weight)[order].astype(np.float32)))
+        pairs = values[order].view(np.float32).reshape(-1, 2)
+        levels.append((keys[order], np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])))
+        del keys, values, order, pairs
     return Nodes(*(list(c) for c in zip(*levels)))
 
 
@@ -431,7 +438,7 @@ def score_texts(
             if not chunk:  # what no subtree answers for takes the top of the tree, which every chunk holds
                 owned[list(set(range(parts)) - {p for g in groups for p in g})] = True
             own = scratch.store(_code_lengths(blocks, shared, owned, depth), f"bits-{chunk}")
-            shared.unpersist()
+            shared.destroy()  # the driver's copy too
             bits = own if bits is None else bits.union(own)
         summed = bits.groupBy("handle").agg(F.sum("bits").alias("bits"))
         score = (-F.col("bits") * float(np.log10(2))).alias("score")
