@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -44,9 +46,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_ROOTS: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; an application's paths are deleted when its driver ends."""
+    root = f"{shared_folder(spark)}/quillspark/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_drop_at_exit, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def _drop_at_exit(spark: SparkSession, root: str) -> None:
+    with contextlib.suppress(Exception):  # the gateway may be gone already
+        drop_scratch(spark, root)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
