@@ -11,8 +11,10 @@ distance never exceeds the true difference) and verified exactly on the shingle
 
 What moves: documents are written once as compressed blocks; equal sets become one class first; signatures travel
 as packed arrays; sets only move for pairs that pass the sketch.  A signature that still has more than ``HOT`` sets is
-first joined to its smallest set only; pairs across are compared if the links found leave them apart.  Links are
-found between classes; components and labels are computed in Spark.
+not joined: its sets meet again with the universe cut as finely as can be, a segment per shingle, where each keeps only its
+rarest shared shingles.  If many sets share even one of these (a large group of near copies), they are
+first joined to their smallest only; pairs across are compared if the links found leave them apart.  Links are found between
+classes; components and labels are computed in Spark.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and no links; null or repeated
 ``doc_id`` rows take part like others (a null id never names a component unless all its ids are null); an
@@ -30,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.llm.blocks import dealt, unpack_columns
 from quillspark.llm.common import Scratch, mix, shuffle_partitions, slices, text_bytes
 from quillspark.llm.components import components
 from quillspark.llm.shingles import shingle_sets
@@ -215,6 +218,79 @@ def _signature_blobs(blocks: DataFrame, parts: int) -> DataFrame:
     return blocks.select("block", "lengths", "texts", "copies").mapInArrow(build, "part int, blob binary")
 
 
+def _whole_partition(blocks: DataFrame, flagged: DataFrame, parts: int) -> DataFrame:
+    """All shingles of flagged sets, dealt by shingle: the universe cut as finely as can be."""
+    wanted = flagged.groupBy(F.shiftright("handle", 16).alias("block")).agg(
+        F.collect_list(F.col("handle").bitwiseAND(0xFFFF).cast("int")).alias("places")
+    )
+
+    def deal(held):
+        flat, handle = (np.concatenate(c) for c in zip(*held))
+        yield from dealt((flat % np.uint64(parts)).astype(np.int64), "shingles", shingle=flat, handle=handle)
+
+    def build(batches):
+        held, count = [], 0
+        for batch in batches:
+            for block, lengths, texts, places in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                flat, at = _sets(lengths, texts)
+                keep = np.zeros(len(at) - 1, bool)
+                keep[np.array(places)] = True
+                owner = np.repeat(np.arange(len(keep)), np.diff(at))
+                held.append((flat[keep[owner]], (block << 16) + owner[keep[owner]]))
+                count += len(held[-1][0])
+                if count >= FLUSH:
+                    yield from deal(held)
+                    held, count = [], 0
+        if count:
+            yield from deal(held)
+
+    fed = blocks.join(wanted, "block").select("block", "lengths", "texts", "places")
+    return fed.mapInArrow(build, "kind string, key long, blob binary")
+
+
+def _frequent(key, table, parts):
+    """Shingles that several flagged sets hold, with their number of sets, on their way back to the sets."""
+    shingle, handle = unpack_columns(table.column("blob").to_pylist(), "ui")
+    order = np.argsort(shingle, kind="stable")
+    shingle, handle = shingle[order], handle[order]
+    first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])) if len(shingle) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(shingle)))
+    freq = np.repeat(size, size)
+    shared = freq > 1
+    shingle, handle, freq = shingle[shared], handle[shared], freq[shared]
+    part = (mix(handle.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    schema = pa.schema([("kind", pa.string()), ("key", pa.int64()), ("blob", pa.binary())])
+    made = list(dealt(part, "shared", shingle=shingle, handle=handle, freq=freq))
+    return pa.Table.from_batches([b.cast(schema) for b in made], schema)
+
+
+def _rarest(key, table, sizes, threshold_percent):
+    """Of each set's shared shingles, the ones left when as many frequent ones are dropped as similarity allows.
+
+    Two similar sets share ``threshold`` of the larger one at least; so they share one even without the
+    ``ceil(threshold * size) - 1`` most frequent shingles of either, in one order for all.
+    """
+    shingle, handle, freq = unpack_columns(table.column("blob").to_pylist(), "uii")
+    own, n = unpack_columns(sizes.column("blob").to_pylist(), "ii") if sizes.num_rows else (handle[:0], handle[:0])
+    by = np.argsort(own)
+    n = n[by][np.searchsorted(own[by], handle)]
+    order = np.lexsort((shingle, -freq, handle))
+    shingle, handle, n = shingle[order], handle[order], n[order]
+    rank = np.arange(len(handle)) - np.searchsorted(handle, handle)
+    keep = rank >= -(-threshold_percent * n // 100) - 1
+    return pa.table({"sig": shingle[keep].view(np.int64), "handle": handle[keep]})
+
+
+def _sizes(flagged: DataFrame, parts: int) -> DataFrame:
+    def build(batches):
+        for batch in batches:
+            handle, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            part = (mix(handle.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            yield from dealt(part, "sizes", handle=handle, n=n)
+
+    return flagged.select("handle", "n").mapInArrow(build, "kind string, key long, blob binary")
+
+
 GROUPS = "hot boolean, a long, b long, freq long, band int, slack long"
 
 
@@ -257,11 +333,21 @@ def _allocate(hot: DataFrame) -> DataFrame:
     """Drop each set's most frequent signatures, as many as its slack; ``sig, handle, size`` of the rest."""
     own = Window.partitionBy("handle", "band").orderBy(F.desc("freq"), "sig")
     named = hot.select(F.col("a").alias("sig"), F.col("b").alias("handle"), "freq", "band", "slack").distinct()
-    kept = named.withColumn("rank", F.row_number().over(own)).filter("rank > slack").select("sig", "handle")
+    return _sized(named.withColumn("rank", F.row_number().over(own)).filter("rank > slack").select("sig", "handle"))
+
+
+def _sized(kept: DataFrame) -> DataFrame:
+    """Rows of signatures with several sets, with their number and the smallest."""
     sizes = kept.groupBy("sig").agg(F.count("*").alias("size"), F.min("handle").alias("first")).filter("size > 1")
     return kept.join(sizes, "sig")
 
 
+def _near(few: DataFrame) -> DataFrame:
+    """All pairs under signatures with few sets."""
+    other = few.select("sig", F.col("handle").alias("b"))
+    return few.select("sig", F.col("handle").alias("a")).join(other, "sig").filter("a < b").select("a", "b").distinct()
+
+
 # --- verification --------------------------------------------------------------
 
 
@@ -353,9 +439,18 @@ def link_documents(docs: DataFrame, threshold_percent: int = 75, parts: int | No
         dealt = _signature_blobs(blocks.join(by_block, "block", "left"), parts)
         groups = scratch.store(dealt.groupBy("part").applyInArrow(lambda k, t: _shared_signatures(k, t, hot_size), GROUPS), "groups")
         hot = scratch.store(_allocate(groups.filter("hot")), "hot")
-        few, many = hot.filter(F.col("size") <= hot_size), hot.filter(F.col("size") > hot_size)
-        other = few.select("sig", F.col("handle").alias("b"))
-        near = few.select("sig", F.col("handle").alias("a")).join(other, "sig").filter("a < b").select("a", "b")
+        near = _near(hot.filter(F.col("size") <= hot_size))
+        # sets that depend on signatures which stay hot meet again, one segment per shingle, by their rarest ones
+        flagged = hot.filter(F.col("size") > hot_size).select("handle").distinct()
+        flagged = scratch.store(flagged.join(every.select("handle", "n"), "handle"), "flagged")
+        counted = _whole_partition(blocks, flagged, parts).groupBy("key")
+        back = counted.applyInArrow(lambda k, t: _frequent(k, t, parts), "kind string, key long, blob binary")
+        kept = back.groupBy("key").cogroup(_sizes(flagged, parts).groupBy("key")).applyInArrow(
+            lambda k, t, s: _rarest(k, t, s, threshold_percent), "sig long, handle long"
+        )
+        rare = scratch.store(_sized(scratch.store(kept, "rarest")), "rare")
+        near = near.union(_near(rare.filter(F.col("size") <= hot_size)))
+        many = rare.filter(F.col("size") > hot_size)
         star = many.filter("handle <> first").select(F.col("first").alias("a"), F.col("handle").alias("b"))
         pairs = scratch.store(groups.filter("NOT hot").select("a", "b").union(near).union(star).distinct(), "pairs")
         close = scratch.store(_close_enough(pairs, every, threshold_percent), "close")
