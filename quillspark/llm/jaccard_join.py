@@ -337,11 +337,32 @@ def _allocate(hot: DataFrame) -> DataFrame:
 
 
 def _sized(kept: DataFrame) -> DataFrame:
-    """Rows of signatures with several sets, with their number and the smallest."""
-    sizes = kept.groupBy("sig").agg(F.count("*").alias("size"), F.min("handle").alias("first")).filter("size > 1")
+    """Rows of signatures with several sets, with their number and a hub: the set that shares most signatures.
+
+    In a group of near copies that is one with few edits of its own, to which most others are similar.
+    """
+    degree = kept.groupBy("handle").agg((-F.count("*")).alias("few"))
+    kept = kept.join(degree, "handle")
+    hub = F.min(F.struct("few", "handle"))["handle"]
+    sizes = kept.groupBy("sig").agg(F.count("*").alias("size"), hub.alias("first")).filter("size > 1")
     return kept.join(sizes, "sig")
 
 
+def _star(rows: DataFrame) -> DataFrame:
+    """Each signature's hub with its other sets."""
+    a, b = F.least("first", "handle"), F.greatest("first", "handle")
+    return rows.filter("handle <> first").select(a.alias("a"), b.alias("b")).distinct()
+
+
+def _apart(many: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of signatures whose sets the links so far leave apart, with their labels."""
+    named = many.join(labels.withColumnRenamed("node", "handle"), "handle", "left").withColumn(
+        "label", F.coalesce("label", "handle")
+    )
+    split = named.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
+    return named.join(split, "sig")
+
+
 def _near(few: DataFrame) -> DataFrame:
     """All pairs under signatures with few sets."""
     other = few.select("sig", F.col("handle").alias("b"))
@@ -451,24 +472,30 @@ def link_documents(docs: DataFrame, threshold_percent: int = 75, parts: int | No
         rare = scratch.store(_sized(scratch.store(kept, "rarest")), "rare")
         near = near.union(_near(rare.filter(F.col("size") <= hot_size)))
         many = rare.filter(F.col("size") > hot_size)
-        star = many.filter("handle <> first").select(F.col("first").alias("a"), F.col("handle").alias("b"))
+        star = _star(many)
         pairs = scratch.store(groups.filter("NOT hot").select("a", "b").union(near).union(star).distinct(), "pairs")
         close = scratch.store(_close_enough(pairs, every, threshold_percent), "close")
         links = scratch.store(_links(close, blocks, threshold_percent), "links")
         labels = scratch.store(components(links, scratch, "first-components"), "first-labels")
-        # signatures that stay hot: compare across what the links so far leave apart
-        named = many.join(labels.withColumnRenamed("node", "handle"), "handle", "left").select(
-            "sig", "handle", F.coalesce("label", "handle").alias("label")
+        # signatures that stay hot: a second hub for what the first left apart, then all pairs across
+        apart = scratch.store(_apart(many, labels), "apart")
+        largest = apart.groupBy("sig", "label").agg(F.count("*").alias("c")).groupBy("sig").agg(
+            F.max(F.struct("c", "label"))["label"].alias("main")
         )
-        split = named.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
-        apart = named.join(split, "sig")
+        left = apart.join(largest, "sig")
+        second = left.filter("label <> main").groupBy("sig").agg(F.min(F.struct("few", "handle"))["handle"].alias("first"))
+        again = scratch.store(_star(left.drop("first").join(second, "sig")).join(pairs, ["a", "b"], "left_anti"), "again")
+        found = scratch.store(_links(_close_enough(again, every, threshold_percent), blocks, threshold_percent), "second-links")
+        links = links.union(found)
+        labels = scratch.store(components(links, scratch, "second-components"), "second-labels")
+        apart = _apart(many, labels).select("sig", "handle", "label")
         across = (
             apart.select("sig", F.col("handle").alias("a"), F.col("label").alias("l"))
             .join(apart.select("sig", F.col("handle").alias("b"), F.col("label").alias("k")), "sig")
             .filter("a < b AND l <> k")
             .select("a", "b")
             .distinct()
-            .join(pairs, ["a", "b"], "left_anti")
+            .join(pairs.union(again), ["a", "b"], "left_anti")
         )
         across = scratch.store(_close_enough(across, every, threshold_percent), "across")
         if not across.isEmpty():
