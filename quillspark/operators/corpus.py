@@ -10,6 +10,7 @@ from quillspark import fixed_values as fv
 from quillspark.functions.text import clean_text, record_text, squash, strip, word_count
 from quillspark.operators.joins import hot_key_join
 from quillspark.operators.running import in_ranges
+from quillspark.session import stored
 
 CORPUS_RANK = {"human": 0, "ai": 1}
 
@@ -136,18 +137,24 @@ def text_digest(text: str = "clean_text") -> Column:
 
 
 def dedupe_keep_first(df: DataFrame, order: list[str], text: str = "clean_text") -> DataFrame:
-    """Drop repeated texts, keeping the first by ``order``, which must be unique and not null.
+    """Drop repeated texts, keeping the first by ``order``; its columns may be null or shared by rows.
 
-    Only digests and order columns are grouped and shuffled.  Texts that have a copy are few beside all: their later
-    rows are looked up by digest and taken out by ``order``, so a text moves at most once, or not at all
-    if the rows to drop are few enough to be broadcast.
+    The input is stored once with a row number, which settles ties and alone says which rows go.  Only digests, order
+    columns and row numbers are grouped and shuffled.  Texts that have a copy are few beside all: their later rows are
+    looked up by digest and taken out by number, so a text moves at most once after it is stored, or not at all if the
+    rows to drop are few enough to be broadcast.
     """
-    narrow = df.select(text_digest(text).alias("_digest"), *order)
-    place = F.struct(*order)
-    groups = narrow.groupBy("_digest").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    row = "_row"
+    while row in df.columns:
+        row += "_"
+    numbered = stored(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    place = F.struct(*order, row)
+    narrow = numbered.select(text_digest(text).alias("_digest"), place.alias("_place"))
+    groups = narrow.groupBy("_digest").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = groups.filter(F.col("_n") > 1).drop("_n")
-    later = narrow.join(repeated, "_digest").filter(place != F.col("_first")).select(*order)
-    return df.join(later, order, "left_anti").select(*df.columns)
+    number = F.col("_place")[row]
+    later = narrow.join(repeated, "_digest").filter(number != F.col("_first")[row]).select(number.alias(row))
+    return numbered.join(later, row, "left_anti").select(*df.columns)
 
 
 def antijoin_new_ids(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.hashing import order_key
 from quillspark.operators import bayes, comparison, corpus, joins, metrics, profile, running, splits, usage, vocabulary
+from quillspark.plans import prepare
 
 
 def rows(df):
@@ -24,6 +25,28 @@ def test_first_row_wins_and_human_comes_first(spark):
     assert rows(kept.select("id", "label")) == [(2, "human"), (3, "ai"), (5, "human")]
 
 
+def test_dedupe_with_empty_null_and_shared_ids(spark):
+    human = [("h1", "copied by a row without id"), ("h2", "only here"), (None, "null and null"), (None, "null and null")]
+    ai = [(None, "copied by a row without id"), (None, "own text one"), (None, "own text two")]
+    ai += [("h2", "first generation"), ("h2", "second generation"), ("h2", "first generation"), ("h2", "only here")]
+    long = F.concat("text", F.lit(" and" * 20)).alias("text")  # inside of the length band
+    human = spark.createDataFrame(human, "id string, text string").select("id", long).repartition(3)
+    ai = spark.createDataFrame(ai, "original_id string, text string").select("original_id", long).repartition(3)
+    both = corpus.union_corpora(corpus.normalise_rows(human, "human"), corpus.normalise_rows(ai, "ai"))
+    want = [
+        ("ai", "", "own text one"), ("ai", "", "own text two"), ("ai", "h2", "first generation"),
+        ("ai", "h2", "second generation"), ("human", "", "null and null"),
+        ("human", "h1", "copied by a row without id"), ("human", "h2", "only here"),
+    ]
+    short = F.regexp_replace("clean_text", "( and)+$", "")
+    assert rows(prepare.clean_corpus(both).select("label", "id", short)) == want
+    assert rows(prepare.prepare_corpus(both).select("label", "id", short)) == want
+    null_ids = both.withColumn("id", F.when(F.col("id") != "", F.col("id")))
+    assert rows(prepare.clean_corpus(null_ids).select("label", short)) == sorted((a, c) for a, _, c in want)
+    odd = spark.createDataFrame([(1, None), (1, None), (2, "t")], "_row int, clean_text string")
+    assert rows(corpus.dedupe_keep_first(odd, ["_row"])) == [(1, None), (2, "t")]
+
+
 def test_normalise_rows_defaults(spark):
     human = spark.createDataFrame(
         [(None, None, ("p1",)), ("t", "feed", ("p2",))],
