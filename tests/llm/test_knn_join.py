@@ -49,6 +49,42 @@ def test_groups_prune(spark):
     assert sorted(map(tuple, kj.top_k(docs, F.col("vec_id") % 50 == 0, k=3).collect())) == brute(rows, 3)
 
 
+def test_a_query_in_several_rows(spark):
+    rows = [(i, [float(i)]) for i in range(1, 50)] + [(0, [1000.0])] * 3
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, kj.top_k(docs, F.col("vec_id") % 50 == 0).collect()))
+    assert got == brute(rows, 5) and len(got) == 5
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_several_cells_with_repeated_ids(spark, block, monkeypatch):
+    monkeypatch.setattr(kj, "QUERY_BLOCK", block)
+    monkeypatch.setattr(kj, "TASK_ROWS", 500)
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(8, 12)) * 20
+    made = [(i, (centres[i // 50 % 8] + r.normal(size=12) * 0.01).tolist()) for i in range(0, 2000, 5)]
+    rows = made + [(i, v) for i, v in made if i % 50 == 0 for _ in range(i // 50 % 4)]  # queries up to four times
+    rows += [(i, (np.array(v) * 1.001).tolist()) for i, v in made if i % 100 == 0]  # and with a second vector
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(map(tuple, kj.top_k(docs, F.col("vec_id") % 50 == 0).collect())) == brute(rows, 5)
+
+
+def test_pivots_grow_without_a_switch():
+    assert [kj.pivot_count(n, 64) for n in (0, 1, 2, 10, 40, 511, 512, 10**6)] == [1, 1, 2, 4, 7, 23, 23, 64]
+
+
+def test_bounds_hold():
+    r = np.random.default_rng(4)
+    pivots, rows = r.integers(-900, 900, (3, 5)), r.integers(-900, 900, (200, 5))
+    at, distance = kj.nearest(rows, pivots)
+    radius = np.array([distance[at == c].max() for c in range(3)])
+    bounds, score = kj.Bounds(pivots, radius), kj.scores(rows, rows)
+    low, high = bounds.of_rows(rows, np.arange(3))
+    groups = bounds.of_groups(radius, np.array([np.linalg.norm(rows[at == c], axis=1).max() for c in range(3)]))
+    assert (low[:, at].T <= score).all() and (score <= high[:, at].T).all() and (score <= groups[at][:, at]).all()
+    assert [a.tolist() for a in kj.best_per_id(np.array([7, 7, 8, 9]), np.array([5.0, 6.0, 1.0, 2.0]), 2)] == [[7, 9], [6.0, 2.0]]
+
+
 def test_few_and_no_rows(spark):
     docs = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     query = F.col("vec_id") % 50 == 0
