@@ -7,12 +7,13 @@ next shorter context is asked, down to a uniform byte.  Statistics are frozen af
 depends on four bytes alone: costs of all learned four-byte strings are tabulated per language, others
 are worked out once per batch and distinct string.  The language with the shortest code wins.
 
-Learning reads a bounded sample: up to about ``sample_bytes`` of text per language (whole texts, chosen by a
-digest of ``doc_id``), for at most ``max_languages`` languages (those with most rows).  Prediction reads
-whole texts of all rows.
+Learning reads a bounded sample of every language: its rows in order of a digest of ``doc_id`` until ``sample_bytes`` of
+text are met, but ``MIN_DOCS`` rows at least.  A text counts with its first ``LEARN_CHARS`` characters when learning; rows that
+share an id are taken together.  Every ``lang`` that is not null is learned, so the model grows with their number.
+Prediction reads whole texts of all rows.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing could
-be learned; a null ``doc_id`` is neither learned from nor held out; rows with null ``lang`` are predicted, not
+be learned (``has_letter`` tells the two apart); a null ``doc_id`` is neither learned from nor held out; rows with null ``lang`` are predicted, not
 learned from; repeated rows count each; further columns stay outside.
 """
 
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,6 +32,9 @@ from quillspark.llm.common import LOWER, mix, slices, text_bytes
 ORDER = 3
 UNKNOWN = "und"
 SLOTS_LOG2 = 21
+MIN_DOCS = 20
+LEARN_CHARS = 1_000_000
+TABLE_CELLS = 1 << 24  # tabulated costs; what is not tabulated is worked out per batch
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2):
@@ -109,7 +113,7 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
 class LanguageModel:
     languages: list[str]
     statistics: list[Statistics]
-    grams: np.ndarray  # all learned strings, most frequent first
+    grams: np.ndarray  # learned strings, most frequent first
     table: np.ndarray  # their costs, a row per language
     slots: np.ndarray  # hash slot -> place in grams
 
@@ -120,7 +124,7 @@ class LanguageModel:
         everything = [counts[name] for name in languages]
         grams, where = np.unique(np.concatenate([g for g, _ in everything] or [[]]).astype(np.uint32), return_inverse=True)
         weight = np.bincount(where, np.concatenate([n for _, n in everything] or [[]]), len(grams))
-        grams = grams[np.argsort(-weight, kind="stable")]
+        grams = grams[np.argsort(-weight, kind="stable")[: max(1, TABLE_CELLS // max(1, len(languages)))]]
         table = np.array([s.costs(grams) for s in statistics]).reshape(len(languages), len(grams))
         slots = np.full(1 << SLOTS_LOG2, -1, np.int32)
         slots[_slot(grams[::-1])] = np.arange(len(grams), dtype=np.int32)[::-1]  # the most frequent stays
@@ -145,18 +149,32 @@ def _slot(grams: np.ndarray) -> np.ndarray:
     return mix(grams.astype(np.uint64)) >> np.uint64(64 - SLOTS_LOG2)
 
 
-def learn(rows: DataFrame, sample_bytes: int = 2_000_000, max_languages: int = 64) -> LanguageModel:
+def _sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
+    """Each language's first rows by digest: bytes per digest prefix, then a running total inside the prefix with the cut."""
+    sized = rows.select("lang", "digest", F.octet_length("text").alias("b"), F.shiftright("digest", 52).alias("prefix"))
+    counts = sized.groupBy("lang", "prefix").agg(F.sum("b").alias("b"), F.count("*").alias("n"))
+
+    def needed(df, order):
+        """Rows before which neither bound is met."""
+        before = Window.partitionBy("lang").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        sums = {f"{c}_before": F.coalesce(F.sum(c).over(before), F.lit(0)) + F.col(f"{c}_0") for c in ("b", "n")}
+        return df.withColumns(sums).filter((F.col("b_before") < sample_bytes) | (F.col("n_before") < MIN_DOCS))
+
+    whole = needed(counts.withColumns({"b_0": F.lit(0), "n_0": F.lit(0)}), "prefix")
+    last = whole.groupBy("lang").agg(F.max_by(F.struct("prefix", F.col("b_before").alias("b_0"), F.col("n_before").alias("n_0")), "prefix").alias("l"))
+    last = F.broadcast(last.select("lang", "l.*"))
+    inside = sized.join(last, ["lang", "prefix"]).groupBy("lang", "digest").agg(
+        F.sum("b").alias("b"), F.count("*").alias("n"), F.first("b_0").alias("b_0"), F.first("n_0").alias("n_0")
+    )
+    cut = needed(inside, "digest").groupBy("lang").agg(F.max("digest").alias("cut"))
+    return rows.join(F.broadcast(cut), "lang").filter(F.col("digest") <= F.col("cut"))
+
+
+def learn(rows: DataFrame, sample_bytes: int = 2_000_000) -> LanguageModel:
     """Statistics from a bounded sample of (doc_id, text, lang) rows."""
-    rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n"))
-    kept = {r["lang"]: r["b"] for r in sizes.orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
-    if not kept:
-        return LanguageModel.of({})
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    share = F.lit(None).cast("double")
-    for name, size in kept.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, sample_bytes / max(size, 1)))).otherwise(share)
-    sample = rows.filter(draw < share)
+    rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
+    head = F.substring("text", 1, LEARN_CHARS).alias("text")
+    sample = _sample(rows.select(F.xxhash64("doc_id").alias("digest"), head, "lang"), sample_bytes)
 
     def count(batches):
         for batch in batches:
@@ -182,10 +200,10 @@ def has_letter(texts: list[str | None]) -> np.ndarray:
 
 
 def predict(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The given columns of every row with ``lang_pred`` and ``score``, the language's share of all likelihoods."""
+    """The given columns of every row with ``lang_pred``, ``score``, the language's share of all likelihoods, and ``has_letter``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in columns if c not in ("lang_pred", "score")]
-    schema = StructType([docs.schema[c] for c in columns]).add("lang_pred", "string").add("score", "double")
+    columns = [c for c in columns if c not in ("lang_pred", "score", "has_letter")]
+    schema = StructType([docs.schema[c] for c in columns]).add("lang_pred", "string").add("score", "double").add("has_letter", "boolean")
     text = "text" if "text" in columns else None
     texts_at = columns.index("text") if text else len(columns)
 
@@ -196,16 +214,15 @@ def predict(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] = ("
             for part in slices(whole, 1 << 20):
                 data, offsets = text_bytes(part)
                 best, score = np.full(part.num_rows, len(names) - 1), np.zeros(part.num_rows)
+                letters = has_letter(part.column(texts_at).to_pylist())
                 if model.languages:
                     bits = model.code_lengths(data, offsets)
-                    letters = has_letter(part.column(texts_at).to_pylist())
                     best[letters] = bits.argmin(0)[letters]
                     odds = np.exp2(np.maximum(bits.min(0) - bits, -1000.0)).sum(0)
                     score[letters] = (1 / odds)[letters]
                 passed = [part.column(i) for i in range(len(columns))]
-                yield pa.RecordBatch.from_arrays(
-                    [*passed, pa.array(names[best], pa.string()), pa.array(score)], names=[*columns, "lang_pred", "score"]
-                )
+                made = [pa.array(names[best], pa.string()), pa.array(score), pa.array(letters)]
+                yield pa.RecordBatch.from_arrays([*passed, *made], names=schema.names)
 
     return docs.select(*columns, *([] if text else ["text"])).mapInArrow(build, schema)
 

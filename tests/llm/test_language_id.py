@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 
+import corpus_pipeline
 from quillspark.llm import language_id as li
 from quillspark.llm.queries import op6_language_id
 
@@ -68,3 +69,33 @@ def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in li.identify_languages(docs).collect()] == ["und"]
     assert li.identify_languages(docs.limit(0)).count() == 0
+
+
+def test_every_language_is_learned_within_bounds(spark):
+    rows = [(i, "der hund und die katze " * (100_000 if i == 7 else 1), "de") for i in range(20)]  # rare and very long
+    rows += [(100 + i, f"text of language {i % 70}", f"l{i % 70}") for i in range(140)]  # more than 64 of them
+    rows += [(1000 + i, "the cat sat on the mat", "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = li.learn(docs, sample_bytes=2200)
+    assert model.languages == sorted({lang for _, _, lang in rows})
+    learned = dict(zip(model.languages, (s.totals[0].sum() for s in model.statistics)))
+    assert learned["en"] == 2200 and learned["l3"] == 2 * len("text of language 3")
+    assert learned["de"] == 19 * 23 + li.LEARN_CHARS
+    found = {r.doc_id: r.lang_pred for r in li.predict(docs, model).collect()}
+    assert found[3] == found[7] == "de" and found[1000] == "en"
+
+
+def test_a_small_table_of_costs_changes_nothing(spark, monkeypatch):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat sat", "en"), ("der hund", "de")] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    data, offsets = np.frombuffer(b"the hund sat", np.uint8), np.array([0, 12])
+    whole = li.learn(docs).code_lengths(data, offsets)
+    monkeypatch.setattr(li, "TABLE_CELLS", 6)
+    small = li.learn(docs)
+    assert len(small.grams) == 3 and np.allclose(small.code_lengths(data, offsets), whole)
+
+
+def test_stage_keeps_letters_if_nothing_is_learned(spark):
+    rows = [(1, "words", None), (2, "12 !", None), (3, None, None), (4, "日本", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 4]
