@@ -13,13 +13,14 @@ each covered word is compared with the vocabulary byte by byte.  No document lea
 The benchmark is cut into chunks of at most ``chunk_bytes`` of text, broadcast one at a time; with several chunks
 the documents are stored once with a row number and the chunks' spans are merged by it.
 
-Defined cases: null and empty texts have no words and are clean; items with a null id or without words have no windows;
-items that share an id count once; repeated documents are judged each; an empty benchmark hits nothing; extra columns
+Defined cases: null and empty texts have no words and are clean; items without words have no windows; the
+windows of items with a null id hit like others, but name no item; items that share an id count once; repeated documents are judged each; an empty benchmark hits nothing; extra columns
 stay if asked for.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,8 +59,8 @@ class Windows:
     item_ids: list[str]
 
     @classmethod
-    def of(cls, items: list[tuple[str, str | None]]) -> Windows:
-        names = sorted({i for i, _ in items})
+    def of(cls, items: list[tuple[str | None, str | None]]) -> Windows:
+        names = sorted({i for i, _ in items if i is not None})
         number = {n: k for k, n in enumerate(names)}
         texts = [(t or "").encode() for _, t in items]
         offsets = np.cumsum([0] + [len(t) for t in texts])
@@ -72,9 +73,11 @@ class Windows:
             own = (ids[edges[k] : edges[k + 1]] + 1).tolist()
             size = min(WINDOW, len(own))
             for i in range(len(own) - size + 1 if own else 0):
-                found.setdefault(size, {}).setdefault(tuple(own[i : i + size]), set()).add(number[item])
+                of_window = found.setdefault(size, {}).setdefault(tuple(own[i : i + size]), set())
+                if item is not None:
+                    of_window.add(number[item])
         by_length = {
-            size: (np.array(list(rows), np.int64), [np.array(sorted(s)) for s in rows.values()]) for size, rows in found.items()
+            size: (np.array(list(rows), np.int64), [np.array(sorted(s), np.int64) for s in rows.values()]) for size, rows in found.items()
         }
         slots = np.zeros(1 << SLOTS_LOG2, np.int32)
         slots[(mix(distinct) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)] = np.arange(1, len(distinct) + 1)
@@ -250,17 +253,17 @@ def search_shard(data: np.ndarray, offsets: np.ndarray, windows: Windows):
     return n_words, spans, names
 
 
-def _chunks(benchmark: DataFrame, chunk_bytes: int) -> list[list[tuple[str, str]]]:
+def _chunks(benchmark: DataFrame, chunk_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """The items in pieces of about ``chunk_bytes``, each collected on its own."""
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("i"), "text")
+    items = benchmark.filter("text IS NOT NULL").select(F.col("item_id").cast("string").alias("i"), "text")
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     parts = max(1, -(-size // chunk_bytes))
     for k in range(parts):
-        own = items if parts == 1 else items.filter(F.pmod(F.xxhash64("i"), F.lit(parts)) == k)
+        own = items if parts == 1 else items.filter(F.pmod(F.xxhash64("i", "text"), F.lit(parts)) == k)
         yield [(r["i"], r["text"]) for r in own.collect()]
 
 
-def _search(docs: DataFrame, items: list[tuple[str, str]], columns: list[str]) -> DataFrame:
+def _search(docs: DataFrame, items: list[tuple[str | None, str]], columns: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Windows.of(items))
     schema = StructType([docs.schema[c] for c in columns])
     for field in StructType.fromDDL(FOUND).fields:

@@ -86,6 +86,15 @@ def test_odd_rows(spark, chunk_bytes):
     assert whole.filter("contaminated").count() == 4 and "text" in whole.columns
 
 
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 100])
+def test_items_without_id_hit(spark, chunk_bytes):
+    own, other, both = (" ".join(f"{k}{i}" for i in range(14)) for k in ("own", "other", "both"))
+    docs = spark.createDataFrame([(1, f"x {own} y"), (2, other), (3, f"{both} {own}"), (4, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, own), (None, both), (5, both), (6, other)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in dc.find_benchmark(docs, bench, chunk_bytes=chunk_bytes).collect()}
+    assert got == {1: (16, 14, [], True), 2: (14, 14, ["6"], True), 3: (28, 28, ["5"], True), 4: (1, 0, [], False)}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
