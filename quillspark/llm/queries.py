@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
+from quillspark.llm import chat, context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
@@ -135,9 +135,30 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, told as event logs, folded, rendered and read back."""
+    own = r"\### Assistant: </turn> ok"
+    trial = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(*trial.columns).union(trial)
+    return chat.format_digests(chat.conversation_log(rows))
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, i, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+e AS (SELECT *, role = 'assistant' AS loss, length(replace(replace(replace(role, '\', '\\'), '</', '<\/'), '##', '#\#'))
+        + length(replace(replace(replace(text, '\', '\\'), '</', '<\/'), '##', '#\#')) + 4 + 5 + 8 AS size FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (loss), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (loss), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files, op13_chat_formatting)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL, "op13_chat_formatting": OP13_SQL}
