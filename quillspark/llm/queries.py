@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
+from quillspark.llm import chat, collocations, context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
@@ -135,6 +135,34 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of two to five words."""
+    return collocations.find_collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+totals AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, g, count(*) AS f
+      FROM (SELECT lang, w[i:i + k - 1] AS g
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) r(k) WHERE len(w) >= k))
+      GROUP BY lang, g HAVING count(*) >= 100),
+cuts AS (SELECT lang, g, f, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+scored AS (SELECT c.lang AS lang, c.g AS g, c.f AS a, k, x.f AS l, y.f AS r, n,
+                  ((1000::HUGEINT * c.f * n::HUGEINT) // (x.f::HUGEINT * y.f))::BIGINT AS score
+           FROM cuts c JOIN totals USING (lang)
+           JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+held AS (SELECT lang, g[i:i + s - 1] AS g, max(f) AS held
+         FROM (SELECT lang, g, f, s, unnest(range(1, len(g) - s + 2)) AS i FROM f, range(2, 5) z(s) WHERE len(g) > s) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+       array_to_string(g, ' ') AS phrase, a, l, r, n::BIGINT AS n, score
+FROM weakest LEFT JOIN held USING (lang, g) WHERE held IS NULL OR 100 * held < 100 * a QUALIFY rank <= 2000"""
+
+
 def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, told as event logs, folded, rendered and read back."""
     own = r"\### Assistant: </turn> ok"
@@ -157,8 +185,8 @@ FROM e GROUP BY conv_id"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files, op13_chat_formatting)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files, op11_collocations, op13_chat_formatting)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL, "op13_chat_formatting": OP13_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL, "op11_collocations": OP11_SQL, "op13_chat_formatting": OP13_SQL}
