@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, collocations, context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, suffix_dedup, token_files
+from quillspark.llm import chat, collocations, context_tree, decontaminate, hilbert, jaccard_join, knn_join, language_id, packing, quality, spelling, suffix_dedup, token_files
 from quillspark.llm.common import table
 
 
@@ -163,6 +163,35 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, a
 FROM weakest LEFT JOIN held USING (lang, g) WHERE held IS NULL OR 100 * held < 100 * a QUALIFY rank <= 2000"""
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with the forms that they are variants of."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE codes AS (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+           FROM range(256) t(i)),
+lookup AS (SELECT list(c ORDER BY i) AS t FROM codes),
+runs AS (SELECT doc_id, run, count(*) AS n
+         FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{6,}')),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) GROUP BY ALL),
+bytes AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, [('0x' || substr(x, i, 2))::BIGINT FOR i IN range(1, length(x), 2)]),
+                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM bytes, lookup),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS key FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.key = b.key AND a.word <> b.word
+         UNION SELECT c.word, v.word, v.n FROM cut c JOIN v ON v.word = c.key
+         UNION SELECT v.word, c.word, c.n FROM cut c JOIN v ON v.word = c.key),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+                  CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM v UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
+
+
 def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, told as event logs, folded, rendered and read back."""
     own = r"\### Assistant: </turn> ok"
@@ -185,8 +214,8 @@ FROM e GROUP BY conv_id"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files, op11_collocations, op13_chat_formatting)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_context_tree, op4_decontamination, op5_knn_join, op6_language_id, op7_hilbert_sharding, op8_quality, op9_packing, op10_token_files, op11_collocations, op12_spelling_variants, op13_chat_formatting)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL, "op11_collocations": OP11_SQL, "op13_chat_formatting": OP13_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_knn_join": OP5_SQL, "op11_collocations": OP11_SQL, "op12_spelling_variants": OP12_SQL, "op13_chat_formatting": OP13_SQL}
