@@ -5,11 +5,13 @@ phrases up to ``order`` words come from these lead columns alone: ROLLUP over th
 prefixes, and a prefix that does not end in padding is a phrase.
 
 Windows of the whole corpus would nearly all be distinct, so they are first cut where no phrase can go on: a phrase of
-``min_count`` occurrences has only words and pairs of neighbours of ``min_count`` occurrences or more.  Texts are read once, into
-streams of word numbers per block of text.  Each block's distinct words meet their counts in a join, and its distinct pairs go,
-packed, to the part that owns them, which answers with a flag a pair; no list of words or pairs is held whole anywhere.
+``min_count`` occurrences has only words, pairs and triples of ``min_count`` occurrences or more.  Texts are read once, into
+streams of word numbers per block of text.  A block's distinct words go, packed, to the parts that own them, which answer with
+counts and numbers of the frequent ones; then its distinct pairs and triples of frequent words do.  No list of
+words or pairs is held whole anywhere.
 
-Identity is exact: words are strings, pairs are numbers of words.  Scores are decimals of 38 digits.
+Words are told apart by 64 bits of language and word until they are numbered; pairs and triples are exact.  Scores are
+decimals of 38 digits.
 
 Defined cases: a null text is empty; a null ``lang`` is ``und``; repeated rows count each; empty texts, texts without
 words and empty tables give no phrases; a very long text is a block of its own; ``doc_id`` and further columns are not read.
@@ -24,14 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.blocks import dealt, pack_columns, unpack_columns
-from quillspark.llm.common import LOWER, Scratch, mix, shuffle_partitions, slices, text_bytes, word_spans
+from quillspark.llm.common import BYTE_CODES, LOWER, Scratch, mix, prefix_hashes, shuffle_partitions, slices, substring_hashes, text_bytes, word_spans
 
 ORDER = 5
 MIN_COUNT = 100
 TOP = 2000
 INSIDE_PERCENT = 100
 BLOCK_BYTES = 4 << 20
-ROWS_AT_ONCE = 1 << 14
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -39,137 +40,199 @@ _BETWEEN = _PIECE_END.copy()
 _BETWEEN[[0x20, 0x09]] = True
 
 
-def _cut(table: pa.Table | pa.RecordBatch):
-    for low in range(0, table.num_rows, ROWS_AT_ONCE):
-        yield table.slice(low, ROWS_AT_ONCE)
+# --- texts to streams of word numbers ------------------------------------------------
 
 
-# --- texts to streams of word numbers ------------------------------------------------
+def _hashes(words: pa.StringArray) -> np.ndarray:
+    words = pa.array(words.to_pylist(), pa.string()) if words.offset else words
+    ends = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] else np.zeros(0, np.uint8)
+    return mix(substring_hashes(prefix_hashes(BYTE_CODES[data[: ends[-1]]]), ends[:-1], ends[1:]))
 
 
 def number_words(rows: pa.RecordBatch):
-    """Distinct (lang, word) of a block with their counts, and all words in order as numbers from 1, 0 where a piece ends."""
+    """Distinct (lang, word) of a block with hashes and counts, and all words in order as numbers from 0, -1 where a piece ends."""
     data, offsets = text_bytes(rows)
     low = LOWER[data]
     starts, stops = word_spans(low, offsets, _BETWEEN)
     owner = np.searchsorted(offsets, starts, "right") - 1
     piece = np.searchsorted(np.flatnonzero(_PIECE_END[low]), starts)
-    inner = low[~_BETWEEN[low]]
     ends = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends.tobytes()), pa.py_buffer(inner.tobytes()))
-    coded, langs = words.dictionary_encode(), rows.column("lang").dictionary_encode()
-    key = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] * max(1, len(coded.dictionary))
-    key += coded.indices.to_numpy(zero_copy_only=False)
+    inner = low[~_BETWEEN[low]]
+    coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends.tobytes()), pa.py_buffer(inner.tobytes())).dictionary_encode()
+    langs = rows.column("lang").dictionary_encode()
+    size = max(1, len(coded.dictionary))
+    key = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] * size + coded.indices.to_numpy(zero_copy_only=False)
     own, number, n = np.unique(key, return_inverse=True, return_counts=True)
     parted = np.ones(len(starts), bool)
     parted[1:] = (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])
-    stream = np.zeros(len(starts) + int(parted.sum()), np.int64)
-    stream[np.arange(len(starts)) + np.cumsum(parted)] = number + 1
-    size = max(1, len(coded.dictionary))
-    return langs.dictionary.take(pa.array(own // size)), coded.dictionary.take(pa.array(own % size)), n, stream
+    stream = np.full(len(starts) + int(parted.sum()), -1)
+    stream[np.arange(len(starts)) + np.cumsum(parted)] = number
+    hashes = mix(_hashes(coded.dictionary)[own % size] + _hashes(langs.dictionary)[own // size] * np.uint64(3))
+    return langs.dictionary.take(pa.array(own // size)), coded.dictionary.take(pa.array(own % size)), hashes, n, stream
 
 
-_READ = "block long, lang string, word string, code long, n long, stream binary"
+# --- frequent words, pairs and triples -----------------------------------------------------
 
 
-def _streams(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Per block a row for each distinct word (``code`` from 1), and one with the stream (``code`` 0)."""
+#: Rows with part -1 are a block's own, for its next step; the others ask a part for counts.
+_ASKED_ARROW = pa.schema(
+    [("block", pa.int64()), ("part", pa.int64()), ("blob", pa.binary()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string()))]
+    + [(name, pa.binary()) for name in ("ids", "follows", "told_words", "told_pairs")]
+    + [("totals", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())])))]
+)
+_ASKED = (
+    "block long, part long, blob binary, langs array<string>, words array<string>, ids binary, follows binary, "
+    "told_words binary, told_pairs binary, totals array<struct<lang: string, n: long>>"
+)
 
-    def build(batches):
-        block = TaskContext.get().partitionId() << 24
-        for whole in batches:
-            for rows in slices(whole, block_bytes):
-                lang, word, n, stream = number_words(rows)
-                size, none = len(word), pa.nulls(1, pa.string())
-                made = pa.table(
-                    {
-                        "block": pa.array([block] * size, pa.int64()),
-                        "lang": lang,
-                        "word": word,
-                        "code": pa.array(np.arange(1, size + 1)),
-                        "n": pa.array(n.astype(np.int64)),
-                        "stream": pa.nulls(size, pa.binary()),
-                    }
-                )
-                for part in _cut(made):
-                    yield from part.to_batches()
-                if size:
-                    last = [pa.array([block]), none, none, pa.array([0]), pa.array([0]), pa.array([pack_columns(s=stream)], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(last, names=made.column_names)
-                block += 1
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(build, _READ)
+def _part(ids: list[np.ndarray], parts: int) -> np.ndarray:
+    out = np.zeros(len(ids[0]), np.uint64)
+    for column in ids:
+        out = mix(out + column.astype(np.uint64))
+    return (out % np.uint64(parts)).astype(np.int64)
+
 
+def _asked(block: int, own: dict, ids: list[np.ndarray], n: np.ndarray, parts: int) -> pa.Table:
+    values = {"block": block, "part": -1, **own}
+    out = [pa.table([pa.array([values.get(f.name)], f.type) for f in _ASKED_ARROW], schema=_ASKED_ARROW)]
+    for made in dealt(_part(ids, parts), "", **{f"i{k}": c for k, c in enumerate(ids)}, n=n):
+        rest = [pa.nulls(made.num_rows, f.type) for f in _ASKED_ARROW][3:]
+        out.append(pa.table([pa.array([block] * made.num_rows, pa.int64()), made.column("key"), made.column("blob"), *rest], schema=_ASKED_ARROW))
+    return pa.concat_tables(out)
 
-# --- pairs ---------------------------------------------------------------------
 
+def _answer(size: int, min_count: int, parts: int):
+    """For each run of words a block asked for: its count over all blocks, 0 if rare; whether the block is the first to ask; a number.
 
-def _pairs(stream: np.ndarray, words: int):
-    """Distinct pairs of neighbours among words 0 to ``words - 1`` (-1: none) with counts, and each place's pair (-1: none)."""
-    first, second = stream[:-1], stream[1:]
-    both = (first >= 0) & (second >= 0)
-    own, where, n = np.unique(first[both] * max(words, 1) + second[both], return_inverse=True, return_counts=True)
+    Numbers are the lower, the more frequent a run is in its part.
+    """
+
+    def build(key, table):
+        kinds = ("u" if size == 1 else "i") * size + "i"
+        asked = [unpack_columns([b], kinds) for b in table.column("blob").to_pylist()]
+        *ids, n = (np.concatenate([x[i] for x in asked]) for i in range(size + 1))
+        order = np.lexsort(ids)
+        new = np.ones(len(n), bool)
+        new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in ids], axis=0)
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(n[order], first)
+        total[total < min_count] = 0
+        number = np.empty(len(first), np.int64)
+        number[np.argsort(-total, kind="stable")] = np.arange(len(first)) * parts + key[0].as_py()
+        number[total == 0] = 0
+        repeat = np.diff(np.append(first, len(n)))
+        own = np.empty((3, len(n)), np.int64)
+        own[:, order] = np.repeat(total, repeat), new, np.repeat(number, repeat)
+        edges = np.cumsum([0] + [len(x[0]) for x in asked])
+        blobs = [pack_columns(count=own[0, i:j], told=own[1, i:j], number=own[2, i:j]) for i, j in zip(edges[:-1], edges[1:])]
+        return pa.table({"block": table.column("block"), "part": table.column("part"), "blob": pa.array(blobs, pa.binary())})
+
+    return build
+
+
+def _answers(table: pa.Table, ids: list[np.ndarray], parts: int) -> np.ndarray:
+    """Counts, first-to-ask flags and numbers in the order in which the block has its runs of words."""
+    part = _part(ids, parts)
+    own = np.zeros((3, len(part)), np.int64)
+    if len(part):
+        blobs = [b for _, b in sorted(zip(table.column("part").to_pylist(), table.column("blob").to_pylist()))]
+        own[:, np.argsort(part, kind="stable")] = unpack_columns(blobs, "iii")
+    return own
+
+
+def _grams(stream: np.ndarray, usable: np.ndarray, words: int, size: int):
+    """Distinct runs of ``size`` words (a column per place) at usable places, with counts and each place's run (-1: none)."""
+    start = np.flatnonzero(usable)
+    key = stream[start]
+    for k in range(1, size):
+        _, key = np.unique(key * max(words, 1) + stream[start + k], return_inverse=True)
+    _, first, where, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     at = np.full(len(stream), -1)
-    at[:-1][both] = where
-    return own // max(words, 1), own % max(words, 1), n, at
+    at[start] = where
+    return [stream[start[first] + k] for k in range(size)], n, at
 
 
-def _part(a: np.ndarray, b: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(mix(a.astype(np.uint64)) + b.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+def _pair_places(stream: np.ndarray) -> np.ndarray:
+    usable = np.zeros(len(stream), bool)
+    usable[:-1] = (stream[:-1] >= 0) & (stream[1:] >= 0)
+    return usable
 
 
-_PAIRS = "block long, part long, blob binary, langs array<string>, words array<string>, ids binary"
+def _triple_places(follows: np.ndarray) -> np.ndarray:
+    usable = np.zeros(len(follows), bool)
+    usable[:-1] = follows[:-1] & follows[1:]
+    return usable
 
 
-def _pair_counts(parts: int):
-    """Of a block's stream and its frequent words: its pairs for each part that owns some, and (part -1) what is left of it."""
+def _kept_places(usable: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places inside of usable runs, and these with the one place after each."""
+    inside = usable.copy()
+    for k in range(1, size):
+        inside[k:] |= usable[:-k]
+    kept = inside.copy()
+    kept[1:] |= inside[:-1]
+    return inside, kept
 
-    def build(key, streams, known):
-        schema = pa.schema(
-            [("block", pa.int64()), ("part", pa.int64()), ("blob", pa.binary()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("ids", pa.binary())]
-        )
-        if not streams.num_rows or not known.num_rows:
-            return schema.empty_table()
-        block = key[0].as_py()
-        (stream,) = unpack_columns(streams.column("stream").to_pylist(), "i")
-        code = known.column("code").to_numpy()
-        place = np.full(int(stream.max()) + 1, -1)
-        place[code] = np.arange(len(code))
+
+def _ask_words(docs: DataFrame, block_bytes: int, parts: int) -> DataFrame:
+    def build(batches):
+        block = TaskContext.get().partitionId() << 24
+        for whole in batches:
+            for rows in slices(whole, block_bytes):
+                langs, words, hashes, n, stream = number_words(rows)
+                if not len(words):
+                    continue
+                by_lang = langs.dictionary_encode()
+                sums = np.bincount(by_lang.indices.to_numpy(), n).astype(np.int64).tolist()
+                totals = [{"lang": lang, "n": size} for lang, size in zip(by_lang.dictionary.to_pylist(), sums)]
+                own = {"blob": pack_columns(s=stream), "langs": langs.to_pylist(), "words": words.to_pylist(), "ids": pack_columns(h=hashes), "totals": totals}
+                yield from _asked(block, own, [hashes], n, parts).to_batches()
+                block += 1
+
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(build, _ASKED)
+
+
+def _ask_pairs(parts: int):
+    def build(key, left, answers):
+        (stream,), (hashes,) = unpack_columns(left.column("blob").to_pylist(), "i"), unpack_columns(left.column("ids").to_pylist(), "u")
+        count, told, number = _answers(answers, [hashes], parts)
+        often = np.flatnonzero(count)
+        often = often[np.argsort(number[often])]
+        if not len(often):
+            return _ASKED_ARROW.empty_table()
+        ids = number[often]
+        place = np.full(len(count) + 1, -1)  # the last one is for piece ends
+        place[often] = np.arange(len(often))
         stream = place[stream]
-        keep = stream >= 0
-        keep[1:] |= keep[:-1]  # one end after each run of frequent words is enough
-        stream = stream[keep]
-        ids = known.column("id").to_numpy().astype(np.int64)
-        first, second, n, _ = _pairs(stream, len(ids))
-        a, b = ids[first], ids[second]
-        out = [
-            pa.table(
-                [made.column("kind"), made.column("key"), made.column("blob"), *(pa.nulls(made.num_rows, t) for t in schema.types[3:])],
-                schema=schema,
-            )
-            for made in (m.set_column(0, "kind", pa.array([block] * m.num_rows, pa.int64())) for m in dealt(_part(a, b, parts), "", a=a, b=b, n=n))
-        ]
-        rest = [[block], [-1], [pack_columns(s=stream)], [known.column("lang").to_pylist()], [known.column("word").to_pylist()], [pack_columns(i=ids)]]
-        return pa.concat_tables([pa.table([pa.array(v, t) for v, t in zip(rest, schema.types)], schema=schema), *out])
+        usable = _pair_places(stream)
+        inside, kept = _kept_places(usable, 2)
+        grams, n, _ = _grams(stream, usable, len(ids), 2)
+        tell = np.flatnonzero(told[often])
+        langs, words = (left.column(c).chunk(0).flatten().take(pa.array(often)).to_pylist() for c in ("langs", "words"))
+        own = {"blob": pack_columns(s=np.where(inside, stream, -1)[kept]), "langs": langs, "words": words, "ids": pack_columns(i=ids)}
+        own |= {"told_words": pack_columns(a=tell, n=count[often][tell])}
+        return _asked(key[0].as_py(), own, [ids[g] for g in grams], n, parts)
 
     return build
 
 
-def _flags(min_count: int):
-    """A flag for each pair a block asked for: whether it is frequent over all blocks."""
-
-    def build(key, table):
-        asked = [unpack_columns([b], "iii") for b in table.column("blob").to_pylist()]
-        a, b, n = (np.concatenate([x[i] for x in asked]) for i in range(3))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        often = np.add.reduceat(n[order], first) >= min_count
-        flag = np.zeros(len(a), bool)
-        flag[order] = np.repeat(often, np.diff(np.append(first, len(a))))
-        edges = np.cumsum([0] + [len(x[0]) for x in asked])
-        packed = [np.packbits(flag[i:j]).tobytes() for i, j in zip(edges[:-1], edges[1:])]
-        return pa.table({"block": table.column("block"), "part": table.column("part"), "flags": pa.array(packed, pa.binary())})
+def _ask_triples(parts: int):
+    def build(key, left, answers):
+        (stream,), (ids,) = unpack_columns(left.column("blob").to_pylist(), "i"), unpack_columns(left.column("ids").to_pylist(), "i")
+        (a, b), _, at = _grams(stream, _pair_places(stream), len(ids), 2)
+        count, told, _ = _answers(answers, [ids[a], ids[b]], parts)
+        tell = (told > 0) & (count > 0)
+        follows = np.append(count > 0, False)[at]
+        usable = _triple_places(follows)
+        inside, kept = _kept_places(usable, 3)
+        grams, n, _ = _grams(stream, usable, len(ids), 3)
+        own = {c: left.column(c)[0].as_py() for c in ("langs", "words", "ids", "told_words")}
+        follows[:-1] &= inside[:-1] & inside[1:]
+        own |= {"blob": pack_columns(s=np.where(inside, stream, -1)[kept]), "follows": pack_columns(f=follows[kept].astype(np.int64))}
+        own |= {"told_pairs": pack_columns(a=a[tell], b=b[tell], n=count[tell])}
+        return _asked(key[0].as_py(), own, [ids[g] for g in grams], n, parts)
 
     return build
 
@@ -177,16 +240,17 @@ def _flags(min_count: int):
 # --- windows -------------------------------------------------------------------
 
 
-def windows_of(stream: np.ndarray, follows: np.ndarray, words: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct windows (a column per place, -1 as padding) that start with a frequent pair, and their counts."""
-    start = np.flatnonzero(follows)
+def windows_of(stream: np.ndarray, goes_on: np.ndarray, words: int, order: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows (a column per place, -1 as padding) that start with a frequent run of ``size`` words, and their counts."""
+    start = np.flatnonzero(goes_on)
     lead = np.full((len(start), order), -1)
-    lead[:, 0] = stream[start]
+    for k in range(size):
+        lead[:, k] = stream[start + k]
     alive = np.ones(len(start), bool)
-    for k in range(1, order):
-        at = start + k - 1
-        alive &= (at < len(stream)) & follows[np.minimum(at, len(stream) - 1)]
-        lead[alive, k] = stream[at[alive] + 1]
+    for k in range(size, order):
+        at = start + k - size + 1
+        alive &= (at < len(stream)) & goes_on[np.minimum(at, len(stream) - 1)]
+        lead[alive, k] = stream[at[alive] + size - 1]
     key = lead[:, 0].copy()
     for k in range(1, order):
         _, key = np.unique(key * (words + 1) + lead[:, k] + 1, return_inverse=True)
@@ -195,21 +259,28 @@ def windows_of(stream: np.ndarray, follows: np.ndarray, words: int, order: int)
 
 
 def _windows(parts: int, order: int):
-    def build(key, left, flags):
-        names = ["lang", *(f"w{k}" for k in range(1, order + 1))]
-        schema = pa.schema([*((name, pa.string()) for name in names), ("n", pa.int64())])
-        if not left.num_rows or not flags.num_rows:
-            return schema.empty_table()
-        (stream,), (ids,) = unpack_columns(left.column("blob").to_pylist(), "i"), unpack_columns(left.column("ids").to_pylist(), "i")
-        first, second, _, at = _pairs(stream, len(ids))
-        part = _part(ids[first], ids[second], parts)
-        sent = np.argsort(part, kind="stable")
-        answers = dict(zip(flags.column("part").to_pylist(), flags.column("flags").to_pylist()))
-        kinds, sizes = np.unique(part, return_counts=True)
-        told = [np.unpackbits(np.frombuffer(answers[p], np.uint8), count=c) for p, c in zip(kinds.tolist(), sizes.tolist())]
-        often = np.zeros(len(first) + 1, bool)  # one more for places without a pair
-        often[sent] = np.concatenate(told)
-        lead, n = windows_of(stream, often[at], len(ids), order)
+    """Windows of a block.
+
+    Those that end after a word or a pair are told once for all blocks, by the first block that has it, from the owner's
+    count; so windows that go on are taken off where they would have ended.
+    """
+    names = ["lang", *(f"w{k}" for k in range(1, order + 1))]
+    schema = pa.schema([*((name, pa.string()) for name in names), ("n", pa.int64())])
+
+    def build(key, left, answers):
+        column = lambda name, kinds: unpack_columns(left.column(name).to_pylist(), kinds)
+        (stream,), (ids,), (follows,) = column("blob", "i"), column("ids", "i"), column("follows", "i")
+        one, one_n = column("told_words", "ii")
+        a, b, two_n = column("told_pairs", "iii")
+        pad = lambda *places: np.column_stack([*places, *[np.full(len(places[0]), -1)] * (order - len(places))])
+        lead, n = [pad(one), pad(a, b), pad(a)], [one_n, two_n, -two_n]
+        if order > 2:
+            usable = _triple_places(follows > 0)
+            grams, _, at = _grams(stream, usable, len(ids), 3)
+            count, _, _ = _answers(answers, [ids[g] for g in grams], parts)
+            longer, more = windows_of(stream, np.append(count > 0, False)[at], len(ids), order, 3)
+            lead, n = [*lead, longer, pad(longer[:, 0], longer[:, 1])], [*n, more, -more]
+        lead, n = np.concatenate(lead), np.concatenate(n)
         words = pa.array([*left.column("words")[0].as_py(), ""], pa.string())
         langs = pa.array(left.column("langs")[0].as_py(), pa.string())
         columns = [words.take(pa.array(np.where(c < 0, len(ids), c))) for c in lead.T]
@@ -222,34 +293,35 @@ def count_phrases(docs: DataFrame, scratch: Scratch, order: int = ORDER, min_cou
     """Tables of ``lang, words, f`` (all phrases of ``min_count`` occurrences, single words too) and of ``lang, n`` (all words)."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    read = scratch.store(_streams(docs, block_bytes), "read")
-    words = read.filter("code > 0").select("block", "lang", "word", "code", "n")
-    totals = scratch.store(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    often = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    known = scratch.store(often.withColumn("id", F.monotonically_increasing_id()), "known")
-
-    mine = words.select("block", "lang", "word", "code").join(known.select("lang", "word", "id"), ["lang", "word"])
-    streams = read.filter("code = 0").select(F.col("block").alias("at"), "stream")
-    both = streams.groupBy("at").cogroup(mine.groupBy("block"))
-    pairs = scratch.store(both.applyInArrow(_pair_counts(parts), _PAIRS), "pairs")
-    scratch.drop("read")
-
-    asked = pairs.filter("part >= 0").select("part", "block", "blob")
-    flags = asked.groupBy("part").applyInArrow(_flags(min_count), "block long, part long, flags binary")
-    left = pairs.filter("part < 0").select(F.col("block").alias("at"), "blob", "langs", "words", "ids")
+
+    def own(asked, *columns):
+        return asked.filter("part < 0").select(F.col("block").alias("at"), "blob", "langs", "words", "ids", *columns).groupBy("at")
+
+    def answered(asked, size):
+        told = asked.filter("part >= 0").select("part", "block", "blob").groupBy("part")
+        return told.applyInArrow(_answer(size, min_count, parts), "block long, part long, blob binary").groupBy("block")
+
+    words = scratch.store(_ask_words(docs, block_bytes, parts), "words")
+    each = words.filter("part < 0").select(F.inline("totals"))
+    totals = scratch.store(each.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    pairs = scratch.store(own(words).cogroup(answered(words, 1)).applyInArrow(_ask_pairs(parts), _ASKED), "pairs")
+    scratch.drop("words")
+    triples = own(pairs, "told_words").cogroup(answered(pairs, 2)).applyInArrow(_ask_triples(parts), _ASKED)
+    triples = scratch.store(triples, "triples")
+    scratch.drop("pairs")
+
     columns = [f"w{k}" for k in range(1, order + 1)]
     schema = ", ".join(f"{c} string" for c in ("lang", *columns)) + ", n long"
-    windows = left.groupBy("at").cogroup(flags.groupBy("block")).applyInArrow(_windows(parts, order), schema)
-
-    longer = ", ".join(columns[2:])
+    left = own(triples, "follows", "told_words", "told_pairs")
+    windows = left.cogroup(answered(triples, 3)).applyInArrow(_windows(parts, order), schema)
     summed = spark.sql(
         f"SELECT lang, {', '.join(columns)}, sum(n) AS f FROM {{windows}} "
-        f"GROUP BY lang, w1, w2{f', ROLLUP ({longer})' if longer else ''} HAVING sum(n) >= {int(min_count)}",
+        f"GROUP BY lang, w1, ROLLUP ({', '.join(columns[1:])}) HAVING sum(n) >= {int(min_count)}",
         windows=windows,
     )
     unpadded = summed.filter(~F.exists(F.array(*columns), lambda w: F.coalesce(w, F.lit("-")) == ""))
     phrases = unpadded.select("lang", F.filter(F.array(*columns), lambda w: w.isNotNull()).alias("words"), "f")
-    return scratch.store(phrases.union(known.select("lang", F.array("word"), "f")), "phrases"), totals
+    return scratch.store(phrases, "phrases"), totals
 
 
 def find_collocations(

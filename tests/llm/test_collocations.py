@@ -96,8 +96,8 @@ def test_score_is_exact_beyond_64_bits(spark):
     assert row.score == 1000 * 4 * 10**9 * 9 * 10**12 // (5 * 10**9 * 4 * 10**9)
 
 
-def test_windows_end_where_pairs_do():
-    stream = np.array([0, 1, 2, -1, 0, 1, 2, 3])
-    follows = np.array([True, True, False, False, True, True, False, False])
-    lead, n = collocations.windows_of(stream, follows, 4, 4)
-    assert sorted(zip(map(tuple, lead.tolist()), n.tolist())) == [((0, 1, 2, -1), 2), ((1, 2, -1, -1), 2)]
+def test_windows_end_where_triples_do():
+    stream = np.array([0, 1, 2, 3, -1, 0, 1, 2, 3, 0, 1])
+    goes_on = np.array([1, 1, 0, 0, 0, 1, 1, 0, 0, 0, 0]).astype(bool)
+    lead, n = collocations.windows_of(stream, goes_on, 4, 5, 3)
+    assert sorted(zip(map(tuple, lead.tolist()), n.tolist())) == [((0, 1, 2, 3, -1), 2), ((1, 2, 3, -1, -1), 2)]
