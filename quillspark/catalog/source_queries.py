@@ -13,6 +13,7 @@ from quillspark.operators.splits import stratified_split
 from quillspark.plans import prepare
 from quillspark.session import scratch_path
 from quillspark.sources import readers, writers
+from quillspark.sources.snapshots import SnapshotTable
 
 
 def human_records(spark, sf):
@@ -96,6 +97,37 @@ def _append(spark, sf):
     return spark.read.schema("doc_id long, text string").json(path)
 
 
+COMMITS = 12
+
+
+def appended(spark, sf):
+    """Documents in many small commits, some of them sent twice; then the benchmark as one more.
+
+    Gives the table, and the version that holds the documents alone.
+    """
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    made = SnapshotTable(spark, scratch_path(spark, "snapshots"), docs.schema)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(COMMITS))
+    for batch in range(COMMITS):
+        for _ in range(1 + batch % 2):
+            made.append(docs.filter(place == batch), "documents", batch)
+    before = made.manifest().version
+    made.append(table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text"), "benchmark", 0)
+    return made, before
+
+
+@query("append_snapshots", "SELECT doc_id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark")
+def _snapshots(spark, sf):
+    return appended(spark, sf)[0].read()
+
+
+@query("snapshot_as_of", "SELECT doc_id, text FROM documents")
+def _as_of(spark, sf):
+    """The version before the last commit."""
+    made, before = appended(spark, sf)
+    return made.read(before)
+
+
 @query(
     "write_run_stats",
     f"""WITH {b.PREPARED}, {b.split_sql('prepared', 'doc_id', 'label', 0.2, 0.2)} SELECT count(*) AS total_texts,

@@ -1,9 +1,11 @@
 """Streaming jobs.  Each drains what is available and equals its batch counterpart.
 
-Sinks write one directory per run and micro-batch, with overwrite.  A run is the life of one checkpoint folder and
-its id is kept there, so a replayed batch replaces its own output and a new checkpoint on an old target adds to it.
+Sinks are snapshot tables.  A run is the life of one checkpoint folder and its id is kept there; a table knows the last batch of each
+run, so a replayed batch changes nothing, and a new checkpoint on an old target adds to it.  Small batches are merged, so
+reading costs what the rows cost, however many batches there were.
 Windowed counts are written as partial counts per micro-batch and added up when read: a row that arrives late is
-one more partial, whatever its time, and no state has to be bounded by dropping it.
+one more partial, whatever its time, and no state has to be bounded by dropping it.  ``stateful`` has the forms that keep
+their state in a state store.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from quillspark.operators import metrics as m
 from quillspark.operators.corpus import antijoin_new_ids
 from quillspark.operators.usage import with_limit
 from quillspark.plans.predict import predict_batch
+from quillspark.sources.snapshots import SnapshotTable
 
 ID_BUCKETS = 64
 
 
-def _drain(stream: DataFrame, sink, checkpoint: str) -> StreamingQuery:
+def drain(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> StreamingQuery:
     query = (
-        stream.writeStream.outputMode("append")
+        stream.writeStream.outputMode(mode)
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -51,20 +54,17 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("run string").json(folder).first()["run"]
 
 
-def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Everything that jobs have written so far, with ``run_id`` and ``batch_id``; empty before the first batch."""
-    marks = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-    full = T.StructType([*schema.fields, *marks])
-    pattern = f"{path}/run_id=*/batch_id=*"
-    if not _listed(spark, pattern):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(pattern)
+def appending(table: SnapshotTable, run: str):
+    """A sink that commits each micro-batch once.
 
+    A replayed batch is run through all the same: a state store wants all its partitions committed.
+    """
 
-def _write_batch(target: str, run: str, partition: str | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite")
-        (writer.partitionBy(partition) if partition else writer).parquet(f"{target}/run_id={run}/batch_id={batch_id}")
+        if table.manifest().has(run, batch_id):
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            table.append(batch, run, batch_id)
 
     return write
 
@@ -78,19 +78,19 @@ def stream_ingest_dedupe(
     """
     spark, run = incoming.sparkSession, run_id(incoming.sparkSession, checkpoint)
     schema = T.StructType([*incoming.schema.fields, T.StructField("id_bucket", T.IntegerType())])
-    write = _write_batch(target, run, "id_bucket")
+    table = SnapshotTable(spark, target, schema, "id_bucket")
 
     def append_new(batch: DataFrame, batch_id: int) -> None:
+        if table.manifest().has(run, batch_id):
+            return  # a replay must not take its own earlier output for stored records
         batch = batch.withColumn("id_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
         present = [r["id_bucket"] for r in batch.select("id_bucket").distinct().collect()]  # at most ``buckets``
-        # a replay must not take its own earlier output for stored records
-        own = (F.col("run_id") == run) & (F.col("batch_id") == batch_id)
-        earlier = stored_batches(spark, target, schema).filter(~own & F.col("id_bucket").isin(present))
-        write(antijoin_new_ids(batch, earlier.select(key), key, order), batch_id)
+        earlier = table.read().filter(F.col("id_bucket").isin(present))
+        table.append(antijoin_new_ids(batch, earlier.select(key), key, order), run, batch_id)
         batch.unpersist()
 
-    _drain(incoming, append_new, checkpoint)
-    return stored_batches(spark, target, schema).select(*incoming.columns)
+    drain(incoming, append_new, checkpoint)
+    return table.read().select(*incoming.columns)
 
 
 def stream_rate_window(
@@ -99,15 +99,15 @@ def stream_rate_window(
     """Requests per provider and minute, as partial counts per micro-batch."""
     window = F.window(F.col(ts).cast("timestamp"), "1 minute")["start"].alias("window_start")
     keys = [window, F.col(provider).alias("provider")]
-    write = _write_batch(target, run_id(requests.sparkSession, checkpoint))
+    schema = T.StructType.fromDDL("window_start timestamp, provider string, requests long")
+    table = SnapshotTable(requests.sparkSession, target, schema)
+    write = appending(table, run_id(requests.sparkSession, checkpoint))
 
     def count(batch: DataFrame, batch_id: int) -> None:
         write(batch.filter(F.col(ts).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("requests")), batch_id)
 
-    _drain(requests, count, checkpoint)
-    schema = T.StructType.fromDDL("window_start timestamp, provider string, requests long")
-    written = stored_batches(requests.sparkSession, target, schema)
-    total = written.groupBy("window_start", "provider").agg(F.sum("requests").alias("requests"))
+    drain(requests, count, checkpoint)
+    total = table.read().groupBy("window_start", "provider").agg(F.sum("requests").alias("requests"))
     return with_limit(total, limits)
 
 
@@ -116,8 +116,9 @@ def stream_score(
 ) -> DataFrame:
     """Predictions for every text that arrives."""
     predictions = predict_batch(model, name, texts)
-    _drain(predictions, _write_batch(target, run_id(texts.sparkSession, checkpoint)), checkpoint)
-    return stored_batches(texts.sparkSession, target, predictions.schema).drop("run_id", "batch_id")
+    table = SnapshotTable(texts.sparkSession, target, predictions.schema)
+    drain(predictions, appending(table, run_id(texts.sparkSession, checkpoint)), checkpoint)
+    return table.read()
 
 
 def stream_drift_monitor(
@@ -126,13 +127,13 @@ def stream_drift_monitor(
     """Accuracy over time from a stream of judged predictions, as partial counts per micro-batch."""
     window = F.window(F.col(ts).cast("timestamp"), length).alias("w")
     cells = m.outcome_counts(1)
-    write = _write_batch(target, run_id(scored.sparkSession, checkpoint))
+    schema = T.StructType.fromDDL("w struct<start:timestamp,end:timestamp>, " + ", ".join(f"{k} long" for k in cells))
+    table = SnapshotTable(scored.sparkSession, target, schema)
+    write = appending(table, run_id(scored.sparkSession, checkpoint))
 
     def count(batch: DataFrame, batch_id: int) -> None:
         counted = batch.filter(F.col(ts).isNotNull()).groupBy(window).agg(*[c.alias(k) for k, c in cells.items()])
         write(counted, batch_id)
 
-    _drain(scored, count, checkpoint)
-    schema = T.StructType.fromDDL("w struct<start:timestamp,end:timestamp>, " + ", ".join(f"{k} long" for k in cells))
-    written = stored_batches(scored.sparkSession, target, schema)
-    return m.drift_report(written.groupBy("w").agg(*[F.sum(c).alias(c) for c in cells]))
+    drain(scored, count, checkpoint)
+    return m.drift_report(table.read().groupBy("w").agg(*[F.sum(c).alias(c) for c in cells]))

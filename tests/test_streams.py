@@ -1,9 +1,9 @@
 """Streams equal batch over replays, new checkpoints on old targets, and rows that come late."""
 
+import json
 import os
 
-from pyspark.sql import functions as F
-
+import pytest
 from quillspark.streaming import jobs
 
 
@@ -63,14 +63,22 @@ def test_late_judgements_change_the_drift_report(spark, tmp_path):
     assert got["2024-01-01 00:00:00"] == 0.5 and got["2024-02-01 00:00:00"] == 1.0
 
 
-def test_a_wrong_target_is_not_an_empty_one(spark, tmp_path):
-    (tmp_path / "t" / "run_id=x").mkdir(parents=True)
-    (tmp_path / "t" / "run_id=x" / "batch_id=0").mkdir()
-    (tmp_path / "t" / "run_id=x" / "batch_id=0" / "part-0.parquet").write_bytes(b"not parquet")
-    stored = jobs.stored_batches(spark, str(tmp_path / "t"), spark.createDataFrame([], "id long").schema)
-    try:
-        stored.select(F.sum("id")).collect()
-    except Exception as error:  # noqa: BLE001 - the kind depends on the reader
-        assert "arquet" in str(error)
-    else:
-        raise AssertionError("the damage went unnoticed")
+def test_a_damaged_target_is_not_an_empty_one(spark, tmp_path):
+    target, state, folder = (str(tmp_path / n) for n in ("target", "state", "in"))
+    jobs.stream_ingest_dedupe(feed(spark, folder, [(1, 1)], "id long, n long"), target, state, "id", ["n"])
+    (tmp_path / "target" / "manifests" / f"{1:012d}.json").write_text("not json")
+    (tmp_path / "target" / "manifests" / f".{1:012d}.json.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):  # noqa: B017 - the kind depends on the damage
+        jobs.stream_ingest_dedupe(feed(spark, folder, [(2, 1)], "id long, n long"), target, state, "id", ["n"])
+
+
+def test_reading_does_not_grow_with_batches(spark, tmp_path):
+    target, state, folder = (str(tmp_path / n) for n in ("target", "state", "in"))
+    for i in range(10):
+        out = jobs.stream_ingest_dedupe(feed(spark, folder, [(i, 1), (i + 1, 1)], "id long, n long"), target, state, "id", ["n"], 2)
+    assert sorted(r.id for r in out.collect()) == list(range(11))
+    assert len(json.loads((tmp_path / "target" / "manifests" / f"{max_version(tmp_path):012d}.json").read_text())["entries"]) <= 8
+
+
+def max_version(tmp_path):
+    return max(int(p.name.removesuffix(".json")) for p in (tmp_path / "target" / "manifests").glob("*.json"))
