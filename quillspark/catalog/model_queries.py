@@ -7,7 +7,8 @@ the predictions, measures within their limits), and ``tests/test_models.py`` loo
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from quillspark import fixed_values as fv
@@ -17,7 +18,7 @@ from quillspark.catalog.feature_queries import FREQ, KEPT, terms_sql, tfidf_sql,
 from quillspark.catalog.metric_queries import rates
 from quillspark.operators import metrics
 from quillspark.operators.splits import stratified_split
-from quillspark.plans import evaluate, models, prepare
+from quillspark.plans import evaluate, models, perceptron, prepare
 from quillspark.plans.predict import predict_batch
 from quillspark.session import scratch_path, stored
 from quillspark.sources.models import load_best_model, load_model, save_model
@@ -157,6 +158,48 @@ def _word_vectors(spark, sf):
     return value.select(ID, "dimension", (~F.isnan("value") & (F.abs("value") < 1e6)).alias("finite"))
 
 
+# --- one step of the perceptron ----------------------------------------------------------
+
+STEP_LAYERS = [2, 2, 1]
+STEP_WEIGHTS = [((7 * i) % 11 - 5) / 10 for i in range(9)]
+STEP_ALPHA, STEP_RATE = 0.01, 0.001
+
+
+def step_sql():
+    w = [f"({x}::DOUBLE)" for x in STEP_WEIGHTS]
+    decay = [f"+ {STEP_ALPHA} / count(*) * {x}" for x in w]
+    gradients = [
+        f"avg(d * {w[6 + j]} * (z{j} > 0)::INT * {x}) {decay[2 * i + j] if x != '1' else ''}"
+        for i, x in enumerate(("x0", "x1", "1")) for j in (0, 1)
+    ] + [f"avg(d * h{j}) {decay[6 + j]}" for j in (0, 1)] + ["avg(d)"]
+    return f"""WITH x AS (SELECT n_chars / 10000.0::DOUBLE AS x0, (lang = 'en')::INT::DOUBLE AS x1, quality AS y
+      FROM documents JOIN labels USING (doc_id)),
+    z AS (SELECT *, x0 * {w[0]} + x1 * {w[2]} + {w[4]} AS z0, x0 * {w[1]} + x1 * {w[3]} + {w[5]} AS z1 FROM x),
+    h AS (SELECT *, greatest(z0, 0) AS h0, greatest(z1, 0) AS h1 FROM z),
+    d AS (SELECT *, 1 / (1 + exp(-(h0 * {w[6]} + h1 * {w[7]} + {w[8]}))) - y AS d FROM h),
+    g AS (SELECT [{', '.join(gradients)}] AS g FROM d),
+    each AS (SELECT place, g[place + 1] AS g, [{', '.join(w)}][place + 1] AS w FROM g, range(9) t(place))
+    SELECT place, round(g, 6) AS gradient, round(w - {STEP_RATE} * g / (abs(g) + 1e-8), 6) AS weight FROM each"""
+
+
+@query("mlp_first_step", step_sql())
+def _first_step(spark, sf):
+    """Gradient and Adam step of a small perceptron over all labelled documents, from fixed weights."""
+    cells = F.array((F.col("n_chars") / 10000.0).cast("double"), (F.col("lang") == "en").cast("double"))
+    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), ID).select(
+        ID, F.col("quality").cast("double").alias("label"), array_to_vector(cells).alias("features")
+    )
+    start, n = np.array(STEP_WEIGHTS), rows.count()
+    shards = perceptron.packed_shards(rows, ID, F.lit(False), n, STEP_LAYERS[0])
+    mean, _, _ = perceptron.step_sums(shards, start, STEP_LAYERS, n)
+    gradient = perceptron.penalised(mean, start, STEP_LAYERS, STEP_ALPHA, n)
+    weights = perceptron.Adam(len(start), STEP_RATE).step(start, gradient)
+    made = [(i, float(g), float(w)) for i, (g, w) in enumerate(zip(gradient, weights))]
+    return spark.createDataFrame(made, "place long, gradient double, weight double").select(
+        "place", F.round("gradient", 6).alias("gradient"), F.round("weight", 6).alias("weight")
+    )
+
+
 # --- evaluation ----------------------------------------------------------------------
 
 

@@ -14,7 +14,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -27,12 +26,14 @@ from quillspark.functions.labels import encode_label
 from quillspark.operators.splits import stratified_holdout
 from quillspark.plans.features import feature_names, fit_features
 from quillspark.plans.fourier import RandomFourierFeatures
+from quillspark.plans.perceptron import fit_perceptron
 
 SEED = 42
 LOGISTIC_TOLERANCE = 1e-4
 MARGIN_TOLERANCE = 1e-3
 ROWS_PER_TASK = 1_000
 HELD_OUT_SHARE = 0.2
+JUDGED_SHARE = 0.1
 
 
 @dataclass(frozen=True)
@@ -81,11 +82,11 @@ def fit_random_forest(
     return [RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, **_weights(train)).fit(train)]
 
 
-def fit_mlp(
-    train: DataFrame, size: int, row_id: str, hidden: tuple = (100, 50), max_iter: int = 300
-):
-    layers = [size, *hidden, 2]
-    return [MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=SEED).fit(train)]
+def fit_mlp(train: DataFrame, size: int, row_id: str, hidden: tuple = (100, 50), max_iter: int = 300, **options):
+    """Rectified units, Adam, and an end when a held-out tenth gets no better; takes no weights."""
+    split = stratified_holdout(train, row_id, ["label"], JUDGED_SHARE)
+    rows = split.select(row_id, "label", "features", "split")
+    return [fit_perceptron(rows, size, row_id, F.col("split") == "test", hidden, max_iter=max_iter, seed=SEED, **options)]
 
 
 def scale_gamma(train: DataFrame, size: int) -> float:
