@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.blocks import dealt, pack_columns, unpack_columns
+from quillspark.llm.blocks import block_rows, dealt, pack_columns, serialised, unpack_columns
 from quillspark.llm.common import BYTE_CODES, LOWER, Scratch, mix, prefix_hashes, shuffle_partitions, slices, substring_hashes, text_bytes, word_spans
 
 ORDER = 5
@@ -44,14 +45,20 @@ _BETWEEN[[0x20, 0x09]] = True
 
 
 def _hashes(words: pa.StringArray) -> np.ndarray:
-    words = pa.array(words.to_pylist(), pa.string()) if words.offset else words
+    if words.offset or not words.buffers()[1]:
+        words = pa.array(words.to_pylist() or [""], pa.string())[: len(words)]
     ends = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
     data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] else np.zeros(0, np.uint8)
     return mix(substring_hashes(prefix_hashes(BYTE_CODES[data[: ends[-1]]]), ends[:-1], ends[1:]))
 
 
+def word_hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    coded = langs.dictionary_encode()
+    return mix(_hashes(words) + _hashes(coded.dictionary)[coded.indices.to_numpy()] * np.uint64(3))
+
+
 def number_words(rows: pa.RecordBatch):
-    """Distinct (lang, word) of a block with hashes and counts, and all words in order as numbers from 0, -1 where a piece ends."""
+    """Distinct (lang, word) of a block with counts, and all words in order as numbers from 0, -1 where a piece ends."""
     data, offsets = text_bytes(rows)
     low = LOWER[data]
     starts, stops = word_spans(low, offsets, _BETWEEN)
@@ -68,8 +75,7 @@ def number_words(rows: pa.RecordBatch):
     parted[1:] = (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])
     stream = np.full(len(starts) + int(parted.sum()), -1)
     stream[np.arange(len(starts)) + np.cumsum(parted)] = number
-    hashes = mix(_hashes(coded.dictionary)[own % size] + _hashes(langs.dictionary)[own // size] * np.uint64(3))
-    return langs.dictionary.take(pa.array(own // size)), coded.dictionary.take(pa.array(own % size)), hashes, n, stream
+    return langs.dictionary.take(pa.array(own // size)), coded.dictionary.take(pa.array(own % size)), n, stream
 
 
 # --- frequent words, pairs and triples -----------------------------------------------------
@@ -77,16 +83,21 @@ def number_words(rows: pa.RecordBatch):
 
 #: Rows with part -1 are a block's own, for its next step; the others ask a part for counts.
 _ASKED_ARROW = pa.schema(
-    [("block", pa.int64()), ("part", pa.int64()), ("blob", pa.binary()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string()))]
-    + [(name, pa.binary()) for name in ("ids", "follows", "told_words", "told_pairs")]
+    [("block", pa.int64()), ("part", pa.int64())]
+    + [(name, pa.binary()) for name in ("blob", "vocabulary", "ids", "follows", "told_words", "told_pairs")]
     + [("totals", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())])))]
 )
 _ASKED = (
-    "block long, part long, blob binary, langs array<string>, words array<string>, ids binary, follows binary, "
-    "told_words binary, told_pairs binary, totals array<struct<lang: string, n: long>>"
+    "block long, part long, blob binary, vocabulary binary, ids binary, follows binary, told_words binary, told_pairs binary, "
+    "totals array<struct<lang: string, n: long>>"
 )
 
 
+def _packed_words(langs: pa.Array, words: pa.Array) -> bytes:
+    rows = pa.RecordBatch.from_arrays([langs, words], names=["lang", "word"])
+    return zstandard.ZstdCompressor(level=3).compress(serialised(rows))
+
+
 def _part(ids: list[np.ndarray], parts: int) -> np.ndarray:
     out = np.zeros(len(ids[0]), np.uint64)
     for column in ids:
@@ -181,14 +192,14 @@ def _ask_words(docs: DataFrame, block_bytes: int, parts: int) -> DataFrame:
         block = TaskContext.get().partitionId() << 24
         for whole in batches:
             for rows in slices(whole, block_bytes):
-                langs, words, hashes, n, stream = number_words(rows)
+                langs, words, n, stream = number_words(rows)
                 if not len(words):
                     continue
                 by_lang = langs.dictionary_encode()
                 sums = np.bincount(by_lang.indices.to_numpy(), n).astype(np.int64).tolist()
                 totals = [{"lang": lang, "n": size} for lang, size in zip(by_lang.dictionary.to_pylist(), sums)]
-                own = {"blob": pack_columns(s=stream), "langs": langs.to_pylist(), "words": words.to_pylist(), "ids": pack_columns(h=hashes), "totals": totals}
-                yield from _asked(block, own, [hashes], n, parts).to_batches()
+                own = {"blob": pack_columns(s=stream), "vocabulary": _packed_words(langs, words), "totals": totals}
+                yield from _asked(block, own, [word_hashes(langs, words)], n, parts).to_batches()
                 block += 1
 
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(build, _ASKED)
@@ -196,8 +207,9 @@ def _ask_words(docs: DataFrame, block_bytes: int, parts: int) -> DataFrame:
 
 def _ask_pairs(parts: int):
     def build(key, left, answers):
-        (stream,), (hashes,) = unpack_columns(left.column("blob").to_pylist(), "i"), unpack_columns(left.column("ids").to_pylist(), "u")
-        count, told, number = _answers(answers, [hashes], parts)
+        (stream,) = unpack_columns(left.column("blob").to_pylist(), "i")
+        known = block_rows(left.column("vocabulary")[0].as_py())
+        count, told, number = _answers(answers, [word_hashes(known.column("lang"), known.column("word"))], parts)
         often = np.flatnonzero(count)
         often = often[np.argsort(number[often])]
         if not len(often):
@@ -210,8 +222,8 @@ def _ask_pairs(parts: int):
         inside, kept = _kept_places(usable, 2)
         grams, n, _ = _grams(stream, usable, len(ids), 2)
         tell = np.flatnonzero(told[often])
-        langs, words = (left.column(c).chunk(0).flatten().take(pa.array(often)).to_pylist() for c in ("langs", "words"))
-        own = {"blob": pack_columns(s=np.where(inside, stream, -1)[kept]), "langs": langs, "words": words, "ids": pack_columns(i=ids)}
+        langs, words = (known.column(c).take(pa.array(often)) for c in ("lang", "word"))
+        own = {"blob": pack_columns(s=np.where(inside, stream, -1)[kept]), "vocabulary": _packed_words(langs, words), "ids": pack_columns(i=ids)}
         own |= {"told_words": pack_columns(a=tell, n=count[often][tell])}
         return _asked(key[0].as_py(), own, [ids[g] for g in grams], n, parts)
 
@@ -228,7 +240,7 @@ def _ask_triples(parts: int):
         usable = _triple_places(follows)
         inside, kept = _kept_places(usable, 3)
         grams, n, _ = _grams(stream, usable, len(ids), 3)
-        own = {c: left.column(c)[0].as_py() for c in ("langs", "words", "ids", "told_words")}
+        own = {c: left.column(c)[0].as_py() for c in ("vocabulary", "ids", "told_words")}
         follows[:-1] &= inside[:-1] & inside[1:]
         own |= {"blob": pack_columns(s=np.where(inside, stream, -1)[kept]), "follows": pack_columns(f=follows[kept].astype(np.int64))}
         own |= {"told_pairs": pack_columns(a=a[tell], b=b[tell], n=count[tell])}
@@ -279,10 +291,13 @@ def _windows(parts: int, order: int):
             grams, _, at = _grams(stream, usable, len(ids), 3)
             count, _, _ = _answers(answers, [ids[g] for g in grams], parts)
             longer, more = windows_of(stream, np.append(count > 0, False)[at], len(ids), order, 3)
-            lead, n = [*lead, longer, pad(longer[:, 0], longer[:, 1])], [*n, more, -more]
+            ends, where = np.unique(longer[:, 0] * len(ids) + longer[:, 1], return_inverse=True)
+            off = np.bincount(where, more, len(ends)).astype(np.int64)
+            lead, n = [*lead, longer, pad(ends // max(1, len(ids)), ends % max(1, len(ids)))], [*n, more, -off]
         lead, n = np.concatenate(lead), np.concatenate(n)
-        words = pa.array([*left.column("words")[0].as_py(), ""], pa.string())
-        langs = pa.array(left.column("langs")[0].as_py(), pa.string())
+        known = block_rows(left.column("vocabulary")[0].as_py())
+        words = pa.concat_arrays([known.column("word"), pa.array([""], pa.string())])
+        langs = known.column("lang")
         columns = [words.take(pa.array(np.where(c < 0, len(ids), c))) for c in lead.T]
         return pa.table([langs.take(pa.array(lead[:, 0])), *columns, pa.array(n.astype(np.int64))], schema=schema)
 
@@ -295,7 +310,7 @@ def count_phrases(docs: DataFrame, scratch: Scratch, order: int = ORDER, min_cou
     parts = shuffle_partitions(spark)
 
     def own(asked, *columns):
-        return asked.filter("part < 0").select(F.col("block").alias("at"), "blob", "langs", "words", "ids", *columns).groupBy("at")
+        return asked.filter("part < 0").select(F.col("block").alias("at"), "blob", "vocabulary", *columns).groupBy("at")
 
     def answered(asked, size):
         told = asked.filter("part >= 0").select("part", "block", "blob").groupBy("part")
@@ -306,13 +321,13 @@ def count_phrases(docs: DataFrame, scratch: Scratch, order: int = ORDER, min_cou
     totals = scratch.store(each.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     pairs = scratch.store(own(words).cogroup(answered(words, 1)).applyInArrow(_ask_pairs(parts), _ASKED), "pairs")
     scratch.drop("words")
-    triples = own(pairs, "told_words").cogroup(answered(pairs, 2)).applyInArrow(_ask_triples(parts), _ASKED)
+    triples = own(pairs, "ids", "told_words").cogroup(answered(pairs, 2)).applyInArrow(_ask_triples(parts), _ASKED)
     triples = scratch.store(triples, "triples")
     scratch.drop("pairs")
 
     columns = [f"w{k}" for k in range(1, order + 1)]
     schema = ", ".join(f"{c} string" for c in ("lang", *columns)) + ", n long"
-    left = own(triples, "follows", "told_words", "told_pairs")
+    left = own(triples, "ids", "follows", "told_words", "told_pairs")
     windows = left.cogroup(answered(triples, 3)).applyInArrow(_windows(parts, order), schema)
     summed = spark.sql(
         f"SELECT lang, {', '.join(columns)}, sum(n) AS f FROM {{windows}} "
