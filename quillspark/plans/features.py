@@ -86,7 +86,8 @@ def tfidf_table(
     vectors = PipelineModel(stages).transform(docs.select(doc, *keep, text))
     raw = F.unwrap_udt(F.col("_vector"))
     pairs = F.explode(F.arrays_zip(raw["indices"].alias("at"), raw["values"].alias("weight"))).alias("p")
-    term = F.element_at(F.lit(rows["term"]), F.col("p.at") + 1)
+    # one literal that is cut once; a literal per term would take the driver seconds (no term holds a line feed)
+    term = F.element_at(F.split(F.lit("\n".join(rows["term"])), "\n"), F.col("p.at") + 1)
     return vectors.select(doc, *keep, pairs).select(doc, *keep, term.alias("term"), F.col("p.weight").alias("weight"))
 
 
