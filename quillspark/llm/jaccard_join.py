@@ -5,8 +5,10 @@ a scheme hashes the universe of shingles into m segments; two similar sets have
 that many segments.  So a set indexes, in its own band's scheme and in the next one, a signature per non-empty segment.
 Cost-based allocation drops, per set and scheme, its most frequent signatures as far as the pigeonhole leaves slack:
 with at most H differing segments, the H + 1 rarest (in one order for all sets) still meet.  A set
-with too many empty segments for that emits the one-deletion neighbourhood of each segment as well: then some segment
-with two shingles or more differs in at most one.  The candidates left are compared by parity sketches (their
+with too many empty segments for that emits the one-deletion neighbourhood of each segment as well: to leave no signature
+in common, a similar set must then lose the shingle of every segment of one and differ twice in every larger one.  Where H
+allows even that (small sets whose shingles fall into few segments), the set also emits its first shingles in an order for all,
+as many as must hold a shared one.  The candidates left are compared by parity sketches (their
 distance never exceeds the true difference) and verified exactly on the shingle sets.
 
 What moves: documents are written once as compressed blocks; equal sets become one class first; signatures travel
@@ -41,6 +43,7 @@ BLOCK_BYTES = 2 << 20
 FLUSH = 600_000  # signatures that a task gathers before it deals them out
 HOT = 16
 _SALT = np.uint64(0xA0761D6478BD642F)
+_FIRSTS = np.uint64(0xE7037ED1A0B428DB)  # the space of single shingles
 _BANDS = [1]
 while _BANDS[-1] < 10**9:
     _BANDS.append(max(_BANDS[-1] + 1, _BANDS[-1] * 4 // 3))
@@ -158,6 +161,15 @@ def signatures(flat: np.ndarray, at: np.ndarray):
         each = short[own] & (load[segment] > 1)
         s, o = segment[each], own[each]
         out.append((mix(total[s] - content[mine][each] + near[s]), o, band[o], np.zeros(len(o), np.int64)))
+        # differences that break every segment of a set; similar sets share 3/4 of either, so one of n // 4 + 1 shingles
+        breaks = np.bincount(owner, np.minimum(load, 2), len(sizes)).astype(np.int64)
+        frail = active & (breaks <= worst_difference(sizes, band))
+        f, o = content[mine][frail[own]], own[frail[own]]
+        order = np.lexsort((f, o))
+        f, o = f[order], o[order]
+        first = np.arange(len(o)) - np.searchsorted(o, o) <= sizes[o] // 4
+        f, o = f[first], o[first]
+        out.append((mix(f ^ mix(band[o].astype(np.uint64) ^ _FIRSTS)), o, band[o], np.zeros(len(o), np.int64)))
     if not out:
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     return tuple(np.concatenate(c) for c in zip(*out))

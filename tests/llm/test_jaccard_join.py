@@ -92,6 +92,34 @@ def test_similar_sets_share_a_signature(size, seed):
     assert found
 
 
+def test_pairs_whose_shingles_fall_into_few_segments_meet():
+    """Sets of 6 and 8 shingles at 0.75, and others that small: no pair is lost, wherever the shingles fall."""
+    r = np.random.default_rng(11)
+    for small, large, pairs in ((6, 8, 60_000), (7, 9, 20_000), (9, 12, 20_000), (3, 4, 20_000), (12, 16, 5_000)):
+        # a third of the pairs crowd into one segment or two of the larger set's scheme
+        flat = r.integers(0, 2**63, (pairs, large), np.uint64)
+        m = int(jj.segments_of(np.searchsorted(jj.BANDS, [large]))[0])
+        crowd = flat[: pairs // 3]
+        crowd[:] = (((crowd >> np.uint64(24)) * np.uint64(m) + (crowd & np.uint64(1)) * (crowd[:, :1] & np.uint64(1))) << np.uint64(20)) | (crowd & np.uint64(0xFFFFF))
+        both = np.concatenate([flat, flat[:, :small]], axis=1).ravel()
+        at = np.concatenate([[0], np.cumsum(np.tile([large, small], pairs))])
+        sig, doc, band, _ = jj.signatures(both, at)
+        key = np.stack([sig, band.astype(np.uint64), (doc // 2).astype(np.uint64)], axis=1)
+        of = [np.unique(key[doc % 2 == i], axis=0) for i in (0, 1)]
+        rows, count = np.unique(np.concatenate(of), axis=0, return_counts=True)
+        assert len(np.unique(rows[count == 2][:, 2])) == pairs
+
+
+def test_a_pair_in_one_segment_is_linked(spark):
+    words = (
+        "w704128507 w214064940 w397765063 w455610068 w63569151 w615324659 w743420517 w10415717 w836713322 "
+        "w921706004 w598475240 w644827132"
+    ).split()
+    rows = [(1, " ".join(words)), (2, " ".join(words[:10])), (3, "other words that link with nothing at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jj.link_documents(docs).collect())) == [(1, 8, 1), (2, 6, 1), (3, 4, 3)]
+
+
 def test_sketch_never_exceeds_the_difference():
     r = np.random.default_rng(5)
     for _ in range(200):
