@@ -18,7 +18,7 @@ from quillspark.catalog.feature_queries import FREQ, KEPT, terms_sql, tfidf_sql,
 from quillspark.catalog.metric_queries import rates
 from quillspark.operators import metrics
 from quillspark.operators.splits import stratified_split
-from quillspark.plans import evaluate, models, perceptron, prepare
+from quillspark.plans import evaluate, landmarks, models, perceptron, prepare
 from quillspark.plans.predict import predict_batch
 from quillspark.session import scratch_path, stored
 from quillspark.sources.models import load_best_model, load_model, save_model
@@ -200,6 +200,36 @@ def _first_step(spark, sf):
     )
 
 
+# --- the kernel under two landmarks -----------------------------------------------------
+
+KERNEL_WIDTH = 0.5
+# two landmarks: the inverse of their kernel matrix is written out
+LANDMARK_SQL = f"""WITH x AS (SELECT doc_id, n_chars / 1000.0::DOUBLE AS a, (lang = 'en')::INT::DOUBLE AS b,
+      row_number() OVER (ORDER BY {b.order_key('doc_id')}, doc_id) AS place FROM documents),
+    k AS (SELECT x.doc_id, max(CASE WHEN l.place = 1 THEN v END) AS k1, max(CASE WHEN l.place = 2 THEN v END) AS k2
+      FROM x, x l, LATERAL (SELECT exp(-{KERNEL_WIDTH} * ((x.a - l.a) ** 2 + (x.b - l.b) ** 2)) AS v)
+      WHERE l.place <= 2 GROUP BY x.doc_id),
+    w AS (SELECT k2 AS w FROM k JOIN x USING (doc_id) WHERE place = 1)
+    SELECT doc_id, round(k1, 4) AS kernel_1, round(k2, 4) AS kernel_2,
+           round(greatest(0, 1 - (k1 * k1 + k2 * k2 - 2 * w * k1 * k2) / (1 - w * w)), 4) AS residual FROM k, w"""
+
+
+@query("landmark_kernel", LANDMARK_SQL)
+def _landmark_kernel(spark, sf):
+    """Products of all documents' features with those of two landmarks, and what the features miss of a row."""
+    cells = F.array((F.col("n_chars") / 1000.0).cast("double"), (F.col("lang") == "en").cast("double"))
+    rows = table(spark, sf, "documents").select(ID, array_to_vector(cells).alias("features"))
+    mapper = landmarks.fit_landmarks(rows, ID, 2, KERNEL_WIDTH, count=2, rounds=1)
+    dense, whiten, gamma = landmarks.decoded(mapper.getOrDefault(mapper.machine))
+    own = landmarks.kernel_rows([None, None], list(dense.T), dense, gamma) @ whiten  # features of the landmarks
+    products = [
+        F.round(F.aggregate(F.zip_with("phi", F.array(*map(F.lit, map(float, z))), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), 4)
+        for z in own
+    ]
+    mapped = mapper.residuals(mapper.transform(rows)).withColumn("phi", vector_to_array("mapped"))
+    return mapped.select(ID, products[0].alias("kernel_1"), products[1].alias("kernel_2"), F.round("residual", 4).alias("residual"))
+
+
 # --- evaluation ----------------------------------------------------------------------
 
 

@@ -26,6 +26,7 @@ from quillspark.functions.labels import encode_label
 from quillspark.operators.splits import stratified_holdout
 from quillspark.plans.features import feature_names, fit_features
 from quillspark.plans.fourier import RandomFourierFeatures
+from quillspark.plans.landmarks import fit_landmarks
 from quillspark.plans.perceptron import fit_perceptron
 
 SEED = 42
@@ -108,27 +109,36 @@ def fit_svm(
     kernel: str = "rbf",
     num_features: int = 256,
     max_iter: int = 100,
+    feature_map: str = "landmarks",
 ):
     """Large-margin classifier with Platt probabilities.
 
-    The RBF kernel is approximated by random Fourier features.  Margins are
+    The RBF kernel is approximated by ``landmarks`` taken from the fitting rows, or by
+    random Fourier features (``cosines``).  Margins are
     calibrated on rows the machine was not fitted on, both classes in proportion.
     """
-    train = stratified_holdout(train, row_id, ["label"], HELD_OUT_SHARE)
+    if kernel not in ("rbf", "linear") or feature_map not in ("landmarks", "cosines"):
+        raise ValueError(f"unknown kernel or feature map: {kernel}, {feature_map}")
+    train = stratified_holdout(train, row_id, ["label"], HELD_OUT_SHARE).persist(StorageLevel.MEMORY_AND_DISK)
     held_out = F.col("split") == "test"
-    stages = []
+    stages, inputs = [], "features"
     if kernel == "rbf":
-        stages.append(
-            RandomFourierFeatures(
-                inputCol="features", outputCol="cosines", gamma=scale_gamma(train, size),
-                inputSize=size, numFeatures=num_features, seed=SEED,
+        inputs, gamma = "mapped", scale_gamma(train, size)
+        if feature_map == "landmarks":
+            stages.append(fit_landmarks(train.filter(~held_out), row_id, size, gamma, num_features, seed=SEED))
+        else:
+            stages.append(
+                RandomFourierFeatures(
+                    inputCol="features", outputCol=inputs, gamma=gamma, inputSize=size, numFeatures=num_features, seed=SEED
+                )
             )
-        )
     mapped = PipelineModel(stages).transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     fitting = mapped.filter(~held_out)
+    rows = fitting.count()
+    train.unpersist()
     machine = LinearSVC(
-        featuresCol="cosines" if kernel == "rbf" else "features",
-        regParam=1.0 / (c * max(fitting.count(), 1)), maxIter=max_iter, tol=MARGIN_TOLERANCE,
+        featuresCol=inputs,
+        regParam=1.0 / (c * max(rows, 1)), maxIter=max_iter, tol=MARGIN_TOLERANCE,
         standardization=False,
         rawPredictionCol="margins", predictionCol="side", **_weights(train),
     ).fit(fitting)
