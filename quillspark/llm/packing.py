@@ -85,17 +85,25 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def _step(donor: list[int], target: list[int], room: int, lengths: list[int]):
-    """The exchange that fills the target most: items that leave the donor, item that comes back (or None)."""
+    """The exchange that fills the target most: items that leave the donor, item that comes back (or None).
+
+    Items of one length are as good as each other, so lengths are searched, not items: a bin of ``c`` places
+    holds fewer than ``sqrt(2 c)`` different ones, whatever its number of items.
+    """
+    by_length: dict[int, list[int]] = {}
+    for x in donor:
+        by_length.setdefault(lengths[x], []).append(x)
+    singles = {a: (own[0],) for a, own in by_length.items()}
+    known = sorted(by_length)
+    pairs = {a + b: (by_length[a][0], by_length[b][-1]) for i, a in enumerate(known) for b in known[:i]}
+    pairs |= {2 * a: tuple(own[:2]) for a, own in by_length.items() if len(own) > 1}
     best, found = 0, None
-    singles = sorted((lengths[x], (x,)) for x in donor)
-    pairs = [(a + b, (*x, *y)) for i, (a, x) in enumerate(singles) for b, y in singles[:i]] if len(donor) <= 64 else []
-    offers = sorted(singles + pairs)
-    sizes = [s for s, _ in offers]
-    for y in (None, *target):
-        back = lengths[y] if y is not None else 0
+    for back, y in {0: None, **{lengths[y]: y for y in target}}.items():
+        offers = singles if y is None else pairs | singles
+        sizes = known if y is None else sorted(offers)
         k = bisect_right(sizes, room + back) - 1
-        if k >= 0 and sizes[k] - back > best and (y is not None or len(offers[k][1]) == 1):
-            best, found = sizes[k] - back, (offers[k][1], y)
+        if k >= 0 and sizes[k] - back > best:
+            best, found = sizes[k] - back, (offers[sizes[k]], y)
         if best == room:
             break
     return best, found

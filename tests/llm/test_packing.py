@@ -1,5 +1,6 @@
 """Packing: laws that hold for every result, and distance from the lower bound."""
 
+import itertools
 import zlib
 
 import numpy as np
@@ -46,6 +47,61 @@ def test_exchange_beats_best_fit():
     assert len(packing.best_fit(lengths, 15)) >= len(packing.pack(lengths, 15)) == 2
 
 
+def brute_gain(donor, target, room, lengths):
+    """The best gain over every move, one-for-one and two-for-one exchange, item by item."""
+    gains = [lengths[x] for x in donor]
+    for y in target:
+        gains += [lengths[x] - lengths[y] for x in donor]
+        gains += [lengths[x] + lengths[z] - lengths[y] for x, z in itertools.combinations(donor, 2)]
+    return max((g for g in gains if 0 < g <= room), default=0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=12), st.lists(st.integers(1, 30), max_size=8), st.integers(0, 40))
+def test_step_finds_the_best_exchange(donor, target, room):
+    lengths = donor + target
+    mine, theirs = list(range(len(donor))), list(range(len(donor), len(lengths)))
+    gain, change = packing._step(mine, theirs, room, lengths)
+    assert gain == brute_gain(mine, theirs, room, lengths)
+    if gain:
+        give, back = change
+        assert len(set(give)) == len(give) <= (2 if back is not None else 1) and set(give) <= set(mine)
+        assert sum(lengths[x] for x in give) - (lengths[back] if back is not None else 0) == gain
+
+
+def test_two_for_one_in_bins_of_many_items():
+    lengths = [3] * 120 + [5]  # a room of 1 takes no item of 3, but two of them for the one of 5
+    gain, (give, back) = packing._step(list(range(120)), [120], 1, lengths)
+    assert gain == 1 and len(give) == 2 and back == 120
+
+
+def optimum(lengths, capacity):
+    """The least number of bins, by trying every place of every item."""
+
+    def fits(items, rooms):
+        if not items:
+            return True
+        tried = set()
+        for i, r in enumerate(rooms):
+            if r >= items[0] and r not in tried:
+                tried.add(r)
+                if fits(items[1:], [*rooms[:i], r - items[0], *rooms[i + 1 :]]):
+                    return True
+        return False
+
+    bins = -(-sum(lengths) // capacity)
+    while not fits(sorted(lengths, reverse=True), [capacity] * bins):
+        bins += 1
+    return bins
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=10))
+def test_small_cases_are_near_the_optimum(lengths):
+    least = optimum(lengths, 20)
+    assert least <= len(packing.pack(lengths, 20)) <= least + 1
+
+
 def test_query(spark, sf_dir):
     rows = op9_packing(spark, sf_dir).collect()
     library = Tokenizer.from_file(WORD)
