@@ -8,20 +8,22 @@ like a document's end, parts the shard into runs, and runs shorter than the shor
 one.  The rest gets a suffix order (prefix doubling, only unresolved groups are sorted again), a Burrows-Wheeler
 transform in a wavelet matrix, and every eighth text position as a sample.  All windows are searched backwards at once
 by ranks; the rows found walk back to a sampled position; the words that occurrences cover merge into spans, and
-each covered word is compared with the vocabulary byte by byte.  No document leaves its task.
+each covered word is compared with the vocabulary byte by byte: one that only shares a hash counts as a word outside of the
+vocabulary, and its shard is searched again.  No document leaves its task.
 
-The benchmark is cut into chunks of at most ``chunk_bytes`` of text, broadcast one at a time; with several chunks
+The benchmark is cut into chunks of about ``chunk_bytes`` of text, collected and broadcast one at a time; with several chunks
 the documents are stored once with a row number and the chunks' spans are merged by it.
 
 Defined cases: null and empty texts have no words and are clean; items without words have no windows; the
-windows of items with a null id hit like others, but name no item; items that share an id count once; repeated documents are judged each; an empty benchmark hits nothing; extra columns
-stay if asked for.
+windows of items with a null id hit like others, but name no item; items that share an id count once; repeated
+documents are judged each; an empty benchmark hits nothing; extra columns that the caller names stay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -195,8 +197,11 @@ class FMIndex:
         return out
 
 
-def search_shard(data: np.ndarray, offsets: np.ndarray, windows: Windows):
-    """Per document: number of words, merged spans of hit words (numbers of first and last + 1), items."""
+def search_shard(data: np.ndarray, offsets: np.ndarray, windows: Windows, outside: tuple[int, ...] = ()):
+    """Per document: number of words, merged spans of hit words (numbers of first and last + 1), items.
+
+    ``outside``: numbers of words that are known to share no more than a hash with the vocabulary.
+    """
     docs = len(offsets) - 1
     low, starts, stops, hashes = words_of(data, offsets)
     edges = np.searchsorted(starts, offsets)
@@ -205,6 +210,7 @@ def search_shard(data: np.ndarray, offsets: np.ndarray, windows: Windows):
     if not windows.by_length:
         return n_words, *nothing
     ids = windows.numbers(hashes)
+    ids[list(outside)] = 0
     joined = np.zeros(len(ids) + 1, bool)  # a word in the vocabulary that goes on in the run before it
     joined[1:-1] = (ids[1:] > 0) & (ids[:-1] > 0)
     joined[edges[:-1]] = False
@@ -235,9 +241,10 @@ def search_shard(data: np.ndarray, offsets: np.ndarray, windows: Windows):
         pairs = np.unique(owner[word[at]] * len(patterns) + which)
         doc_items += [(d, items[p]) for d, p in zip((pairs // len(patterns)).tolist(), (pairs % len(patterns)).tolist())]
     hit = np.sort(word[np.flatnonzero(np.cumsum(cover)[:-1] > 0)])
-    for w in hit.tolist():  # 64-bit hashes stood for words so far
-        if low[starts[w] : stops[w]].tobytes() != windows.words[ids[w] - 1]:
-            raise ValueError("two words share a hash; use other byte codes")
+    # 64-bit hashes stood for words so far
+    unlike = tuple(w for w in hit.tolist() if low[starts[w] : stops[w]].tobytes() != windows.words[ids[w] - 1])
+    if unlike:
+        return search_shard(data, offsets, windows, outside + unlike)
     spans, names = nothing
     cut = np.flatnonzero(np.diff(hit) > 1) + 1 if len(hit) else []
     doc_of = owner[hit]
@@ -296,13 +303,14 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ..
     """
     made = ("n_words", "spans", "item_ids", "n_hit", "contaminated")
     columns = [c for c in columns if c not in made]
-    pieces = list(_chunks(benchmark, chunk_bytes))
-    if len(pieces) == 1:
-        found = _search(docs, pieces[0], columns)
+    pieces = _chunks(benchmark, chunk_bytes)
+    first, second = next(pieces), next(pieces, None)
+    if second is None:
+        found = _search(docs, first, columns)
     else:
         with Scratch(docs.sparkSession, "decontaminate") as scratch:
             stored = scratch.store(docs.withColumn("row_number_", F.monotonically_increasing_id()), "docs")
-            parts = [scratch.store(_search(stored, p, ["row_number_"]), f"part-{k}") for k, p in enumerate(pieces)]
+            parts = [scratch.store(_search(stored, p, ["row_number_"]), f"part-{k}") for k, p in enumerate(chain((first, second), pieces))]
             every = parts[0]
             for part in parts[1:]:
                 every = every.unionByName(part)

@@ -100,3 +100,19 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in dc.find_benchmark(docs, none).collect()] == [0]
     assert dc.find_benchmark(docs.limit(0), none).count() == 0
+
+
+def test_words_that_share_a_hash_do_not_hit(monkeypatch):
+    plain = dc.words_of
+
+    def crowded(data, offsets):
+        low, starts, stops, hashes = plain(data, offsets)
+        for i, (a, b) in enumerate(zip(starts, stops)):
+            if low[a:b].tobytes() in (b"other", b"third"):
+                hashes[i] = plain(np.frombuffer(b"same", np.uint8), np.array([0, 4]))[3][0]
+        return low, starts, stops, hashes
+
+    monkeypatch.setattr(dc, "words_of", crowded)
+    items = [("i", "same one two"), ("k", "two same")]
+    docs = ["other one two same one two", "third one two", "two other", "x two same y two third", None]
+    assert mine(docs, items) == brute(docs, items)
