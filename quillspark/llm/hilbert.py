@@ -62,10 +62,14 @@ def _prefix_number(column):
     return F.when(column.isNull(), F.lit(-1).cast("long")).otherwise(F.conv(head, 16, 10).cast("long"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``doc_id, size, text_crc32, cell, shard, slot`` of every row; slots count from 0 along the curve."""
+def shard_rows(docs: DataFrame, shards: int = SHARDS, row: str | None = None) -> DataFrame:
+    """``doc_id, size, text_crc32, cell, shard, slot`` of every row; slots count from 0 along the curve.
+
+    ``row`` names a column of stored row numbers, which then stands in the result.
+    """
     spark = docs.sparkSession
     data = F.encode(F.coalesce("text", F.lit("")), "utf-8")
+    passing = [] if row else ["row"]
     with Scratch(spark, "hilbert") as scratch:
         narrow = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
@@ -73,8 +77,9 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.crc32(data).alias("text_crc32"),
             _prefix_number(F.col("lang")).alias("d0"),
             _prefix_number(F.col("source")).alias("d1"),
+            *([F.col(row).alias("row")] if row else []),
         )
-        rows = scratch.store(narrow.withColumn("row", F.monotonically_increasing_id()), "rows")
+        rows = scratch.store(narrow if row else narrow.withColumn("row", F.monotonically_increasing_id()), "rows")
         inner = [i / (1 << BITS) for i in range(1, 1 << BITS)]
         dims = ("d0", "d1", "size")
         cuts = rows.agg(F.count("*").alias("n"), *(F.percentile_approx(d, inner, 10_000).alias(d) for d in dims)).first()
@@ -86,7 +91,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         keyed = rows.withColumn("cell", cell).select("doc_id", "size", "text_crc32", "row", "cell")
         keys = ("cell", "doc_id", "row")
         ordered = keyed.repartitionByRange(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys)
-        numbered = scratch.store(ordered.withColumn("at", F.monotonically_increasing_id()).drop("row"), "numbered")
+        numbered = scratch.store(ordered.withColumn("at", F.monotonically_increasing_id()).drop(*passing), "numbered")
         part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
         counts = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("c"))  # a row per range
         before = F.coalesce(F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -96,15 +101,19 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         placed = ranked.withColumn("shard", shard).withColumn(
             "slot", F.expr(f"rank - (shard * {n}L + {shards - 1}) div {shards}").cast("long")
         )
-        return scratch.keep(placed.select("doc_id", "size", "text_crc32", "cell", "shard", "slot"))
+        return scratch.keep(placed.select("doc_id", "size", "text_crc32", "cell", "shard", "slot", *([F.col("row").alias(row)] if row else [])))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, files_per_shard: int = 1) -> None:
     """Write whole rows into shard folders, in curve order, so that files can be skipped by any dimension.
 
-    ``doc_id`` must be unique and not null here.
+    Every row is written once, whatever its ``doc_id``: rows are stored with a number and find their places by it.
+    Columns named ``shard`` or ``slot`` give way to the places.
     """
-    plan = shard_rows(docs, shards).select(F.col("doc_id").alias("doc_id_"), "shard", "slot")
-    joined = docs.join(plan, docs["doc_id"] == plan["doc_id_"]).drop("doc_id_")
-    dealt = joined.repartitionByRange(shards * files_per_shard, "shard", "slot").sortWithinPartitions("shard", "slot")
-    dealt.write.partitionBy("shard").parquet(path)
+    with Scratch(docs.sparkSession, "shards") as scratch:
+        kept = docs.drop("shard", "slot", "row_number_")
+        rows = scratch.store(kept.withColumn("row_number_", F.monotonically_increasing_id()), "rows")
+        plan = shard_rows(rows, shards, "row_number_").select("row_number_", "shard", "slot")
+        joined = rows.join(plan, "row_number_").drop("row_number_")
+        dealt = joined.repartitionByRange(shards * files_per_shard, "shard", "slot").sortWithinPartitions("shard", "slot")
+        dealt.write.partitionBy("shard").parquet(path)

@@ -51,3 +51,14 @@ def test_written_shards_hold_whole_rows(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, back.select(*docs.columns).collect())) == sorted(map(tuple, docs.collect()))
     langs = back.select("shard", "lang").distinct().groupBy("shard").count().collect()
     assert sum(r["count"] for r in langs) < 8 * 4  # a filter on the language leaves out whole shards
+
+
+def test_written_shards_keep_rows_without_and_with_shared_ids(spark, tmp_path):
+    rows = [(i // 3 if i % 4 else None, f"text {i}", "en", "s", i, 7, "x") for i in range(40)] + [(5, None, None, None, 40, 7, "y")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, at int, shard int, size string")
+    hilbert.write_shards(docs, f"{tmp_path}/odd")
+    back = spark.read.parquet(f"{tmp_path}/odd")
+    names = [c for c in docs.columns if c != "shard"]
+    assert sorted(map(repr, back.select(*names).collect())) == sorted(map(repr, docs.select(*names).collect()))
+    counts = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(counts) == 8 and max(counts) - min(counts) <= 1
