@@ -64,6 +64,22 @@ def test_odd_rows_and_single_documents(spark, tmp_path):
     assert sorted(r.doc_id for r in one) == [9, 12]
 
 
+def test_the_smallest_id_is_no_null(spark, tmp_path):
+    least = -(2**63)
+    docs = spark.createDataFrame([(least, "the least id"), (None, "no id"), (0, "zero"), (least, "again")], "doc_id long, text string")
+    manifest = token_files.write_token_files(docs, f"file://{tmp_path}/n", BYTE, files=1)
+    got = token_files.document_offsets(manifest, token_files.read_token_files(manifest)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, least, least, 0]
+    assert token_files.read_token_files(manifest, doc_ids=[least]).count() == 2
+
+
+def test_files_follow_the_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_BYTES", 1000)
+    docs = spark.createDataFrame([(i, "word " * 20) for i in range(95)], "doc_id long, text string")
+    files = token_files.write_token_files(docs, f"file://{tmp_path}/b", BYTE).collect()
+    assert len(files) == 10 and sum(f.n_docs for f in files) == 95 and max(f.n_docs for f in files) <= 12
+
+
 def test_damage_is_noticed(spark, tmp_path):
     docs = spark.createDataFrame([(i, "some words " * 20) for i in range(4)], "doc_id long, text string")
     path = token_files.write_token_files(docs, f"file://{tmp_path}/d", BYTE, files=1).first()["path"]
