@@ -9,7 +9,7 @@ from quillspark.catalog.base import query, table
 from quillspark.catalog.text_queries import titled
 from quillspark.functions import generation, quality, tokens
 from quillspark.functions.text import sentences
-from quillspark.operators import corpus, profile, splits
+from quillspark.operators import corpus, permute, profile, splits
 from quillspark.plans import prepare
 from quillspark.session import stored
 
@@ -294,6 +294,31 @@ def _shuffle(spark, sf):
     return splits.shuffle_seeded(table(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
+def permuted_sql(seed: int = 42) -> str:
+    """Places by the same rounds; numbers whose place is too high go round again."""
+
+    def rounds(source: str) -> str:
+        inner = f"SELECT * REPLACE (v % a AS x, v // a AS y) FROM {source}"
+        for i, (p, q, r, s) in enumerate(permute.factors(seed)):
+            half, other, side = ("y", "x", "b") if i % 2 else ("x", "y", "a")
+            digest = f"(({other} * {p} + {q}) % {permute.FIRST_PRIME} * {r} + {s}) % {permute.SECOND_PRIME}"
+            inner = f"SELECT * REPLACE (({half} + {digest}) % {side} AS {half}) FROM ({inner})"
+        return f"SELECT doc_id, n, a, b, y * a + x AS v, x, y FROM ({inner})"
+
+    return f"""WITH RECURSIVE size AS (SELECT count(*) AS n, ceil(sqrt(count(*)::DOUBLE))::BIGINT AS root FROM documents),
+    sides AS (SELECT n, unnest(range(root, root + 1000 + 4 * floor(sqrt(root))::BIGINT)) AS a FROM size),
+    best AS (SELECT n, a, (n + a - 1) // a AS b FROM sides ORDER BY (n + a - 1) // a * a - n, a LIMIT 1),
+    start AS (SELECT doc_id, n, a, b, row_number() OVER (ORDER BY doc_id) - 1 AS v, 0::BIGINT AS x, 0::BIGINT AS y
+      FROM documents, best),
+    walk AS ({rounds('start')} UNION ALL {rounds('(SELECT * FROM walk WHERE v >= n)')})
+    SELECT doc_id, v AS place FROM walk WHERE v < n"""
+
+
+@query("shuffle_places", permuted_sql())
+def _places(spark, sf):
+    return permute.shuffle_places(table(spark, sf, "documents").select("doc_id"), ["doc_id"])
+
+
 @query(
     "assign_provider",
     f"""SELECT event_id, CASE WHEN rk <= round(n * 0.7::DOUBLE) THEN 'groq'
