@@ -7,6 +7,8 @@ the predictions, measures within their limits), and ``tests/test_models.py`` loo
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -48,10 +50,10 @@ PREPARED = f"{b.PREPARED}, {b.split_sql('prepared', 'doc_id', 'label', 0.2, 0.2)
 TEST = f"{PREPARED}, test AS (SELECT *, (label = 'ai')::BIGINT AS y FROM split_rows WHERE split = 'test')"
 
 
-def bayes_sql(train: str, test: str) -> str:
+def bayes_sql(train: str, test: str, terms: int = 10000) -> str:
     """``scored (test rows, y, p)``: p is the probability of ``ai``, as Spark smooths priors and terms."""
     return f"""train AS ({train}), test AS ({test}),
-{terms_sql('train', False)}, {FREQ}, {vocab_sql(10000, 'train')}, {tfidf_sql('train')},
+{terms_sql('train', False)}, {FREQ}, {vocab_sql(terms, 'train')}, {tfidf_sql('train')},
 per AS (SELECT term, sum(CASE WHEN label = 'human' THEN weight ELSE 0 END) AS wh,
                sum(CASE WHEN label = 'ai' THEN weight ELSE 0 END) AS wa FROM weights GROUP BY term),
 model AS (SELECT term, ln((wh + 1) / ((SELECT sum(wh) FROM per) + (SELECT count(*) FROM per))) AS lh,
@@ -342,6 +344,35 @@ def _stacking(spark, sf):
     return sound(evaluate.ensemble_stacking(val, test, list(b.SCORERS), ID).withColumn("model", F.lit("stacked")))
 
 
+# --- out-of-fold scores, from which stacked models learn -------------------------------------------------
+
+STACKED = (models.NAIVE_BAYES, replace(models.NAIVE_BAYES, name="Naive_Bayes_500", max_features=500))
+
+
+def _member_sql(train: str, test: str, fold: str) -> str:
+    """Scores of all members on the test rows of one fit."""
+    return " UNION ALL ".join(
+        f"""SELECT * FROM (WITH {bayes_sql(train, test, spec.max_features)}
+        SELECT '{spec.name}' AS model, doc_id, {fold} AS fold, y, p FROM scored)"""
+        for spec in STACKED
+    )
+
+
+OUT_OF_FOLD = f"{FOLDED}, inside AS (" + " UNION ALL ".join(
+    _member_sql(f"SELECT * FROM folded WHERE fold <> {k}", f"SELECT *, (label = 'ai')::BIGINT AS y FROM folded WHERE fold = {k}", f"{k}::BIGINT")
+    for k in range(5)
+) + ")"
+
+
+@query(
+    "out_of_fold_scores",
+    f"""WITH {OUT_OF_FOLD} SELECT model, doc_id, fold, y AS label, (p > 0.5)::BIGINT AS predicted,
+    round(p, 6) AS score FROM inside""",
+)
+def _out_of_fold(spark, sf):
+    return rounded(evaluate.out_of_fold(STACKED, parts(spark, sf)[0], ID))
+
+
 # --- end to end: the best of the fitted models, judged and used ---------------------------------------
 
 

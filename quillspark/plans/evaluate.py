@@ -44,17 +44,29 @@ def metrics_with_auc(scored: DataFrame, by: list[str], pos_label: int = 1) -> Da
     return m.binary_metrics(scored, by, pos_label).join(auc, by)
 
 
-def cross_validate(
-    spec: ModelSpec, train: DataFrame, row_id: str = "id", folds: int = 5, **options
+def out_of_fold(
+    specs: tuple[ModelSpec, ...], train: DataFrame, row_id: str = "id", folds: int = 5, **options
 ) -> DataFrame:
-    """``(model, fold, accuracy)``; vocabulary and weights are refitted for each fold."""
+    """``(model, row, fold, label, predicted, score)``: each row scored by models that have not seen its fold.
+
+    Vocabulary and weights are refitted for each fold.
+    """
     folded = stratified_kfold(train, row_id, ["label"], folds)
     parts = []
     for k in range(folds):
-        model = fit_model(spec, folded.filter(F.col("fold") != k), row_id, **options)
-        held = folded.filter(F.col("fold") == k)
-        parts.append(score(model, held, spec.name, row_id, keep=("fold",)))
-    return m.binary_metrics(union(parts), ["model", "fold"]).select("model", "fold", "accuracy")
+        known, held = folded.filter(F.col("fold") != k), folded.filter(F.col("fold") == k)
+        for spec in specs:
+            model = fit_model(spec, known, row_id, **options)
+            parts.append(score(model, held, spec.name, row_id, keep=("fold",)))
+    return union(parts)
+
+
+def cross_validate(
+    spec: ModelSpec, train: DataFrame, row_id: str = "id", folds: int = 5, **options
+) -> DataFrame:
+    """``(model, fold, accuracy)``; vocabulary and weights are refitted for each fold."""
+    scored = out_of_fold((spec,), train, row_id, folds, **options)
+    return m.binary_metrics(scored, ["model", "fold"]).select("model", "fold", "accuracy")
 
 
 def fit_eval_record(
@@ -250,8 +262,8 @@ def ablation(train: DataFrame, test: DataFrame, row_id: str = "id") -> DataFrame
     return m.binary_metrics(union(parts), ["left_out"])
 
 
-def ensemble_stacking(val: DataFrame, test: DataFrame, members: list[str], row_id: str) -> DataFrame:
-    """A logistic model over the members' probabilities, fitted on validation rows."""
+def ensemble_stacking(val: DataFrame, test: DataFrame, members: list[str], row_id: str, **meta) -> DataFrame:
+    """A logistic model (with the parameters ``meta``) over the members' probabilities, fitted on validation rows."""
 
     def wide(scored: DataFrame) -> DataFrame:
         return scored.groupBy(row_id, "label").pivot("model", members).agg(F.first("score"))
@@ -259,7 +271,7 @@ def ensemble_stacking(val: DataFrame, test: DataFrame, members: list[str], row_i
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=members, outputCol="features"),
-            LogisticRegression(maxIter=100),
+            LogisticRegression(**{"maxIter": 100} | meta),
         ]
     ).fit(wide(val).withColumn("label", F.col("label").cast("double")))
     return model.transform(wide(test)).select(
@@ -270,6 +282,20 @@ def ensemble_stacking(val: DataFrame, test: DataFrame, members: list[str], row_i
     )
 
 
+def stack_models(
+    specs: tuple[ModelSpec, ...], train: DataFrame, test: DataFrame, row_id: str = "id", folds: int = 5, **meta
+) -> DataFrame:
+    """Fitted models stacked: the upper model learns from out-of-fold scores, so from no score of a model that saw the row.
+
+    On test rows the members are models of all training rows.
+    """
+    names = [s.name for s in specs]
+    inside = stored(out_of_fold(specs, train, row_id, folds), "out_of_fold")
+    members = {s.name: fit_model(s, train, row_id) for s in specs}
+    outside = score_all_models(members, test, row_id)
+    return ensemble_stacking(inside, outside, names, row_id, **meta)
+
+
 def embedding_features(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Stored sentence vectors as an ML feature column."""
     return df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
