@@ -41,7 +41,7 @@ def parts(spark, sf):
 
 def fitted(spark, sf, specs=(models.NAIVE_BAYES, models.LOGISTIC)):
     train, test = parts(spark, sf)
-    return {s.name: models.fit_model(s, train, ID) for s in specs}, test
+    return models.fit_models(specs, train, ID), test
 
 
 # --- SQL: rows, and naive Bayes in closed form ---------------------------------------

@@ -43,9 +43,9 @@ def document_terms(
     return exploded.select(doc, *keep, F.col("t.term").alias("term"), F.col("t.n").cast("bigint").alias("n"))
 
 
-def term_doc_freq(terms: DataFrame) -> DataFrame:
+def term_doc_freq(terms: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Corpus count and document frequency; each (doc, term) is already one row."""
-    return terms.groupBy("term").agg(
+    return terms.groupBy(*by, "term").agg(
         F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("doc_freq")
     )
 

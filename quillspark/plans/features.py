@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 from quillspark import fixed_values as fv
 from quillspark.functions.tokens import TOKEN_PATTERN, term_counts
 from quillspark.operators.vocabulary import term_doc_freq, vocabulary
+from quillspark.session import stored
+
+KEPT = "_kept"
+TOKEN_STAGES = 2  # of a pipeline: from the text to its kept tokens
 
 
 def term_stages(text: str, bigrams: bool) -> list:
@@ -34,7 +38,7 @@ def term_stages(text: str, bigrams: bool) -> list:
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False),
         StopWordsRemover(
-            inputCol="_tokens", outputCol="_kept", stopWords=list(fv.ENGLISH_STOP_WORDS), locale="en_US"
+            inputCol="_tokens", outputCol=KEPT, stopWords=list(fv.ENGLISH_STOP_WORDS), locale="en_US"
         ),
     ]
     if not bigrams:
@@ -46,17 +50,35 @@ def term_stages(text: str, bigrams: bool) -> list:
     ]
 
 
-def fit_vocabulary(
-    with_terms: DataFrame, max_features: int, min_df: int = 1, max_df: float = 1.0
-) -> tuple[list[str], list[int], int]:
-    """Terms, their document frequencies (at most ``max_features``) and the corpus size."""
-    n_docs = with_terms.count()
-    long = with_terms.select(F.explode(term_counts(F.col("terms"))).alias("t")).select(
-        F.col("t.term").alias("term"), F.col("t.n").cast("bigint").alias("n")
+def tokenised(df: DataFrame, text: str = "clean_text") -> DataFrame:
+    """The table with its kept tokens in place of the text, written once: every fit and every score of it reads them."""
+    if KEPT in df.columns:
+        return df
+    kept = PipelineModel(term_stages(text, False)[:TOKEN_STAGES]).transform(df).drop("_tokens", text)
+    return stored(kept, "tokens").withColumn("_tokens", F.lit(None).cast("array<string>"))
+
+
+def transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """A fitted pipeline on texts, or on a table that holds their kept tokens already."""
+    return PipelineModel(model.stages[TOKEN_STAGES if KEPT in df.columns else 0 :]).transform(df)
+
+
+def term_frequencies(known: DataFrame, bigrams: bool, by: tuple = ()) -> DataFrame:
+    """``(*by, term, corpus_count, doc_freq)`` of a tokenised table."""
+    terms = PipelineModel(term_stages("", bigrams)[TOKEN_STAGES:]).transform(known)
+    long = terms.select(*by, F.explode(term_counts(F.col("terms"))).alias("t")).select(
+        *by, F.col("t.term").alias("term"), F.col("t.n").cast("bigint").alias("n")
     )
-    table = vocabulary(term_doc_freq(long), n_docs, max_features, min_df, max_df)
+    return term_doc_freq(long, by)
+
+
+def fit_vocabulary(
+    frequencies: DataFrame, n_docs: int, max_features: int, min_df: int = 1, max_df: float = 1.0
+) -> tuple[list[str], list[int]]:
+    """Terms and their document frequencies (at most ``max_features``)."""
+    table = vocabulary(frequencies, n_docs, max_features, min_df, max_df)
     rows = table.orderBy("term").toArrow().to_pydict()
-    return rows["term"], rows["doc_freq"], n_docs
+    return rows["term"], rows["doc_freq"]
 
 
 def tfidf_stages(terms: list[str], doc_freq: list[int], n_docs: int, output: str) -> list:
@@ -99,16 +121,23 @@ def fit_features(
     min_df: int = 1,
     max_df: float = 1.0,
     scale: bool = False,
+    frequencies: DataFrame | None = None,
 ) -> PipelineModel:
-    """Fit on the training rows alone; yields a sparse ``features`` column."""
-    head = PipelineModel(term_stages(text, bigrams))
-    terms, doc_freq, n_docs = fit_vocabulary(head.transform(train), max_features, min_df, max_df)
+    """Fit on the training rows alone; yields a sparse ``features`` column.
+
+    ``frequencies`` are those of the training rows, where several models share them.
+    """
+    train = tokenised(train, text)
+    if frequencies is None:
+        frequencies = term_frequencies(train, bigrams)
+    n_docs = train.count()
+    terms, doc_freq = fit_vocabulary(frequencies, n_docs, max_features, min_df, max_df)
     name = "_unit" if scale else "features"
-    stages = [*head.stages, *tfidf_stages(terms, doc_freq, n_docs, name)]
+    stages = [*term_stages(text, bigrams), *tfidf_stages(terms, doc_freq, n_docs, name)]
     if scale:
         # StandardScaler divides by the sample deviation: bring it to the population one
         fitted = StandardScaler(inputCol="_unit", outputCol="_scaled", withMean=False).fit(
-            PipelineModel(stages).transform(train)
+            transformed(PipelineModel(stages), train)
         )
         factor = math.sqrt(n_docs / (n_docs - 1)) if n_docs > 1 else 1.0
         stages += [

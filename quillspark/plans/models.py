@@ -6,6 +6,7 @@ and ``probability``; scoring a table is one ``transform``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -15,7 +16,6 @@ from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     NaiveBayes,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.labels import encode_label
 from quillspark.operators.splits import stratified_holdout
-from quillspark.plans.features import feature_names, fit_features
+from quillspark.plans.features import KEPT, feature_names, fit_features, term_frequencies, tokenised, transformed
+from quillspark.plans.forest import fit_forest
 from quillspark.plans.fourier import RandomFourierFeatures
 from quillspark.plans.landmarks import fit_landmarks
 from quillspark.plans.perceptron import fit_perceptron
+from quillspark.session import stored
 
 SEED = 42
 LOGISTIC_TOLERANCE = 1e-4
@@ -79,8 +81,8 @@ def fit_naive_bayes(train: DataFrame, size: int, row_id: str, alpha: float = 1.0
 def fit_random_forest(
     train: DataFrame, size: int, row_id: str, trees: int = 100, depth: int = 30
 ):
-    """Thirty levels are the most that Spark allows."""
-    return [RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, **_weights(train)).fit(train)]
+    """Thirty levels, as Spark's own forest allows."""
+    return [fit_forest(train, size, row_id, trees, depth, SEED, _weights(train).get("weightCol"))]
 
 
 def fit_mlp(train: DataFrame, size: int, row_id: str, hidden: tuple = (100, 50), max_iter: int = 300, **options):
@@ -180,31 +182,59 @@ def binary_label(label: Column) -> Column:
 
 
 def fit_model(
-    spec: ModelSpec, train: DataFrame, row_id: str = "id", text: str = "clean_text", balanced: bool = False, **options
+    spec: ModelSpec, train: DataFrame, row_id: str = "id", text: str = "clean_text", balanced: bool = False,
+    frequencies: DataFrame | None = None, **options
 ) -> PipelineModel:
     """Features first, cached once, then the classifier on top.
 
     ``balanced`` weighs rows so that a small class counts as much as a large one (not for the MLP, which takes
-    no weights).
+    no weights).  Texts are cut into tokens once; a tokenised ``train`` brings its own.
     """
-    features = fit_features(
-        train, text, spec.max_features, spec.bigrams, spec.min_df, spec.max_df, spec.scale
-    )
-    vectors = packed(
-        features.transform(train.select(row_id, text, binary_label(F.col("label")).alias("label")))
-        .select(row_id, "label", "features")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    size = len(feature_names(features))
-    fitted = spec.fit(with_balanced_weights(vectors) if balanced else vectors, size, row_id, **options)
-    vectors.unpersist()
-    return PipelineModel([*features.stages, *fitted])
+    counts = {} if frequencies is None else {spec.bigrams: frequencies}
+    return fit_models((spec,), train, row_id, text, balanced, counts, **options)[spec.name]
+
+
+def fit_models(
+    specs: tuple[ModelSpec, ...], train: DataFrame, row_id: str = "id", text: str = "clean_text", balanced: bool = False,
+    frequencies: dict[bool, DataFrame] | None = None, seconds: dict[str, float] | None = None, **options,
+) -> dict[str, PipelineModel]:
+    """Several models of the same rows, which share what they can: tokens, term counts, and vectors of like features.
+
+    ``frequencies`` are those of the training rows, without and with word pairs; ``seconds`` takes each model's time
+    (that of its features included).
+    """
+    known = train if KEPT in train.columns else tokenised(train.select(row_id, text, "label"), text)
+    alike: dict[tuple, list[ModelSpec]] = {}
+    for spec in specs:
+        alike.setdefault((spec.max_features, spec.bigrams, spec.min_df, spec.max_df, spec.scale), []).append(spec)
+    counts = dict(frequencies or {})
+    for kind in {key[1] for key in alike} - counts.keys():
+        found = term_frequencies(known, kind)
+        counts[kind] = stored(found, "frequencies") if sum(key[1] == kind for key in alike) > 1 else found
+    models = {}
+    for key, members in alike.items():
+        started = time.perf_counter()
+        features = fit_features(known, text, *key, frequencies=counts[key[1]])
+        vectors = packed(
+            transformed(features, known.withColumn("label", binary_label(F.col("label"))))
+            .select(row_id, "label", "features")
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        size, rows = len(feature_names(features)), with_balanced_weights(vectors) if balanced else vectors
+        shared = time.perf_counter() - started
+        for spec in members:
+            started = time.perf_counter()
+            models[spec.name] = PipelineModel([*features.stages, *spec.fit(rows, size, row_id, **options)])
+            if seconds is not None:
+                seconds[spec.name] = shared + time.perf_counter() - started
+        vectors.unpersist()
+    return {spec.name: models[spec.name] for spec in specs}
 
 
 def score(
     model: PipelineModel, df: DataFrame, name: str, row_id: str = "id", keep: tuple = ()
 ) -> DataFrame:
     """``(model, row, label, predicted, score)``; a row without a label keeps a null."""
-    out = model.transform(df.withColumn("_truth", encode_label(F.col("label"))).drop("label"))
+    out = transformed(model, df.withColumn("_truth", encode_label(F.col("label"))).drop("label"))
     return out.select(
         F.lit(name).alias("model"),
         row_id,
@@ -217,6 +247,7 @@ def score(
 
 def score_all_models(models: dict[str, PipelineModel], df: DataFrame, row_id: str = "id"):
     """Every model on the same rows, as one long table."""
+    df = tokenised(df.select(row_id, "label", "clean_text")) if len(models) > 1 and KEPT not in df.columns else df
     parts = [score(m, df, name, row_id) for name, m in models.items()]
     out = parts[0]
     for part in parts[1:]:
