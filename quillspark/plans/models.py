@@ -215,9 +215,13 @@ def fit_models(
     for key, members in alike.items():
         started = time.perf_counter()
         features = fit_features(known, text, *key, frequencies=counts[key[1]])
-        vectors = packed(
+        # stored tokens come back in any order of files: rows are dealt by id, so that sums repeat
+        tasks = min(known.count() // ROWS_PER_TASK + 1, 4 * known.sparkSession.sparkContext.defaultParallelism)
+        vectors = (
             transformed(features, known.withColumn("label", binary_label(F.col("label"))))
             .select(row_id, "label", "features")
+            .repartition(tasks, row_id)
+            .sortWithinPartitions(row_id)
         ).persist(StorageLevel.MEMORY_AND_DISK)
         size, rows = len(feature_names(features)), with_balanced_weights(vectors) if balanced else vectors
         shared = time.perf_counter() - started
