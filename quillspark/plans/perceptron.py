@@ -27,7 +27,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 256  # rows multiplied at once
+SHARD_ROWS = 256  # rows multiplied at once; a fit of many rows has larger shards, so that there are some ``MOST_SHARDS``
+LARGEST_SHARD = 2048
+MOST_SHARDS = 1024
+SHARDS_PER_TASK = 16
 BATCH_ROWS = 200
 MOST_STEPS = 4  # of an epoch: batches grow with the data, the number of jobs does not
 PIECE = 1 << 14
@@ -65,9 +68,11 @@ def initial_weights(layers: list[int], seed: int) -> np.ndarray:
 
 def dense_part(lengths: np.ndarray, indices: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The features that occur in some row, and the rows over these features alone."""
-    present, place = np.unique(indices, return_inverse=True)
+    present = np.flatnonzero(np.bincount(indices))
+    place = np.zeros(int(present[-1]) + 1 if len(present) else 0, np.int64)
+    place[present] = np.arange(len(present))
     rows = np.zeros((len(lengths), len(present)))
-    rows[np.repeat(np.arange(len(lengths)), lengths), place] = values
+    rows[np.repeat(np.arange(len(lengths)), lengths), place[indices]] = values
     return present, rows
 
 
@@ -118,8 +123,11 @@ class Adam:
 
 
 def packed_shards(rows: DataFrame, row_id: str, held_out, n_rows: int, size: int) -> DataFrame:
-    """``rows (row_id, label, features)`` packed by the digest of their ids, held-out rows apart."""
-    shards = n_rows // SHARD_ROWS + 1
+    """``rows (row_id, label, features)`` packed by the digest of their ids, held-out rows apart.
+
+    A step sums one gradient a task, so there are no more tasks than cores: what a step moves does not grow with the rows.
+    """
+    shards = n_rows // min(max(SHARD_ROWS, n_rows // MOST_SHARDS), LARGEST_SHARD) + 1
     raw = F.unwrap_udt(F.col("features"))
     dealt = rows.select(
         F.pmod(F.xxhash64(F.col(row_id).cast("string")), F.lit(shards)).cast("int").alias("shard"),
@@ -133,14 +141,15 @@ def packed_shards(rows: DataFrame, row_id: str, held_out, n_rows: int, size: int
     def pack(key, table: pa.Table) -> pa.Table:
         table = table.sort_by("row").combine_chunks()
         lists = [table.column(c).combine_chunks() for c in ("indices", "vals")]
-        flat = [(a.chunk(0) if isinstance(a, pa.ChunkedArray) else a).flatten().to_numpy(zero_copy_only=False) for a in lists]
-        lengths = np.array([len(v) for v in table.column("vals").to_pylist()], np.int32)
+        lists = [a.chunk(0) if isinstance(a, pa.ChunkedArray) else a for a in lists]
+        flat = [a.flatten().to_numpy(zero_copy_only=False) for a in lists]
+        lengths = lists[1].value_lengths().to_numpy().astype(np.int32)
         made = [table.column("label").to_numpy(), lengths, flat[0].astype(np.int32), flat[1].astype(np.float64)]
         head = [pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()]), pa.array([table.num_rows], pa.int32())]
         return pa.table([*head, *(pa.array([a.tobytes()], pa.binary()) for a in made)], names=["shard", "held_out", "n", "labels", "lengths", "indices", "vals"])
 
     packed = dealt.groupBy("shard", "held_out").applyInArrow(lambda key, table: pack(key, table), _SHARD)
-    return packed.coalesce(shards)  # no empty task in any step
+    return packed.coalesce(min(-(-shards // SHARDS_PER_TASK), rows.sparkSession.sparkContext.defaultParallelism))
 
 
 def _arrays(batch: pa.RecordBatch):
@@ -174,9 +183,9 @@ def step_sums(shards: DataFrame, weights: np.ndarray, layers: list[int], n: int)
     parts = shards.mapInArrow(work, "piece int, cells array<double>")
     met = parts.groupBy("piece").agg(F.collect_list("cells").alias("all"))  # a short piece of each task
     added = F.reduce(F.slice("all", 2, F.size("all")), F.col("all")[0], lambda x, y: F.zip_with(x, y, lambda a, b: a + b))
-    sums = met.select("piece", added.alias("cells")).collect()  # as long as the weights
+    sums = met.select("piece", added.alias("cells")).toArrow()  # as long as the weights
     shared.destroy()
-    found = {r["piece"]: np.array(r["cells"]) for r in sums}
+    found = {k: cells.values.to_numpy() for k, cells in zip(sums["piece"].to_pylist(), sums["cells"])}
     whole = np.concatenate([found[k] for k in sorted(found) if k >= 0] or [np.zeros(len(weights) + 1)])
     return whole[:-1], float(whole[-1]), int(found.get(-1, [0])[0])
 

@@ -74,3 +74,13 @@ def test_no_held_out_rows_and_one_class(spark):
 def test_adam_takes_steps_of_its_rate():
     adam = nn.Adam(3, 0.1)
     assert np.allclose(adam.step(np.zeros(3), np.array([5.0, -0.001, 0.0])), [-0.1, 0.1, 0.0], atol=1e-5)
+
+
+def test_tasks_of_a_step_do_not_grow_with_the_shards(spark, monkeypatch):
+    assert nn.packed_shards(circle(spark, 900), "id", F.lit(False), 900, 2).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(nn, "SHARD_ROWS", 4)
+    shards = nn.packed_shards(circle(spark, 900).repartition(40), "id", F.lit(False), 900, 2)
+    assert shards.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert shards.agg(F.sum("n")).first()[0] == 900
+    monkeypatch.setattr(nn, "MOST_SHARDS", 5)  # then shards grow with the rows
+    assert nn.packed_shards(circle(spark, 900), "id", F.lit(False), 900, 2).select("shard").distinct().count() == 6
