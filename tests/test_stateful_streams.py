@@ -66,3 +66,15 @@ def test_recent_ids(spark, tmp_path):
     assert run((1, 0), (1, 0), (2, 0.5)) == [(1, 0), (2, 0.5)]
     assert run((1, 0.9), (3, 5)) == [(1, 0), (2, 0.5), (3, 5)]
     assert run((1, 6)) == [(1, 0), (1, 6), (2, 0.5), (3, 5)]  # the first one has left the state
+
+
+def test_a_state_list_holds_the_windows_of_a_day(spark, tmp_path):
+    """One key a provider and day, so calls do not grow with windows; more than a hundred in one call, over two appends."""
+    target, state, folder = (str(tmp_path / n) for n in ("target", "state", "in"))
+    for _ in range(2):
+        rows = [(DAY + timedelta(minutes=m), p) for m in range(300) for p in ("p", None)]
+        stream = feed(spark, folder, rows, "ts timestamp, provider string")
+        report, late = stateful.stream_rate_window(stream, target, state, "ts", "provider", {"p": 1}, "2 days")
+    assert {r.requests for r in report.collect()} == {2} and report.count() == 600 and late.count() == 0
+    kept = spark.read.format("statestore").option("stateVarName", "count").load(state)
+    assert kept.count() == 600 and kept.select("key").distinct().count() == 2
