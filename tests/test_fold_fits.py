@@ -37,3 +37,15 @@ def test_folds_meet(spark, monkeypatch):
     train = spark.createDataFrame(texts, "id long, label string, clean_text string")
     rows = evaluate.out_of_fold((models.NAIVE_BAYES,), train).collect()
     assert sorted(r.id for r in rows) == list(range(40)) and all(r.label == r.predicted for r in rows)
+
+
+def test_a_grid_judges_held_out_rows_in_one_pass(spark, monkeypatch):
+    seen, found = [], evaluate.transformed
+    monkeypatch.setattr(evaluate, "transformed", lambda *a: seen.append(1) or found(*a))
+    texts = [(i, "ai" if i % 2 else "human", ("robot metal " if i % 3 else "river forest ") * 3 + f"word{i % 7}") for i in range(40)]
+    train = spark.createDataFrame(texts, "id long, label string, clean_text string")
+    grid = {name: evaluate.LOGISTIC_GRID[name] for name in ("C=0.01", "C=1.0", "C=10.0")}
+    together = {r.candidate: r.mean_f1 for r in evaluate.grid_search(train, grid=grid, folds=2).collect()}
+    assert len(seen) == 4  # vectors of the fitted and of the held-out rows, a fold
+    alone = [evaluate.grid_search(train, grid={name: grid[name]}, folds=2).collect()[0] for name in grid]
+    assert together == {r.candidate: r.mean_f1 for r in alone}
