@@ -8,6 +8,7 @@ with it count it before they broadcast it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,7 +19,6 @@ from quillspark.functions.text import let
 from quillspark.functions.tokens import (
     bigrams,
     char_ngrams,
-    ngrams,
     remove_stopwords,
     term_counts,
     tokenize,
@@ -27,6 +27,7 @@ from quillspark.functions.tokens import (
 from quillspark.session import broadcast_if_small, stored
 
 MOST_WORDS = 50_000  # that a list in a plan holds
+FIRST_WORDS = 3_000
 
 
 def document_terms(
@@ -126,13 +127,7 @@ def candidate_frequencies(
     frequent = words.filter(often).select("term").limit(most + 1).toArrow()["term"].to_pylist()
     if min(lowest.values()) <= 1 or len(frequent) > most:
         return words.unionByName(_counted(tokens, bigrams(F.col(kept)), folds))
-    # a word is letters, digits and underscores: it needs no escape
-    listed = ", ".join(f"'{w}'" for w in frequent)
-    masked = F.expr(f"transform(`{kept}`, w -> IF(w IN ({listed}), w, NULL))")
-    pairs = let(masked, lambda m: F.array_compact(F.zip_with(
-        F.slice(m, F.lit(1), F.greatest(F.size(m) - 1, F.lit(0))), F.slice(m, F.lit(2), F.greatest(F.size(m) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )))
+    pairs = let(only_words(kept, frequent), lambda words_: whole_ngrams(words_, 2))
     return words.unionByName(_counted(tokens, pairs, folds).filter(often))
 
 
@@ -193,19 +188,80 @@ def scale_sparse(weights: DataFrame, scale: DataFrame) -> DataFrame:
     return joined.withColumn("scaled", F.col("weight") / F.col("scale")).drop("scale")
 
 
-def ngram_frequencies(docs: DataFrame, text: str, top: int, sizes: Sequence[int] = (1, 2, 3)):
-    """The most frequent word n-grams of each size over the whole corpus."""
-    tokens = tokenize(F.col(text))
-    grams = F.array(
-        *[F.struct(F.lit(n).alias("size"), ngrams(tokens, n).alias("grams")) for n in sizes]
-    )
-    counted = (
-        docs.select(F.inline(grams))
-        .select("size", F.explode("grams").alias("gram"))
-        .groupBy("size", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return top_per_group(counted, "size", top)
+def word_uses(tokens: DataFrame, column: str) -> DataFrame:
+    """``(term, n)``: every word of an array column with its number of uses, written once."""
+    long = tokens.select(F.explode(column).alias("term"))
+    return stored(long.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "words")
+
+
+def words_used(words: DataFrame, least: int, most: int = MOST_WORDS) -> list[str] | None:
+    """The words with at least ``least`` uses; None if they are more than ``most``."""
+    found = words.filter(F.col("n") >= least).select("term").limit(most + 1).toArrow()["term"].to_pylist()
+    return found if len(found) <= most else None
+
+
+def uses_of_place(words: DataFrame, place: int) -> int:
+    """The uses of the word at a place by falling uses; 1 if there are fewer words."""
+    table = words.orderBy(F.desc("n")).limit(place).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).first()
+    return table["n"] if table["words"] == place else 1
+
+
+def only_words(column: str, listed: Sequence[str]) -> Column:
+    """An array of words with nulls for those that are not listed."""
+    # a word is letters, digits and underscores: it needs no escape
+    quoted = ", ".join(f"'{w}'" for w in listed)
+    return F.expr(f"transform(`{column}`, w -> IF(w IN ({quoted}), w, NULL))" if listed else f"transform(`{column}`, w -> CAST(NULL AS STRING))")
+
+
+def whole_ngrams(tokens: Column, n: int) -> Column:
+    """Runs of ``n`` consecutive words without a null among them."""
+    grams = tokens
+    for k in range(2, n + 1):
+        kept = F.greatest(F.size(tokens) - (k - 1), F.lit(0))
+        grams = F.zip_with(
+            F.slice(grams, F.lit(1), kept), F.slice(tokens, F.lit(k), kept), lambda a, b: F.concat(a, F.lit(" "), b)
+        )
+    return F.array_compact(grams)
+
+
+def ngram_frequencies(docs: DataFrame, text: str, top: int, sizes: Sequence[int] = (1, 2, 3), first: int = FIRST_WORDS):
+    """The most frequent word n-grams of each size over the whole corpus.
+
+    An n-gram occurs no more often than any of its words.  N-grams of the ``first`` words are counted; where the last
+    leader of a size occurs less often than a word left out may, its count is the bound for a second count.  With words
+    too many to list, n-grams of all words are counted.
+    """
+    tokens = stored(docs.select(tokenize(F.col(text)).alias("tokens")), "tokens")
+    words = word_uses(tokens, "tokens")
+    longer = [n for n in sizes if n > 1]
+
+    def leaders(listed: list[str] | None) -> DataFrame:
+        shown = F.col("tokens") if listed is None else only_words("tokens", listed)
+        grams = let(shown, lambda t: F.array(
+            *[F.struct(F.lit(n).alias("size"), whole_ngrams(t, n).alias("grams")) for n in longer]
+        ))
+        counted = (
+            tokens.select(F.inline(grams))
+            .select("size", F.explode("grams").alias("gram"))
+            .groupBy("size", "gram")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        return stored(top_per_group(counted, "size", top), "leaders")
+
+    parts = []
+    if 1 in sizes:
+        parts.append(top_per_group(words.select(F.lit(1).alias("size"), F.col("term").alias("gram"), "n"), "size", top))
+    if longer:
+        least = uses_of_place(words, first)
+        listed = words_used(words, least)
+        found = leaders(listed)
+        if listed is not None and least > 1:
+            last = {r["size"]: r["n"] for r in found.filter(F.col("place") == top).collect()}  # a row a size
+            bound = min(last.get(n, 1) for n in longer)
+            if bound < least:
+                found = leaders(words_used(words, bound) if bound > 1 else None)
+        parts.append(found)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def char_ngram_counts(docs: DataFrame, text: str, size: int) -> DataFrame:

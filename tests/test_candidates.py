@@ -50,3 +50,32 @@ def test_rare_pairs_are_not_counted(tokens):
     pairs = plain(tokens).filter(F.col("term").contains(" ")).count()
     kept = vocabulary.candidate_frequencies(tokens, "kept", ASKED).filter(F.col("term").contains(" ")).count()
     assert 0 < kept < pairs / 5
+
+
+@pytest.fixture(scope="module")
+def texts(tokens):
+    return tokens.select("id", F.concat_ws(" ", "kept").alias("t"))
+
+
+@pytest.mark.parametrize("top, first", [(5, 4), (20, 12), (20, 300), (100, 3), (10**5, 50)])
+def test_leading_ngrams_are_whole(tokens, texts, top, first):
+    found = vocabulary.ngram_frequencies(texts, "t", top, first=first).collect()
+    grams = {1: {}, 2: {}, 3: {}}
+    for row in tokens.collect():
+        for n in grams:
+            for i in range(len(row.kept) - n + 1):
+                gram = " ".join(row.kept[i : i + n])
+                grams[n][gram] = grams[n].get(gram, 0) + 1
+    for n, counts in grams.items():
+        plain = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:top]
+        mine = sorted((r.place, r.gram, r.n) for r in found if r.size == n)
+        assert mine == [(i + 1, gram, c) for i, (gram, c) in enumerate(plain)]
+
+
+def test_ngrams_of_rare_words_are_not_made(texts, monkeypatch):
+    seen, made = [], vocabulary.whole_ngrams
+    monkeypatch.setattr(vocabulary, "whole_ngrams", lambda t, n: seen.append(n) or made(t, n))
+    listed, used = [], vocabulary.words_used
+    monkeypatch.setattr(vocabulary, "words_used", lambda *a: listed.append(used(*a)) or listed[-1])
+    vocabulary.ngram_frequencies(texts, "t", 3, first=12).collect()
+    assert seen == [2, 3] and len(listed) == 1 and 12 <= len(listed[0]) < 30
