@@ -159,7 +159,7 @@ def _char_ngrams(spark, sf):
     FROM p JOIN cost ON p.w = cost.w AND p.z = cost.z GROUP BY doc_id""",
 )
 def _bigram_lm(spark, sf):
-    return bayes.bigram_lm_score(documents(spark, sf), "doc_id", "clean_text")
+    return bayes.bigram_lm_score(b.clean_documents(spark, sf), "doc_id", "clean_text")
 
 
 MI_CELL = "CASE WHEN {c} > 0 THEN {c}::DOUBLE / n * ln({c}::DOUBLE * n / ({r}::DOUBLE * {k})) ELSE 0 END"

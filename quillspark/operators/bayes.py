@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import let
 from quillspark.functions.tokens import bigrams, term_counts, tokenize
-from quillspark.operators.joins import hot_key_join
 from quillspark.session import broadcast_if_small, stored
 
 CLASSES = ("human", "ai")
@@ -80,30 +79,28 @@ def score_naive_bayes(
 def bigram_lm_score(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """Mean negative log probability of each text's word pairs, add-one smoothed.
 
-    The model is the corpus itself: one table of word and pair counts.  Pairs that occur nearly everywhere are joined by broadcast, the long
-    tail by shuffle.
+    The model is the corpus itself.  A text's cost is a sum over its pairs' first words less a sum over its pairs, and a term's
+    share of it needs the term's own uses only: rows of a term meet in one exchange, where their sum is its uses.  There is a row
+    for each text and term, so no term has more rows than there are texts.
     """
-    tokens = tokenize(F.col(text))
-    # counting words costs far more than writing the counts: do it once
-    counted = stored(
-        docs.select(doc, F.inline(let(tokens, lambda t: term_counts(F.concat(t, bigrams(t)))))), "counts"
-    )
-    model = stored(
-        counted.groupBy("term").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("n")), "bigrams"
-    )
+    # cutting texts into words costs far more than writing the words: do it once
+    tokens = stored(docs.select(doc, tokenize(F.col(text)).alias("tokens")), "tokens")
+    size = tokens.select(F.explode("tokens")).distinct().count()
+    terms = let(F.col("tokens"), lambda t: term_counts(F.concat(t, bigrams(t))))
+    counted = tokens.select(doc, F.element_at("tokens", -1).alias("last"), F.inline(terms))
     is_pair = F.col("term").contains(" ")
-    singles = model.filter(~is_pair).select(F.col("term").alias("word"), F.col("uses").alias("word_uses"))
-    size = singles.agg(F.count(F.lit(1)).alias("n"))
-    model = model.filter(is_pair).withColumn("word", F.split_part("term", F.lit(" "), F.lit(1)))
-    costs = hot_key_join(model, singles, ["word"]).select(
-        "term", (-F.log((F.col("uses") + 1) / (F.col("word_uses") + size.scalar()))).alias("cost")
+    # the last word of a text begins no pair, but is a use
+    begins = F.col("n") - (F.col("term") == F.col("last")).cast("int")
+    rows = counted.select(
+        F.xxhash64("term").alias("hash"), "term", doc, "n", F.when(is_pair, -F.col("n")).otherwise(begins).alias("times")
     )
-    pairs = counted.filter(is_pair).select(doc, "term", F.col("n").cast("bigint").alias("n"))
+    # the hash comes first because it sorts faster than words
+    used = rows.withColumn("uses", F.sum("n").over(W.partitionBy("hash", "term")))
+    cost = F.col("times") * F.log(F.col("uses") + F.when(is_pair, 1).otherwise(size))
+    pairs = F.when(is_pair, F.col("n")).otherwise(0).cast("bigint")
     return (
-        hot_key_join(pairs, costs, ["term"], counts=model)
-        .groupBy(doc)
-        .agg(
-            F.sum("n").alias("pairs"),
-            F.round(F.sum(F.col("n") * F.col("cost")) / F.sum("n"), 6).alias("cross_entropy"),
-        )
+        used.groupBy(doc)
+        .agg(F.sum(pairs).alias("pairs"), F.sum(cost).alias("cost"))
+        .filter(F.col("pairs") > 0)
+        .select(doc, "pairs", F.round(F.col("cost") / F.col("pairs"), 6).alias("cross_entropy"))
     )
