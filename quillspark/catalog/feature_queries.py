@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from quillspark import fixed_values as fv
 from quillspark.catalog import base as b
 from quillspark.catalog.base import query
+from quillspark.functions.text import let
+from quillspark.functions.tokens import bigrams, term_counts
 from quillspark.operators import bayes, vocabulary
 from quillspark.operators.splits import stratified_holdout
-from quillspark.plans.features import tfidf_table
+from quillspark.plans.features import KEPT as KEPT_WORDS
+from quillspark.plans.features import tfidf_table, tokenised
 from quillspark.session import stored
 
 KEPT = f"list_filter({b.tokens('clean_text')}, lambda t: t NOT IN ({b.quoted(fv.ENGLISH_STOP_WORDS)}))"
@@ -65,18 +68,18 @@ def _freq(spark, sf):
     f"WITH {DOCS}, {terms_sql('docs')}, {FREQ}, {vocab_sql(3000, 'docs', 2, 0.95)} SELECT * FROM vocab",
 )
 def _vocabulary(spark, sf):
-    docs = documents(spark, sf)
-    return fitted_vocabulary(doc_terms(docs), docs.agg(F.count(F.lit(1)).alias("n")).scalar())
+    return fitted_vocabulary(*tokenised_documents(spark, sf))
 
 
-def counted_terms(docs, keep=(), bigrams=True):
-    """Terms per document, written once because two steps read them, and the corpus size."""
-    terms = stored(doc_terms(docs, keep, bigrams), "counts")
-    return terms, docs.agg(F.count(F.lit(1)).alias("n")).scalar()
+def tokenised_documents(spark, sf):
+    """The documents' kept words, written once because several steps read them, and the corpus size."""
+    tokens = tokenised(b.clean_documents(spark, sf).select("doc_id", "clean_text"))
+    return tokens, tokens.count()
 
 
-def fitted_vocabulary(terms, n_docs):
-    return vocabulary.vocabulary(vocabulary.term_doc_freq(terms), n_docs, 3000, 2, 0.95)
+def fitted_vocabulary(tokens, n_docs):
+    limits = (3000, 2, 0.95)
+    return vocabulary.vocabulary(vocabulary.candidate_frequencies(tokens, KEPT_WORDS, [limits]), n_docs, *limits)
 
 
 @query(
@@ -85,14 +88,15 @@ def fitted_vocabulary(terms, n_docs):
     SELECT doc_id, t.term, n FROM terms t JOIN vocab v ON t.term = v.term""",
 )
 def _lookup(spark, sf):
-    terms, n_docs = counted_terms(documents(spark, sf))
-    return vocabulary.vocab_lookup(terms, fitted_vocabulary(terms, n_docs)).select("doc_id", "term", "n")
+    tokens, n_docs = tokenised_documents(spark, sf)
+    both = let(F.col(KEPT_WORDS), lambda t: term_counts(F.concat(t, bigrams(t))))
+    terms = tokens.select("doc_id", F.inline(both)).withColumn("n", F.col("n").cast("bigint"))
+    return vocabulary.vocab_lookup(terms, fitted_vocabulary(tokens, n_docs)).select("doc_id", "term", "n")
 
 
 def weights(spark, sf):
-    docs = documents(spark, sf)
-    n_docs = docs.count()
-    return tfidf_table(docs, "doc_id", "clean_text", fitted_vocabulary(doc_terms(docs), n_docs), n_docs), n_docs
+    tokens, n_docs = tokenised_documents(spark, sf)
+    return tfidf_table(tokens, "doc_id", "", fitted_vocabulary(tokens, n_docs), n_docs), n_docs
 
 
 @query(

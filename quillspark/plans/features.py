@@ -100,14 +100,15 @@ def tfidf_table(
     """``(doc, *keep, term, weight)`` with unit-length rows, without a shuffle.
 
     A document's terms are counted, weighted and normalised in its own row, against a vocabulary that
-    ``max_features`` bounds; only then does the row become one per term.
+    ``max_features`` bounds; only then does the row become one per term.  ``docs`` may be a tokenised table.
     """
     rows = vocab.select("term", "doc_freq").orderBy("term").toArrow().to_pydict()
     empty = docs.select(doc, *keep, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
     if not rows["term"]:
         return empty
     stages = [*term_stages(text, bigrams), *tfidf_stages(rows["term"], rows["doc_freq"], n_docs, "_vector")]
-    vectors = PipelineModel(stages).transform(docs.select(doc, *keep, text))
+    given = [KEPT, "_tokens"] if KEPT in docs.columns else [text]
+    vectors = transformed(PipelineModel(stages), docs.select(doc, *keep, *given))
     raw = F.unwrap_udt(F.col("_vector"))
     pairs = F.explode(F.arrays_zip(raw["indices"].alias("at"), raw["values"].alias("weight"))).alias("p")
     # one literal that is cut once; a literal per term would take the driver seconds (no term holds a line feed)

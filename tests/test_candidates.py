@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.tokens import bigrams, term_counts
 from quillspark.operators import vocabulary
+from quillspark.plans import features
 
 ASKED = [(30, 2, 0.95), (60, 1, 1.0)]
 
@@ -79,3 +80,17 @@ def test_ngrams_of_rare_words_are_not_made(texts, monkeypatch):
     monkeypatch.setattr(vocabulary, "words_used", lambda *a: listed.append(used(*a)) or listed[-1])
     vocabulary.ngram_frequencies(texts, "t", 3, first=12).collect()
     assert seen == [2, 3] and len(listed) == 1 and 12 <= len(listed[0]) < 30
+
+
+def test_weights_of_a_tokenised_table(spark, texts):
+    docs = texts.withColumnRenamed("t", "clean_text")
+    vocab = vocabulary.vocabulary(plain_terms(docs), 150, 30, 2, 0.95)
+    weights = [
+        {(r.id, r.term): r.weight for r in features.tfidf_table(table, "id", "clean_text", vocab, 150).collect()}
+        for table in (docs, features.tokenised(docs))
+    ]
+    assert weights[0] == weights[1] and len(weights[0]) > 30
+
+
+def plain_terms(docs):
+    return vocabulary.term_doc_freq(vocabulary.document_terms(docs, "id", "clean_text"))
