@@ -126,3 +126,22 @@ def test_repeats_empty_vectors_and_few_rows(spark, tmp_path):
         lm.fit_landmarks(df.limit(0), "id", 3, GAMMA)
     assert lm.kernel_map_error(mapper, df.limit(0)).first()["n_rows"] == 0
     assert mapper.transform(df.filter(F.col("id") == 0)).count() == 1
+
+
+def test_features_are_made_in_pieces(spark, monkeypatch):
+    rows = [(i, 0.0, Vectors.dense([float(i % 7), float(i % 11), 1.0])) for i in range(1_300)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    mapper = lm.fit_landmarks(df, "id", 3, GAMMA, 8, 2)
+    whole = mapped(mapper, df)
+    kernel, most = lm.kernel_rows, lm.ROWS_AT_ONCE
+
+    def watched(indices, values, dense, gamma):
+        assert len(values) <= most  # a batch of Spark's has 10,000 rows
+        return kernel(indices, values, dense, gamma)
+
+    monkeypatch.setattr(lm, "kernel_rows", watched)
+    assert [p.stop - p.start for p in lm.pieces(1_300)] == [most] * 3 and lm.ROWS_AT_ONCE < 1_300
+    assert np.array_equal(whole, mapped(mapper, df)) and whole.shape[0] == 1_300
+    dense, whiten, gamma = lm.decoded(mapper.getOrDefault(mapper.machine))
+    plain = kernel([None] * 1_300, [np.asarray(v) for _, _, v in rows], dense, gamma) @ whiten
+    assert np.allclose(whole, plain)
