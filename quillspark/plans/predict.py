@@ -7,8 +7,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark import fixed_values as fv
 from quillspark.functions.text import clean_for_scoring
-from quillspark.operators.corpus import filter_scorable
+
+
+def clean_scorable(texts: DataFrame, least: int = fv.MIN_SCORABLE_CHARS) -> DataFrame:
+    """``(text_id, clean_text)`` of the scorable texts; each is cleaned once, by a generator that yields one text or none."""
+    kept = F.filter(F.array(clean_for_scoring(F.col("text"))), lambda t: F.length(t) >= least)
+    return texts.select("text_id", F.explode(kept).alias("clean_text"))
 
 
 def predict_batch(model: PipelineModel, name: str, texts: DataFrame) -> DataFrame:
@@ -16,8 +22,7 @@ def predict_batch(model: PipelineModel, name: str, texts: DataFrame) -> DataFram
 
     Works on a static table and on a stream alike: one projection, no state.
     """
-    cleaned = texts.select("text_id", clean_for_scoring(F.col("text")).alias("clean_text"))
-    scored = model.transform(filter_scorable(cleaned))
+    scored = model.transform(clean_scorable(texts))
     probability = vector_to_array("probability")
     return scored.select(
         "text_id",
