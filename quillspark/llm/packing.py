@@ -37,7 +37,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     def build(batches):
         encode = encoder(tokenizer_path).encode
         for whole in batches:
-            for part in slices(whole, 2 << 20):
+            for part in slices(whole, 4 << 20):
                 ids, at = encode(part.column(1).to_pylist(), END_ID)
                 counts = -(-np.diff(at) // capacity)
                 owner = np.repeat(np.arange(len(counts)), counts)

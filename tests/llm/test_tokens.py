@@ -95,3 +95,18 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.token_file_digests(docs, BYTE).count() == 0
     assert token_files.write_token_files(docs, f"file://{tmp_path}/e", BYTE).agg(F.sum("n_docs")).first()[0] is None
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_words_are_asked_for_together(path):
+    """One string to the library for hundreds of new words, whatever stops, line ends and capitals stand beside them."""
+    words = [a + b + c for a in ("Wa", "thé", "or") for b in "bcdfglmnprst" for c in ("en", "ing", "Tion", "œu")]
+    text = "x " + " ".join(w + ("", ".", "$$$", ",\nAnd", "\nor")[i % 5] for i, w in enumerate(words))
+    mine, asked = ChunkEncoder(path), []
+    for name in ("tokenizer", "letters"):
+        library = getattr(mine, name)
+        spy = type("Spy", (), {"encode_batch_fast": lambda self, t, library=library, **k: asked.extend(t) or library.encode_batch_fast(t, **k)})
+        setattr(mine, name, spy())
+    whole = Tokenizer.from_file(path)
+    assert mine.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(asked) < 10
