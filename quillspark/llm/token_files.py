@@ -52,7 +52,7 @@ def frame_rows(docs: DataFrame, tokenizer_path: str, bounds: list[int], level: i
         compress = zstandard.ZstdCompressor(level=level, write_checksum=True).compress
         encode = encoder(tokenizer_path).encode
         for whole in batches:
-            for part in slices(whole, 2 << 20):
+            for part in slices(whole, 8 << 20):
                 ids, at = encode(part.column(1).to_pylist(), END_ID)
                 named = part.column(0).is_valid()
                 doc_ids = part.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)

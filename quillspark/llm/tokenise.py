@@ -67,7 +67,7 @@ class ChunkEncoder:
             self.letters.normalizer = normalizers.Sequence([])
         self.max_chunks = max_chunks
         self.known: dict[str, int] = {}
-        self.names: pa.Array | None = None  # the same chunks in an array
+        self.names = pa.array([], pa.large_string())  # the same chunks in an array
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.uses = np.zeros(0, np.int64)
@@ -80,7 +80,7 @@ class ChunkEncoder:
         ) > self.max_chunks // 2 else 2
         keep = self.uses >= least
         place = np.cumsum(keep) - 1
-        self.names = None
+        self.names = self.names.filter(pa.array(keep))
         self.known = {c: int(place[k]) for c, k in self.known.items() if keep[k]}
         ids, at = self._ids(np.flatnonzero(keep))
         self.flat, self.starts, self.lengths = ids, at[:-1], np.diff(at)
@@ -100,6 +100,7 @@ class ChunkEncoder:
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
         self.flat = np.concatenate([self.flat, ids])
         self.known.update(zip(new, range(first, first + len(new))))
+        self.names = pa.concat_arrays([self.names, pa.array(new, pa.large_string())])
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -134,7 +135,7 @@ class ChunkEncoder:
                         others[stops] = None
                     if core in self.known:
                         continue
-                if core[0] in " \n" and core[1:].isalpha() and not _FOREIGN.search(core):
+                if core[0] in " \n" and core[1:].isalpha() and (core.isascii() or not _FOREIGN.search(core)):
                     lettered[core] = None
                 else:
                     others[core] = None
@@ -161,8 +162,6 @@ class ChunkEncoder:
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Numbers of known chunks, -1 for others."""
-        if self.names is None or len(self.names) != len(self.known):
-            self.names = pa.array(list(self.known), pa.large_string())
         return pc.index_in(pieces, value_set=self.names).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
 
     def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
