@@ -48,3 +48,52 @@ def test_best_split_of_a_node():
     counts[0, 0, 0], counts[1, 0, 0] = 5, 12
     feature, cut, gain = forest.best_split(counts, np.array([4, 9]))
     assert (feature, cut) == (9, 0) and gain == pytest.approx(2 * 5 * 7 / 12)
+
+
+def test_a_forest_holds_those_of_fewer_trees_less_depth_and_larger_nodes(rows):
+    blocks, edges, n = forest.in_blocks(rows, "id", 4)
+    nodes = forest.grow_trees(blocks, 4, n, range(12), None, 42)
+    limits = [(None, 2), (3, 2), (5, 10)]
+    first = forest.grow_trees(blocks, 4, n, range(7), 3, 42)
+    again = forest.grow_trees(blocks, 4, n, range(7, 12), 3, 42)  # the trees that are grown later
+
+    def sums(some, of):
+        return {r["id"]: np.array(r["sums"]) for r in forest.limited(rows, 4, edges, some, of).collect()}
+
+    whole, low, high = sums(nodes, limits), sums(first, [(None, 2)]), sums(again, [(None, 2)])
+    assert all(low[i][0] + high[i][0] == pytest.approx(whole[i][1]) for i in whole)
+    model = forest.fit_forest(rows, 4, "id", trees=12, depth=None)
+    scored = model.transform(rows).select("id", vector_to_array("probability")[1].alias("p")).collect()
+    assert all(r["p"] * 12 == pytest.approx(whole[r["id"]][0]) for r in scored)
+    assert any(whole[i][2] != whole[i][0] for i in whole)
+    ended = (nodes["held"] < 10) & (nodes["left"] >= 0)
+    assert ended.any() and not ((nodes["held"] < 2) & (nodes["left"] >= 0)).any()
+
+
+def test_trees_without_a_limit_grow_past_the_bits_of_a_number(spark):
+    """One row at a time can be split off, so the tree is a chain."""
+    n = 30  # features of one value each: a row's label is told by its own feature alone
+    cells = [(i, float(i % 2), [1.0 if j == i else 0.0 for j in range(n)]) for i in range(n)]
+    data = spark.createDataFrame(cells * 6, "id int, label double, cells array<double>").select("id", "label", array_to_vector("cells").alias("features"))
+    chains = [forest.grow_trees(*_blocks(data, n), range(4), depth, 1) for depth in (None, 5)]
+    depths = [_depth(nodes) for nodes in chains]
+    assert depths[0] > depths[1] == 5
+    number = 2**100 + 1
+    assert len(set(forest.chosen(1, 2, number, 50).tolist())) == 8 and (forest.chosen(1, 2, number, 50) != forest.chosen(1, 2, number - 1, 50)).any()
+    columns = forest.Columns(80, 160, np.arange(160), np.repeat(np.arange(80), 2), np.ones(160, np.uint8))
+    feature, _, left, *_ = forest.grown(columns, 80, np.arange(160) // 2 % 2 * 1.0, np.ones(160), 3, 0, 1 << 60, None)
+    assert (feature >= 0).sum() >= 39 and (left[feature >= 0] > 0).all()
+
+
+def _blocks(data, size):
+    blocks, _, n = forest.in_blocks(data, "id", size)
+    return blocks, size, n
+
+
+def _depth(nodes):
+    level, depth = nodes["roots"], -1
+    while len(level):
+        below = nodes["left"][level]
+        below = below[below >= 0]
+        level, depth = np.concatenate([below, below + 1]), depth + 1
+    return depth

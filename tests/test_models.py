@@ -169,3 +169,18 @@ def test_stream_ingest_resumes_where_it_stopped(spark, tmp_path):
     spark.createDataFrame([("b", 0), ("c", 5)], schema).coalesce(1).write.mode("append").json(source)
     assert run() == [("a", 1), ("b", 3), ("c", 5)]
     assert run() == [("a", 1), ("b", 3), ("c", 5)]
+
+
+def test_the_whole_grid_is_searched(texts):
+    """Every C of the logistic model and the machine, both kernels and widths, every size, depth and smallest split of the forest."""
+    found = {r["candidate"]: r["mean_f1"] for r in evaluate.grid_search(texts, "id", folds=2, max_features=50).collect()}
+    assert set(found) == set(evaluate.GRID) and len(found) == 4 + 3 + 6 + 27
+    assert {f"trees=500 depth=none", "svm rbf C=0.1 gamma=auto", "svm linear C=10.0", "trees=100 depth=10 split=10"} <= set(found)
+    assert all(0 <= v <= 1 for v in found.values()) and min(found["svm linear C=1.0"], found["svm rbf C=10.0 gamma=scale"], found["trees=500 depth=none"]) > 0.9
+
+
+def test_a_forest_of_the_grid_is_the_forest_fitted_alone(texts):
+    grid = {f"{t} {d} {m}": evaluate._forest(t, d, m) for t in (3, 8) for d in (2, None) for m in (2, 30)}
+    together = {r["candidate"]: r["mean_f1"] for r in evaluate.grid_search(texts, "id", grid, 2, 50).collect()}
+    for name in ("3 2 2", "8 None 30"):
+        assert evaluate.grid_search(texts, "id", {name: grid[name]}, 2, 50).collect()[0]["mean_f1"] == together[name]
