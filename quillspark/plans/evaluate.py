@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import VectorAssembler, Word2Vec
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,7 @@ from quillspark.plans.models import (
     score,
     score_all_models,
 )
+from quillspark.plans.word_vectors import mean_vectors
 from quillspark.session import drop_stored, scratch_path, stored
 
 
@@ -78,7 +79,8 @@ def out_of_fold(
         members = fit_models(specs, known, row_id, frequencies=counts, **options)
         return [score(model, held, name, row_id, keep=("fold",)) for name, model in members.items()]
 
-    with ThreadPool(min(folds, FOLDS_AT_ONCE)) as pool:
+    n = folded.count()
+    with ThreadPool(folds_at_once(folds, n - n // folds)) as pool:
         return union([part for found in pool.map(fold_scores, range(folds), 1) for part in found])
 
 
@@ -462,11 +464,6 @@ def train_embedding_classifier(df: DataFrame, row_id: str, label: str) -> DataFr
 def word_vector_mean(
     docs: DataFrame, row_id: str, text: str, size: int = 32, min_count: int = 5, tasks: int | None = None
 ) -> DataFrame:
-    """The mean of a text's word vectors, learnt from the corpus itself, in as many tasks as it has splits."""
-    tokens = stored(docs.select(row_id, tokenize(F.col(text)).alias("tokens")), "tokens")
-    tasks = tasks or tokens.rdd.getNumPartitions()  # of a plain scan: nothing runs for it
-    model = Word2Vec(
-        vectorSize=size, minCount=min_count, seed=42, inputCol="tokens", outputCol="mean", numPartitions=tasks
-    ).fit(tokens)
-    return model.transform(tokens).select(row_id, vector_to_array("mean").alias("mean"))
+    """The mean of a text's word vectors, learnt from the corpus itself, in ``tasks`` parts or by the number of tokens."""
+    return mean_vectors(docs.select(row_id, tokenize(F.col(text)).alias("tokens")), row_id, size, min_count, tasks, SEED)
 
