@@ -49,3 +49,45 @@ def test_a_grid_judges_held_out_rows_in_one_pass(spark, monkeypatch):
     assert len(seen) == 4  # vectors of the fitted and of the held-out rows, a fold
     alone = [evaluate.grid_search(train, grid={name: grid[name]}, folds=2).collect()[0] for name in grid]
     assert together == {r.candidate: r.mean_f1 for r in alone}
+
+
+def test_folds_of_many_rows_are_fitted_one_by_one():
+    assert evaluate.folds_at_once(5, 1_000) == 5 and evaluate.folds_at_once(3, 0) == 3
+    assert evaluate.folds_at_once(5, 100_000) == 3 and evaluate.folds_at_once(5, 10**7) == 1
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from quillspark import session
+
+    def shuffles():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(name.startswith("shuffle_") for name in [f.getName() for f in _listed(manager)])
+
+    def _listed(manager):
+        found = manager.getAllFiles()
+        return [found.apply(i) for i in range(found.size())]
+
+    before = shuffles()
+    found = session.stored(spark.range(10_000, numPartitions=4).groupBy((F.col("id") % 10).alias("k")).agg(F.collect_list("id").alias("x")), "x")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and found.count() == 10
+    session.drop_stored(found)
+    assert spark.conf.get(session.DROP_SHUFFLES) == "false"
+    with session.shuffles_dropped(spark), session.shuffles_dropped(spark):
+        assert spark.conf.get(session.DROP_SHUFFLES) == "true"
+    assert spark.conf.get(session.DROP_SHUFFLES) == "false"
+
+
+def test_a_machine_keeps_no_second_copy_of_the_vectors(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    kept, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    rows = spark.createDataFrame([(i, float(i % 2), Vectors.dense([i % 2, 1.0 + i % 3])) for i in range(60)], ["id", "label", "features"])
+    models.fit_svm(rows, 2, "id", num_features=4)
+    assert kept == [["id", "label", "split", "mapped"]]
